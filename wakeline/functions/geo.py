@@ -1,7 +1,10 @@
-"""Geodesy and motion expressions as plain Spark Columns.
+"""Geodesy and motion expressions.
 
-Every function here builds a Catalyst expression (no Python UDF), so it runs
-inside whole-stage codegen wherever it is used.
+Each function returns Spark SQL expression *text* over column names or other
+expression texts (``*_sql``), and a Column wrapper (``F.expr``) around it.
+Text composes into ``selectExpr`` / ``spark.sql`` and reaches the JVM in one
+call, and every expression is a Catalyst built-in (no Python UDF), so it runs
+inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -14,83 +17,90 @@ EARTH_RADIUS_KM = 6371.0088
 KNOT_KM_PER_H = 1.852
 
 
-def _c(x) -> Column:
-    if isinstance(x, Column):
-        return x
-    if isinstance(x, str):
-        return F.col(x)
-    return F.lit(x)
-
-
-def haversine_km(lat1, lon1, lat2, lon2) -> Column:
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Great-circle distance in km; ``sqrt(a)`` clamped to 1 so asin never NaNs."""
 
-    p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    dlat = p2 - p1
-    dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
-    a = F.pow(F.sin(dlat / 2.0), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2.0), 2)
-    return F.lit(EARTH_RADIUS_KM * 2.0) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    return (
+        f"({EARTH_RADIUS_KM * 2.0}D * asin(least(1.0D, sqrt("
+        f"pow(sin((radians({lat2}) - radians({lat1})) / 2.0D), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2.0D), 2)"
+        f"))))"
+    )
 
 
-def bearing_degrees(lat1, lon1, lat2, lon2) -> Column:
+def bearing_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Initial bearing from point 1 to point 2 in [0, 360)."""
 
-    p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    dlon = F.radians(_c(lon2) - _c(lon1))
-    x = F.sin(dlon) * F.cos(p2)
-    y = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dlon)
-    return F.pmod(F.degrees(F.atan2(x, y)) + 360.0, F.lit(360.0))
+    x = f"(sin(radians(({lon2}) - ({lon1}))) * cos(radians({lat2})))"
+    y = (
+        f"(cos(radians({lat1})) * sin(radians({lat2})) - sin(radians({lat1})) * cos(radians({lat2}))"
+        f" * cos(radians(({lon2}) - ({lon1}))))"
+    )
+    return f"pmod(degrees(atan2({x}, {y})) + 360.0D, 360.0D)"
 
 
-def bearing_or_zero(lat1, lon1, lat2, lon2) -> Column:
+def bearing_or_zero_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Bearing with null or non-finite inputs mapped to 0 (map / type-model variant)."""
 
-    b = bearing_degrees(lat1, lon1, lat2, lon2)
-    return F.when(b.isNull() | F.isnan(b), F.lit(0.0)).otherwise(b)
+    b = bearing_sql(lat1, lon1, lat2, lon2)
+    return f"coalesce(nanvl({b}, CAST(NULL AS DOUBLE)), 0.0D)"
 
 
-def angle_sin(deg) -> Column:
-    """sin of an angle in degrees, null angle counts as 0."""
+def dead_reckon_sql(lat: str, lon: str, sog: str, cog: str, hours: str) -> tuple[str, str]:
+    """Great-circle destination from a start, speed over ground and course.
 
-    return F.sin(F.radians(F.coalesce(_c(deg), F.lit(0.0))))
+    Speed (knots, non-finite → 0) is clipped to [0, 70] and converted to km/h,
+    course is taken mod 360 (null → 0); longitude wraps to [-180, 180).
+    """
 
+    speed = f"least(greatest(coalesce(nanvl({sog}, 0.0D), 0.0D), 0.0D), 70.0D)"
+    ang = f"(({speed}) * {KNOT_KM_PER_H}D * ({hours}) / {EARTH_RADIUS_KM}D)"
+    brg = f"radians(pmod(coalesce(nanvl({cog}, 0.0D), 0.0D), 360.0D))"
+    p1, l1 = f"radians({lat})", f"radians({lon})"
+    p2 = f"asin(sin({p1}) * cos({ang}) + cos({p1}) * sin({ang}) * cos({brg}))"
+    l2 = f"({l1} + atan2(sin({brg}) * sin({ang}) * cos({p1}), cos({ang}) - sin({p1}) * sin({p2})))"
+    return f"degrees({p2})", f"(pmod(degrees({l2}) + 180.0D, 360.0D) - 180.0D)"
 
-def angle_cos(deg) -> Column:
-    return F.cos(F.radians(F.coalesce(_c(deg), F.lit(0.0))))
 
+def straightness_sql(displacement: str, path: str) -> str:
+    return f"(CASE WHEN ({path}) > 0 THEN ({displacement}) / ({path}) ELSE 0.0D END)"
 
-def dead_reckon(lat, lon, sog_kn, cog_deg, hours) -> tuple[Column, Column]:
-    """Great-circle destination from a start, speed over ground and course.
 
-    Speed is knots converted to km/h and clipped to [0, 70] kn first, course is
-    taken mod 360, null speed/course count as 0; longitude wraps to [-180, 180).
-    """
+def valid_lonlat_sql(lon: str, lat: str) -> str:
+    return (
+        f"({lon} IS NOT NULL AND {lat} IS NOT NULL AND NOT isnan({lon}) AND NOT isnan({lat})"
+        f" AND {lon} BETWEEN -180.0D AND 180.0D AND {lat} BETWEEN -90.0D AND 90.0D)"
+    )
 
-    speed = F.least(F.greatest(F.coalesce(_c(sog_kn), F.lit(0.0)), F.lit(0.0)), F.lit(70.0))
-    dist = speed * KNOT_KM_PER_H * _c(hours)
-    ang = dist / EARTH_RADIUS_KM
-    brg = F.radians(F.pmod(F.coalesce(_c(cog_deg), F.lit(0.0)), F.lit(360.0)))
-    p1 = F.radians(_c(lat))
-    l1 = F.radians(_c(lon))
-    sin_p2 = F.sin(p1) * F.cos(ang) + F.cos(p1) * F.sin(ang) * F.cos(brg)
-    p2 = F.asin(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), sin_p2)))
-    l2 = l1 + F.atan2(F.sin(brg) * F.sin(ang) * F.cos(p1), F.cos(ang) - F.sin(p1) * F.sin(p2))
-    lat2 = F.degrees(p2)
-    lon2 = F.pmod(F.degrees(l2) + 180.0, F.lit(360.0)) - 180.0
-    return lat2, lon2
 
+def trig_sql(deg: str) -> tuple[str, str]:
+    """sin / cos of an angle in degrees; null angle counts as 0."""
 
-def straightness(displacement_km, path_km) -> Column:
-    """Displacement over path length, 0 when the path is 0."""
+    return f"sin(radians(coalesce({deg}, 0.0D)))", f"cos(radians(coalesce({deg}, 0.0D)))"
 
-    return F.when(_c(path_km) > 0, _c(displacement_km) / _c(path_km)).otherwise(F.lit(0.0))
 
+# Column wrappers -----------------------------------------------------------
 
-def valid_lonlat(lon, lat) -> Column:
-    """Coordinate predicate used by the map layers (non-null, finite, in range)."""
+def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2))
 
-    lo, la = _c(lon), _c(lat)
-    return (
-        lo.isNotNull() & la.isNotNull() & ~F.isnan(lo) & ~F.isnan(la)
-        & lo.between(-180.0, 180.0) & la.between(-90.0, 90.0)
-    )
+
+def bearing_degrees(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    return F.expr(bearing_sql(lat1, lon1, lat2, lon2))
+
+
+def bearing_or_zero(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    return F.expr(bearing_or_zero_sql(lat1, lon1, lat2, lon2))
+
+
+def dead_reckon(lat: str, lon: str, sog: str, cog: str, hours: str) -> tuple[Column, Column]:
+    a, b = dead_reckon_sql(lat, lon, sog, cog, hours)
+    return F.expr(a), F.expr(b)
+
+
+def straightness(displacement: str, path: str) -> Column:
+    return F.expr(straightness_sql(displacement, path))
+
+
+def valid_lonlat(lon: str, lat: str) -> Column:
+    return F.expr(valid_lonlat_sql(lon, lat))

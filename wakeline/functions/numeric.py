@@ -28,11 +28,12 @@ def round_half_up(c, digits: int = 6) -> Column:
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column so results compare across engines."""
 
-    return df.select(
-        [
-            round_half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
+    scale = f"{float(10**digits)}D"
+    return df.selectExpr(
+        *[
+            f"CAST(floor(`{f.name}` * {scale} + {ROUND_OFFSET}D) / {scale} AS DOUBLE) AS `{f.name}`"
             if isinstance(f.dataType, (DoubleType, FloatType))
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

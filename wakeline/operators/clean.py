@@ -178,20 +178,29 @@ def group_medians(df: DataFrame, cols: Sequence[str], key: str = "mmsi") -> tupl
     Returns ``(per_key, global_row)``: ``per_key`` has one row per key with
     ``<col>`` = median of that key's non-null values; ``global_row`` is one row
     with the median over all rows after nulls were filled with their key's
-    median (rows of keys with no value excluded). Both come from per
-    ``(key, value)`` counts — a map-side combined aggregate — and
+    median (rows of keys with no value excluded). Both come from one
+    ``(key, column, value)`` count — a map-side combined aggregate — and
     ``percentile(value, 0.5, count)``, so no key's values are ever gathered in
     one buffer beyond its distinct values.
     """
 
     s = _stacked(df, key, cols)
-    freq = s.where(F.col("value").isNotNull()).groupBy(key, "name", "value").agg(F.count("*").alias("n"))
-    nulls = s.where(F.col("value").isNull()).groupBy(key, "name").agg(F.count("*").alias("n_null"))
-    med = freq.groupBy(key, "name").agg(F.percentile("value", 0.5, F.col("n")).alias("median"))
-    filled = med.join(nulls, [key, "name"]).select("name", F.col("median").alias("value"), F.col("n_null").alias("n"))
-    glob_freq = freq.select("name", "value", "n").unionByName(filled).groupBy("name", "value").agg(F.sum("n").alias("n"))
-    glob = glob_freq.groupBy("name").agg(F.percentile("value", 0.5, F.col("n")).alias("median"))
-    per_key = med.groupBy(key).agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols])
+    counts = s.groupBy(key, "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy(key, "name").agg(
+        F.percentile("value", 0.5, F.col("n")).alias("median"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+    )
+    # the key-filled distribution: the key's own values plus n_null copies of its median
+    filled = counts.where(F.col("value").isNotNull()).select("name", "value", "n").unionByName(
+        per.where(F.col("median").isNotNull() & (F.col("n_null") > 0)).select(
+            "name", F.col("median").alias("value"), F.col("n_null").alias("n")
+        )
+    )
+    glob = (
+        filled.groupBy("name", "value").agg(F.sum("n").alias("n"))
+        .groupBy("name").agg(F.percentile("value", 0.5, F.col("n")).alias("median"))
+    )
+    per_key = per.groupBy(key).agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols])
     global_row = glob.agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols])
     return per_key, global_row
 

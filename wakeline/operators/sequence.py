@@ -29,6 +29,13 @@ DEFAULT_BUCKET_SECONDS = 86400
 _B = "_wl_bucket"
 
 
+def order_for(df: DataFrame) -> tuple[str, ...]:
+    """Canonical track order: time, position, then the source row id if any
+    (cleaned points are unique on (mmsi, ts, lat, lon); raw ones may repeat)."""
+
+    return ("ts", "lat", "lon", "rid") if "rid" in df.columns else ("ts", "lat", "lon")
+
+
 def bucket_col(ts: str = "ts", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds)).cast("bigint")
 
@@ -41,7 +48,7 @@ def track_scan(
     ts: str = "ts",
     prev: Iterable[str] = (),
     next: Iterable[str] = (),
-    cumsum: Mapping[str, Column] | None = None,
+    cumsum: Mapping[str, str] | None = None,
     index: str | None = None,
     track_first: Iterable[str] = (),
     track_last: Iterable[str] = (),
@@ -53,7 +60,7 @@ def track_scan(
     """Add lag / lead / running-sum / row-index columns per track in one pass.
 
     ``order`` must be a total order within a track for deterministic results.
-    ``cumsum`` maps output names to numeric expressions over the row; the
+    ``cumsum`` maps output names to numeric SQL expressions over the row; the
     output is the inclusive running sum in ``order``. ``index`` names a
     0-based row number per track.
     """
@@ -61,92 +68,89 @@ def track_scan(
     keys = [key] if isinstance(key, str) else list(key)
     prev, next = list(prev), list(next)
     track_first, track_last = list(track_first), list(track_last)
-    sums = dict(cumsum or {})
+    sums = {k: v for k, v in (cumsum or {}).items()}
     if index:
-        sums[index] = F.lit(1)
-    order_cols = [F.col(c) for c in order]
+        sums[index] = "1"
+    ks = ", ".join(f"`{k}`" for k in keys)
+    order_s = ", ".join(f"`{c}`" for c in order)
+    ok = f"struct({order_s})"
 
-    base = df.withColumn(_B, bucket_col(ts, bucket_seconds))
-    for name, expr in sums.items():
-        base = base.withColumn(f"_wl_v_{name}", expr)
+    def st(cols: list[str]) -> str:
+        return "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
+
+    base = df.selectExpr(
+        "*",
+        f"CAST(floor(unix_seconds(CAST(`{ts}` AS TIMESTAMP)) / {int(bucket_seconds)}) AS BIGINT) AS {_B}",
+        *[f"{_sql(v)} AS `_wl_v_{n}`" for n, v in sums.items()],
+    )
 
     # Small per-bucket table: last / first row values and bucket totals.
     aggs = []
     if prev:
-        aggs.append(F.max_by(F.struct(*prev), F.struct(*order_cols)).alias("_wl_last"))
+        aggs.append(f"max_by({st(prev)}, {ok}) AS _wl_last")
     if next:
-        aggs.append(F.min_by(F.struct(*next), F.struct(*order_cols)).alias("_wl_first"))
+        aggs.append(f"min_by({st(next)}, {ok}) AS _wl_first")
     if track_first:
-        aggs.append(F.min_by(F.struct(*track_first), F.struct(*order_cols)).alias("_wl_bfirst"))
+        aggs.append(f"min_by({st(track_first)}, {ok}) AS _wl_bfirst")
     if track_last:
-        aggs.append(F.max_by(F.struct(*track_last), F.struct(*order_cols)).alias("_wl_blast"))
+        aggs.append(f"max_by({st(track_last)}, {ok}) AS _wl_blast")
     if track_count:
-        aggs.append(F.count(F.lit(1)).alias("_wl_bcount"))
-    for name in sums:
-        aggs.append(F.sum(f"_wl_v_{name}").alias(f"_wl_tot_{name}"))
-    per_bucket = base.groupBy(*keys, _B).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(_B)
+        aggs.append("count(1) AS _wl_bcount")
+    aggs += [f"sum(`_wl_v_{n}`) AS `_wl_tot_{n}`" for n in sums]
+    per_bucket = base.groupBy(*keys, _B).agg(*[F.expr(a) for a in aggs])
+    wb = f"(PARTITION BY {ks} ORDER BY {_B})"
+    wb_all = f"(PARTITION BY {ks} ORDER BY {_B} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     stitched = []
     if prev:
-        stitched.append(F.lag("_wl_last").over(wb).alias("_wl_plast"))
+        stitched.append(f"lag(_wl_last) OVER {wb} AS _wl_plast")
     if next:
-        stitched.append(F.lead("_wl_first").over(wb).alias("_wl_nfirst"))
-    for name in sums:
-        stitched.append(
-            F.coalesce(
-                F.sum(f"_wl_tot_{name}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias(f"_wl_off_{name}")
-        )
-    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        stitched.append(f"lead(_wl_first) OVER {wb} AS _wl_nfirst")
+    stitched += [
+        f"coalesce(sum(`_wl_tot_{n}`) OVER (PARTITION BY {ks} ORDER BY {_B} ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND 1 PRECEDING), 0) AS `_wl_off_{n}`"
+        for n in sums
+    ]
     if track_first:
-        stitched.append(F.first("_wl_bfirst").over(whole).alias("_wl_tfirst"))
+        stitched.append(f"first(_wl_bfirst) OVER {wb_all} AS _wl_tfirst")
     if track_last:
-        stitched.append(F.last("_wl_blast").over(whole).alias("_wl_tlast"))
+        stitched.append(f"last(_wl_blast) OVER {wb_all} AS _wl_tlast")
     if track_count:
-        stitched.append(F.sum("_wl_bcount").over(whole).alias("_wl_tcount"))
-    per_bucket = per_bucket.select(*keys, _B, *stitched)
+        stitched.append(f"sum(_wl_bcount) OVER {wb_all} AS _wl_tcount")
+    per_bucket = per_bucket.selectExpr(*keys, _B, *stitched)
 
     # In-bucket window.
-    w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
-    cols = [F.col(c) for c in base.columns]
-    in_bucket = []
-    for c in prev:
-        in_bucket.append(F.lag(c).over(w).alias(f"_wl_p_{c}"))
-    for c in next:
-        in_bucket.append(F.lead(c).over(w).alias(f"_wl_n_{c}"))
+    w = f"(PARTITION BY {ks}, {_B} ORDER BY {order_s})"
+    in_bucket = [f"lag(`{c}`) OVER {w} AS `_wl_p_{c}`" for c in prev]
+    in_bucket += [f"lead(`{c}`) OVER {w} AS `_wl_n_{c}`" for c in next]
     if prev:
-        in_bucket.append((F.row_number().over(w) == 1).alias("_wl_is_first"))
+        in_bucket.append(f"row_number() OVER {w} = 1 AS _wl_is_first")
     if next:
-        in_bucket.append(F.lead(F.lit(1)).over(w).isNull().alias("_wl_is_last"))
-    for name in sums:
-        in_bucket.append(
-            F.sum(f"_wl_v_{name}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_wl_run_{name}")
-        )
-    scanned = base.select(*cols, *in_bucket)
+        in_bucket.append(f"lead(1) OVER {w} IS NULL AS _wl_is_last")
+    in_bucket += [
+        f"sum(`_wl_v_{n}`) OVER (PARTITION BY {ks}, {_B} ORDER BY {order_s} ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW) AS `_wl_run_{n}`"
+        for n in sums
+    ]
+    scanned = base.selectExpr("*", *in_bucket)
     joined = scanned.join(per_bucket, [*keys, _B], "left")
 
-    out = []
-    for c in prev:
-        out.append(
-            F.when(F.col("_wl_is_first"), F.col("_wl_plast")[c]).otherwise(F.col(f"_wl_p_{c}")).alias(prev_prefix + c)
-        )
-    for c in next:
-        out.append(
-            F.when(F.col("_wl_is_last"), F.col("_wl_nfirst")[c]).otherwise(F.col(f"_wl_n_{c}")).alias(next_prefix + c)
-        )
-    for c in track_first:
-        out.append(F.col("_wl_tfirst")[c].alias(f"track_first_{c}"))
-    for c in track_last:
-        out.append(F.col("_wl_tlast")[c].alias(f"track_last_{c}"))
+    out = [f"`{c}`" for c in df.columns]
+    out += [f"CASE WHEN _wl_is_first THEN _wl_plast.`{c}` ELSE `_wl_p_{c}` END AS `{prev_prefix}{c}`" for c in prev]
+    out += [f"CASE WHEN _wl_is_last THEN _wl_nfirst.`{c}` ELSE `_wl_n_{c}` END AS `{next_prefix}{c}`" for c in next]
+    out += [f"_wl_tfirst.`{c}` AS `track_first_{c}`" for c in track_first]
+    out += [f"_wl_tlast.`{c}` AS `track_last_{c}`" for c in track_last]
     if track_count:
-        out.append(F.col("_wl_tcount").cast("bigint").alias(track_count))
-    for name in sums:
-        total = F.col(f"_wl_run_{name}") + F.col(f"_wl_off_{name}")
-        if name == index:
-            total = (total - 1).cast("bigint")
-        out.append(total.alias(name))
-    return joined.select(*[F.col(c) for c in df.columns], *out)
+        out.append(f"CAST(_wl_tcount AS BIGINT) AS `{track_count}`")
+    for n in sums:
+        total = f"(`_wl_run_{n}` + `_wl_off_{n}`)"
+        out.append(f"CAST({total} - 1 AS BIGINT) AS `{n}`" if n == index else f"{total} AS `{n}`")
+    return joined.selectExpr(*out)
+
+
+def _sql(v) -> str:
+    if isinstance(v, str):
+        return v
+    raise TypeError("cumsum expressions are given as Spark SQL text")
 
 
 def with_prev(df: DataFrame, cols: Iterable[str], **kw) -> DataFrame:
@@ -161,5 +165,5 @@ def with_index(df: DataFrame, name: str = "point_index", **kw) -> DataFrame:
     return track_scan(df, index=name, **kw)
 
 
-def with_cumsum(df: DataFrame, sums: Mapping[str, Column], **kw) -> DataFrame:
+def with_cumsum(df: DataFrame, sums: Mapping[str, str], **kw) -> DataFrame:
     return track_scan(df, cumsum=sums, **kw)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.geo import bearing_degrees, haversine_km, straightness
+from wakeline.functions.geo import bearing_sql, haversine_sql, straightness_sql
 from wakeline.operators.clean import group_medians
 from wakeline.operators.sequence import track_scan
 
@@ -21,10 +21,8 @@ def segment_distance(points: DataFrame, key: str = "mmsi", order: Sequence[str]
     """Add ``prev_lat, prev_lon, prev_ts`` and ``segment_km`` (null on a track's first point)."""
 
     p = track_scan(points, key=key, order=order, prev=["lat", "lon", "ts"])
-    return p.withColumn(
-        "segment_km",
-        F.when(F.col("prev_lat").isNotNull(), haversine_km("prev_lat", "prev_lon", "lat", "lon")),
-    )
+    seg = haversine_sql("prev_lat", "prev_lon", "lat", "lon")
+    return p.withColumn("segment_km", F.expr(f"CASE WHEN prev_lat IS NOT NULL THEN {seg} END"))
 
 
 def track_features(
@@ -39,68 +37,53 @@ def track_features(
 
     ``prefix`` is prepended to every feature name (``early_``). With
     ``observed_names`` the last point is named ``observed`` instead of ``end``
-    (the early cut's naming).
+    (the early cut's naming). One ``groupBy(key)`` whose aggregates all
+    combine map-side (``min_by/max_by``, moments, sums).
     """
 
     p = segment_distance(points, key, order)
-    order_key = F.struct(*[F.col(c) for c in order])
-    pos = F.struct("ts", "lat", "lon")
-    rad_cog = F.radians("cog")
-    agg = p.groupBy(key).agg(
-        F.min_by(pos, order_key).alias("_first"),
-        F.max_by(pos, order_key).alias("_last"),
-        F.count(F.lit(1)).alias("point_count"),
-        F.avg("lat").alias("mean_lat"),
-        F.avg("lon").alias("mean_lon"),
-        F.stddev_pop("lat").alias("std_lat"),
-        F.stddev_pop("lon").alias("std_lon"),
-        F.min("lat").alias("min_lat"),
-        F.max("lat").alias("max_lat"),
-        F.min("lon").alias("min_lon"),
-        F.max("lon").alias("max_lon"),
-        F.avg("sog").alias("mean_sog"),
-        F.stddev_pop("sog").alias("std_sog"),
-        F.max("sog").alias("max_sog"),
-        F.avg(F.when(F.col("sog") <= SLOW_RATIO_SOG, 1.0).otherwise(0.0)).alias("slow_point_ratio"),
-        F.avg(F.sin(rad_cog)).alias("mean_cog_sin"),
-        F.avg(F.cos(rad_cog)).alias("mean_cog_cos"),
-        F.coalesce(F.sum("segment_km"), F.lit(0.0)).alias("total_distance_km"),
-    )
-    first, last = F.col("_first"), F.col("_last")
-    disp = haversine_km(first.lat, first.lon, last.lat, last.lon)
-    brg = F.radians(bearing_degrees(first.lat, first.lon, last.lat, last.lon))
+    ok = "struct(" + ", ".join(order) + ")"
+    aggs = {
+        "_first": f"min_by(struct(ts, lat, lon), {ok})",
+        "_last": f"max_by(struct(ts, lat, lon), {ok})",
+        "point_count": "count(1)",
+        "mean_lat": "avg(lat)", "mean_lon": "avg(lon)",
+        "std_lat": "stddev_pop(lat)", "std_lon": "stddev_pop(lon)",
+        "min_lat": "min(lat)", "max_lat": "max(lat)", "min_lon": "min(lon)", "max_lon": "max(lon)",
+        "mean_sog": "avg(sog)", "std_sog": "stddev_pop(sog)", "max_sog": "max(sog)",
+        "slow_point_ratio": f"avg(CASE WHEN sog <= {SLOW_RATIO_SOG}D THEN 1.0D ELSE 0.0D END)",
+        "mean_cog_sin": "avg(sin(radians(cog)))", "mean_cog_cos": "avg(cos(radians(cog)))",
+        "total_distance_km": "coalesce(sum(segment_km), 0.0D)",
+    }
+    agg = p.groupBy(key).agg(*[F.expr(f"{v} AS {k}") for k, v in aggs.items()])
     end = "observed" if observed_names else "end"
-    secs = F.unix_micros(last.ts) - F.unix_micros(first.ts)
-    feats: list[Column] = [
-        F.col(key),
-        first.ts.alias("first_timestamp"),
-        last.ts.alias("last_timestamp"),
-        F.col("point_count"),
-        F.greatest(secs / 3.6e9, F.lit(0.0)).alias("duration_hours"),
-        first.lat.alias("start_lat"),
-        first.lon.alias("start_lon"),
-        last.lat.alias(f"{end}_lat"),
-        last.lon.alias(f"{end}_lon"),
-        *[F.col(c) for c in (
-            "mean_lat", "mean_lon", "std_lat", "std_lon", "min_lat", "max_lat", "min_lon", "max_lon",
-            "mean_sog", "std_sog", "max_sog", "slow_point_ratio", "mean_cog_sin", "mean_cog_cos",
-            "total_distance_km",
-        )],
-        disp.alias("displacement_km"),
-        straightness(disp, F.col("total_distance_km")).alias("straightness_ratio"),
-        F.sin(brg).alias("bearing_sin"),
-        F.cos(brg).alias("bearing_cos"),
+    disp = haversine_sql("_first.lat", "_first.lon", "_last.lat", "_last.lon")
+    brg = f"radians({bearing_sql('_first.lat', '_first.lon', '_last.lat', '_last.lon')})"
+    stats = [k for k in aggs if not k.startswith("_") and k not in ("point_count", "total_distance_km")]
+    feats = [
+        key,
+        "_first.ts AS first_timestamp",
+        "_last.ts AS last_timestamp",
+        "point_count",
+        "greatest((unix_micros(_last.ts) - unix_micros(_first.ts)) / 3.6e9D, 0.0D) AS duration_hours",
+        "_first.lat AS start_lat", "_first.lon AS start_lon",
+        f"_last.lat AS {end}_lat", f"_last.lon AS {end}_lon",
+        *stats,
+        "total_distance_km",
+        f"{disp} AS displacement_km",
+        f"{straightness_sql(disp, 'total_distance_km')} AS straightness_ratio",
+        f"sin({brg}) AS bearing_sin",
+        f"cos({brg}) AS bearing_cos",
     ]
-    out = agg.select(*feats)
+    out = agg.selectExpr(*feats)
     if prefix:
-        out = out.select(key, *[F.col(c).alias(prefix + c) for c in out.columns if c != key])
+        out = out.selectExpr(key, *[f"{c} AS {prefix}{c}" for c in out.columns if c != key])
     if with_static:
         static = [c for c in STATIC if c in points.columns]
         if static:
             per_key, _ = group_medians(points, static, key)
-            per_key = per_key.select(key, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in static])
-            out = out.join(per_key, key, "left").select(
-                *out.columns, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in static]
+            out = out.join(per_key, key, "left").selectExpr(
+                *out.columns, *[f"coalesce({c}, 0.0D) AS {c}" for c in static]
             )
     return out
 

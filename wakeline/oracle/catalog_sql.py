@@ -99,3 +99,270 @@ VESSEL_DOUBLES = (
 SQL["vessel_summary"] = rounded(
     W(CLEAN_POINTS, track_features_sql("clean_points")) + "\nSELECT * FROM feat", VESSEL_DOUBLES
 )
+
+
+# ---------------------------------------------------------------- more cleaners --
+
+HOURLY_POINTS = RAW_POINTS + """,
+h_range AS (
+  SELECT rid, ts,
+    CASE WHEN mmsi BETWEEN 100000000 AND 999999998 THEN mmsi END AS mmsi,
+    CASE WHEN lat BETWEEN -90 AND 90 THEN lat END AS lat,
+    CASE WHEN lon BETWEEN -180 AND 180 THEN lon END AS lon,
+    CASE WHEN sog BETWEEN 0 AND 70 THEN sog END AS sog,
+    CASE WHEN cog BETWEEN 0 AND 360 THEN cog END AS cog,
+    CASE WHEN width >= 0 THEN width END AS width,
+    CASE WHEN length >= 0 THEN length END AS length,
+    CASE WHEN draught >= 0 THEN draught END AS draught
+  FROM points_src
+),
+h_keys AS (SELECT * FROM h_range WHERE ts IS NOT NULL AND mmsi IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+           AND sog IS NOT NULL AND cog IS NOT NULL),
+h_fill1 AS (
+  SELECT *, coalesce(width, avg(width) OVER (PARTITION BY mmsi)) AS w1,
+         coalesce(length, avg(length) OVER (PARTITION BY mmsi)) AS l1,
+         coalesce(draught, avg(draught) OVER (PARTITION BY mmsi)) AS d1
+  FROM h_keys
+),
+h_fill AS (
+  SELECT rid, ts, mmsi, lat, lon, sog, cog,
+    coalesce(w1, avg(w1) OVER ()) AS width, coalesce(l1, avg(l1) OVER ()) AS length,
+    coalesce(d1, avg(d1) OVER ()) AS draught
+  FROM h_fill1
+),
+hourly_points AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY ts, mmsi, lat, lon ORDER BY rid) AS rn FROM h_fill
+  ) WHERE rn = 1
+)"""
+
+SQL["clean_points_hourly"] = rounded(
+    W(HOURLY_POINTS) + "\nSELECT * FROM hourly_points", ("lat", "lon", "sog", "cog", "width", "length", "draught")
+)
+
+SQL["hourly_resample"] = rounded(
+    W(HOURLY_POINTS) + """
+SELECT mmsi, date_trunc('hour', ts) AS ts, avg(lat) AS lat, avg(lon) AS lon, avg(sog) AS sog, avg(cog) AS cog,
+       avg(width) AS width, avg(length) AS length, avg(draught) AS draught
+FROM hourly_points GROUP BY mmsi, date_trunc('hour', ts)""",
+    ("lat", "lon", "sog", "cog", "width", "length", "draught"),
+)
+
+FORECAST_POINTS = RAW_POINTS + """,
+forecast_points AS (
+  SELECT rid, mmsi, ts, lat, lon, sog, cog, width, length, draught FROM points_src
+  WHERE mmsi IS NOT NULL AND ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+    AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180
+)"""
+
+SQL["clean_points_forecast"] = rounded(
+    W(FORECAST_POINTS) + "\nSELECT * FROM forecast_points", ("lat", "lon", "sog", "cog", "width", "length", "draught")
+)
+
+SQL["vessel_label_mode"] = W(CLEAN_POINTS) + """
+SELECT mmsi, route_label FROM (
+  SELECT mmsi, route_label, row_number() OVER (PARTITION BY mmsi ORDER BY n DESC, route_label) AS rk
+  FROM (SELECT mmsi, route_label, count(*) AS n FROM clean_points WHERE route_label IS NOT NULL GROUP BY ALL)
+) WHERE rk = 1"""
+
+EARLY_POINTS = """
+e_idx AS (
+  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts, lat, lon) - 1 AS e_i,
+         min(ts) OVER (PARTITION BY mmsi) AS e_t0
+  FROM clean_points
+),
+early_points AS (
+  SELECT * EXCLUDE (e_i, e_t0) FROM e_idx WHERE e_i < 2 OR epoch_us(ts) - epoch_us(e_t0) <= 21600000000
+)"""
+
+SQL["early_track"] = W(CLEAN_POINTS, EARLY_POINTS) + "\nSELECT mmsi, rid, ts FROM early_points"
+
+EARLY_DOUBLES = tuple(
+    "early_" + c for c in VESSEL_DOUBLES if c not in ("width", "length", "draught", "shiptype")
+)
+SQL["early_summary"] = rounded(
+    W(CLEAN_POINTS, EARLY_POINTS, track_features_sql("early_points", "early_", static=False, observed=True))
+    + "\nSELECT * EXCLUDE (early_first_timestamp, early_last_timestamp) FROM feat",
+    tuple(c.replace("early_end_", "early_observed_") for c in EARLY_DOUBLES),
+)
+
+
+# ---------------------------------------------------------------- sequences --
+
+STOP_POINTS = """
+s_slow AS (SELECT * FROM clean_points WHERE sog <= 1.0),
+s_lag AS (SELECT *, lag(ts) OVER (PARTITION BY mmsi ORDER BY ts, lat, lon, rid) AS pts FROM s_slow),
+stop_points AS (
+  SELECT *, sum(CASE WHEN pts IS NULL OR epoch_us(ts) - epoch_us(pts) > 10800000000 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY mmsi ORDER BY ts, lat, lon, rid ROWS UNBOUNDED PRECEDING) AS stop_event_no
+  FROM s_lag
+)"""
+
+SQL["stop_events"] = W(CLEAN_POINTS, STOP_POINTS) + (
+    "\nSELECT mmsi, rid, ts, CAST(stop_event_no AS BIGINT) AS stop_event_no FROM stop_points"
+)
+
+STOP_SUMMARY = STOP_POINTS + """,
+stop_summary AS (
+  SELECT mmsi, CAST(stop_event_no AS BIGINT) AS stop_event_no,
+    printf('%d_%04d', mmsi, stop_event_no) AS stop_event_id,
+    min(ts) AS start_timestamp, max(ts) AS end_timestamp,
+    greatest((epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9, 0.0) AS duration_hours,
+    count(*) AS point_count, avg(lat) AS center_lat, avg(lon) AS center_lon, avg(sog) AS mean_sog
+  FROM stop_points GROUP BY mmsi, stop_event_no
+)"""
+
+SQL["stop_event_summary"] = rounded(
+    W(CLEAN_POINTS, STOP_SUMMARY) + "\nSELECT * FROM stop_summary",
+    ("duration_hours", "center_lat", "center_lon", "mean_sog"),
+)
+
+SQL["segment_distance"] = rounded(
+    W(CLEAN_POINTS) + f"""
+SELECT mmsi, rid, ts, CASE WHEN plat IS NOT NULL THEN {haversine('plat', 'plon', 'lat', 'lon')} END AS segment_km
+FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM clean_points
+      WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon))""",
+    ("segment_km",),
+)
+
+SQL["motion_features"] = rounded(
+    W(FORECAST_POINTS) + """
+SELECT mmsi, rid, sin(radians(coalesce(cog, 0.0))) AS cog_sin, cos(radians(coalesce(cog, 0.0))) AS cog_cos,
+  coalesce(lat - plat, 0.0) AS delta_lat, coalesce(lon - plon, 0.0) AS delta_lon,
+  least(greatest(coalesce((epoch_us(ts) - epoch_us(pts)) / 3.6e9, 1.0), 0.05), 24.0) AS delta_hours
+FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon, lag(ts) OVER w AS pts FROM forecast_points
+      WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon, rid))""",
+    ("cog_sin", "cog_cos", "delta_lat", "delta_lon", "delta_hours"),
+)
+
+
+def signature_sql(src: str, points: int = 24) -> str:
+    """CTE ``sig`` (mmsi, step, lat, lon) of ``src`` in plain window SQL."""
+
+    p1 = points - 1
+    return f"""
+g1 AS (
+  SELECT mmsi, ts, lat, lon,
+    row_number() OVER w - 1 AS i, lag(ts) OVER w AS pts,
+    count(*) OVER (PARTITION BY mmsi) AS n,
+    epoch_us(max(ts) OVER (PARTITION BY mmsi)) - epoch_us(min(ts) OVER (PARTITION BY mmsi)) AS t_us,
+    epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY mmsi)) AS x_us
+  FROM {src} WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon)
+),
+g2 AS (
+  SELECT *, t_us = 0 AS by_index,
+    CASE WHEN t_us = 0 THEN i ELSE x_us END AS gx,
+    CASE WHEN t_us = 0 THEN n - 1 ELSE t_us END AS gt
+  FROM g1
+),
+g3 AS (
+  SELECT *,
+    CASE WHEN by_index THEN CAST(gx AS DOUBLE) ELSE CAST(gx AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS xs,
+    CASE WHEN by_index THEN CAST(gt AS DOUBLE) ELSE CAST(gt AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS tsec
+  FROM g2 WHERE by_index OR pts IS NULL OR ts <> pts
+),
+g4 AS (
+  SELECT *, lead(gx) OVER w AS ngx, lead(xs) OVER w AS nxs, lead(lat) OVER w AS nlat, lead(lon) OVER w AS nlon
+  FROM g3 WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon)
+),
+g5 AS (
+  SELECT *, unnest(CASE
+      WHEN n = 1 THEN range(0, {points})
+      WHEN ngx IS NULL THEN [{p1}]
+      ELSE range((gx * {p1} + gt - 1) // gt, (ngx * {p1} + gt - 1) // gt) END) AS step
+  FROM g4
+),
+sig AS (
+  SELECT mmsi, CAST(step AS INTEGER) AS step,
+    CASE WHEN ngx IS NULL OR n = 1 THEN lat
+         ELSE ((nlat - lat) / (nxs - xs)) * (step * (tsec / CAST({p1} AS DOUBLE)) - xs) + lat END AS lat,
+    CASE WHEN ngx IS NULL OR n = 1 THEN lon
+         ELSE ((nlon - lon) / (nxs - xs)) * (step * (tsec / CAST({p1} AS DOUBLE)) - xs) + lon END AS lon
+  FROM g5
+)"""
+
+
+SQL["track_signature"] = rounded(W(CLEAN_POINTS, signature_sql("clean_points")) + "\nSELECT * FROM sig", ("lat", "lon"))
+
+SQL["latest_position"] = rounded(
+    W(CLEAN_POINTS) + """
+SELECT mmsi, ts, lat, lon, sog, cog FROM (
+  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts DESC, lat DESC, lon DESC) AS rk FROM clean_points
+) WHERE rk = 1""",
+    ("lat", "lon", "sog", "cog"),
+)
+
+SQL["dedupe_track"] = W(FORECAST_POINTS) + """
+SELECT mmsi, rid FROM (
+  SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM forecast_points
+  WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon, rid)
+) WHERE plat IS NULL OR NOT (plat = lat AND plon = lon)"""
+
+
+def downsample_sql(src: str, n_max: int, out: str = "ds") -> str:
+    """CTE ``out`` (mmsi, ts, lat, lon, [cog,] idx, n, keep_idx) of ``src``."""
+
+    return f"""
+{out}_1 AS (
+  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts, lat, lon) - 1 AS idx,
+         count(*) OVER (PARTITION BY mmsi) AS n
+  FROM {src}
+),
+{out}_2 AS (
+  SELECT * FROM {out}_1 d
+  WHERE n <= {n_max} OR idx IN (
+    SELECT CAST(round_even(r.i * (d.n - 1) / {n_max - 1}, 0) AS BIGINT) FROM range(0, {n_max}) r(i))
+),
+{out} AS (
+  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts, lat, lon) - 1 AS keep_idx FROM {out}_2
+)"""
+
+
+SQL["downsample_track"] = W(
+    CLEAN_POINTS, "dsrc AS (SELECT mmsi, ts, lat, lon FROM clean_points)", downsample_sql("dsrc", 90)
+) + "\nSELECT mmsi, ts, idx, n, keep_idx FROM ds"
+
+LINE_POINTS = """
+lp_valid AS (
+  SELECT mmsi, ts, lat, lon, cog FROM clean_points
+  WHERE lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)
+    AND lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90
+),
+lp_dedup AS (
+  SELECT mmsi, ts, lat, lon, cog FROM (
+    SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM lp_valid
+    WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon)
+  ) WHERE plat IS NULL OR NOT (plat = lat AND plon = lon)
+),""" + downsample_sql("lp_dedup", 90, "line_points")
+
+SQL["split_gaps"] = W(CLEAN_POINTS, LINE_POINTS) + f"""
+, sg1 AS (
+  SELECT mmsi, ts, lat, lon, CASE WHEN plat IS NOT NULL AND {haversine('plat', 'plon', 'lat', 'lon')} > 80.0
+                                  THEN 1 ELSE 0 END AS brk
+  FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM line_points
+        WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon))
+),
+sg2 AS (SELECT *, sum(brk) OVER (PARTITION BY mmsi ORDER BY ts, lat, lon ROWS UNBOUNDED PRECEDING) AS piece FROM sg1),
+sg3 AS (SELECT *, count(*) OVER (PARTITION BY mmsi, piece) AS ps FROM sg2),
+sg4 AS (SELECT *, count(DISTINCT CASE WHEN ps >= 2 THEN piece END) OVER (PARTITION BY mmsi) AS np FROM sg3)
+SELECT mmsi, ts, CAST(CASE WHEN np = 0 THEN 0 ELSE piece END AS BIGINT) AS piece FROM sg4 WHERE np = 0 OR ps >= 2"""
+
+SQL["latest_bearing"] = rounded(
+    W(CLEAN_POINTS, LINE_POINTS) + f"""
+, lb_cog AS (
+  SELECT mmsi, cog AS lcog FROM (
+    SELECT mmsi, cog, row_number() OVER (PARTITION BY mmsi ORDER BY ts DESC, lat DESC, lon DESC) AS rk
+    FROM clean_points WHERE cog IS NOT NULL AND NOT isnan(cog)) WHERE rk = 1
+),
+lb_m AS (SELECT mmsi, count(*) AS m, max(keep_idx) AS k FROM line_points GROUP BY mmsi),
+lb_pts AS (
+  SELECT m.mmsi, m.m, a.lat AS elat, a.lon AS elon, b.lat AS plat, b.lon AS plon
+  FROM lb_m m JOIN line_points a ON a.mmsi = m.mmsi AND a.keep_idx = m.k
+  LEFT JOIN line_points b ON b.mmsi = m.mmsi AND b.keep_idx = m.k - 1
+)
+SELECT coalesce(p.mmsi, c.mmsi) AS mmsi,
+  CASE WHEN c.lcog BETWEEN 0.0 AND 360.0 THEN c.lcog
+       WHEN p.m >= 2 THEN {bearing('p.plat', 'p.plon', 'p.elat', 'p.elon')} ELSE 0.0 END AS bearing
+FROM lb_pts p FULL OUTER JOIN lb_cog c ON p.mmsi = c.mmsi""",
+    ("bearing",),
+)

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.numeric import round_doubles
 from wakeline.operators import clean as C
+from wakeline.operators import track as T
 from wakeline.operators import vessel as V
+from wakeline.plans.stages import stage_table
 from wakeline.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,14 +31,18 @@ def query(name: str):
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_points(X.ais_points(spark, sf_dir))
+    """Cleaned route-path points, staged once per input folder."""
+
+    return stage_table(spark, "clean_points", sf_dir, lambda: C.clean_points(X.ais_points(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ cleaning --
 
 @query("clean_points")
 def q_clean_points(spark, sf_dir):
-    return round_doubles(clean(spark, sf_dir))
+    """The full cleaner over the fixture (not the staged copy)."""
+
+    return round_doubles(C.clean_points(X.ais_points(spark, sf_dir)))
 
 
 # ----------------------------------------------------------- summaries --
@@ -44,3 +50,92 @@ def q_clean_points(spark, sf_dir):
 @query("vessel_summary")
 def q_vessel_summary(spark, sf_dir):
     return round_doubles(V.vessel_summary(clean(spark, sf_dir)))
+
+
+@query("early_summary")
+def q_early_summary(spark, sf_dir):
+    return round_doubles(V.early_summary(clean(spark, sf_dir)))
+
+
+@query("vessel_label_mode")
+def q_vessel_label_mode(spark, sf_dir):
+    return V.vessel_label_mode(clean(spark, sf_dir))
+
+
+@query("hourly_resample")
+def q_hourly_resample(spark, sf_dir):
+    return round_doubles(V.hourly_resample(C.clean_points_hourly(X.ais_points(spark, sf_dir))))
+
+
+@query("clean_points_hourly")
+def q_clean_points_hourly(spark, sf_dir):
+    return round_doubles(C.clean_points_hourly(X.ais_points(spark, sf_dir)))
+
+
+@query("clean_points_forecast")
+def q_clean_points_forecast(spark, sf_dir):
+    return round_doubles(C.clean_points_forecast(X.ais_points(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ sequences --
+
+@query("stop_events")
+def q_stop_events(spark, sf_dir):
+    return round_doubles(T.stop_event_points(clean(spark, sf_dir)).select("mmsi", "rid", "ts", "stop_event_no"))
+
+
+@query("stop_event_summary")
+def q_stop_event_summary(spark, sf_dir):
+    return round_doubles(T.stop_events(clean(spark, sf_dir)))
+
+
+@query("segment_distance")
+def q_segment_distance(spark, sf_dir):
+    return round_doubles(V.segment_distance(clean(spark, sf_dir)).select("mmsi", "rid", "ts", "segment_km"))
+
+
+@query("motion_features")
+def q_motion_features(spark, sf_dir):
+    pts = C.clean_points_forecast(X.ais_points(spark, sf_dir))
+    return round_doubles(
+        T.motion_features(pts).select("mmsi", "rid", "cog_sin", "cog_cos", "delta_lat", "delta_lon", "delta_hours")
+    )
+
+
+@query("early_track")
+def q_early_track(spark, sf_dir):
+    return V.early_track(clean(spark, sf_dir)).select("mmsi", "rid", "ts")
+
+
+@query("track_signature")
+def q_track_signature(spark, sf_dir):
+    return round_doubles(T.track_signature(clean(spark, sf_dir)))
+
+
+@query("latest_position")
+def q_latest_position(spark, sf_dir):
+    return round_doubles(T.latest_position(clean(spark, sf_dir), cols=["ts", "lat", "lon", "sog", "cog"]))
+
+
+@query("dedupe_track")
+def q_dedupe_track(spark, sf_dir):
+    pts = C.clean_points_forecast(X.ais_points(spark, sf_dir))
+    return T.dedupe_track(pts).select("mmsi", "rid")
+
+
+@query("downsample_track")
+def q_downsample_track(spark, sf_dir):
+    pts = clean(spark, sf_dir).select("mmsi", "ts", "lat", "lon")
+    return round_doubles(T.downsample_track(pts, T.TRACK_POINTS).select("mmsi", "ts", "idx", "n", "keep_idx"))
+
+
+@query("split_gaps")
+def q_split_gaps(spark, sf_dir):
+    line = T.track_line_points(clean(spark, sf_dir), T.TRACK_POINTS)
+    return T.split_gaps(line.select("mmsi", "ts", "lat", "lon")).select("mmsi", "ts", "piece")
+
+
+@query("latest_bearing")
+def q_latest_bearing(spark, sf_dir):
+    pts = clean(spark, sf_dir)
+    return round_doubles(T.latest_bearing(pts, T.track_line_points(pts, T.TRACK_POINTS)))

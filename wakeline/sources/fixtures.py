@@ -101,17 +101,26 @@ def with_copies(points: DataFrame) -> DataFrame:
 
     Every 101st report is sent again later in the file (same key, speed
     +0.5 kn: the first copy must win the dedup); every 103rd gets a second
-    report at the same time 0.002 deg further east.
+    report at the same time 0.002 deg further east. One pass: each row
+    explodes into itself plus its optional copies.
     """
 
     rid = F.col("rid")
-    copies = points.where(rid % 101 == 0).withColumn("rid", rid + COPY_RID_OFFSET).withColumn(
-        "sog", F.col("sog") + 0.5
+    cols = points.columns
+    orig = F.struct(*[F.col(c) for c in cols])
+    copy = F.struct(*[
+        (rid + COPY_RID_OFFSET).alias(c) if c == "rid" else (F.col(c) + 0.5).alias(c) if c == "sog" else F.col(c)
+        for c in cols
+    ])
+    neighbour = F.struct(*[
+        (rid + NEIGHBOUR_RID_OFFSET).alias(c) if c == "rid" else (F.col(c) + 0.002).alias(c) if c == "lon" else F.col(c)
+        for c in cols
+    ])
+    rows = F.filter(
+        F.array(orig, F.when(rid % 101 == 0, copy), F.when(rid % 103 == 0, neighbour)),
+        lambda x: x.isNotNull(),
     )
-    neighbours = points.where(rid % 103 == 0).withColumn("rid", rid + NEIGHBOUR_RID_OFFSET).withColumn(
-        "lon", F.col("lon") + 0.002
-    )
-    return points.unionByName(copies).unionByName(neighbours)
+    return points.select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def ais_points(spark: SparkSession, sf_dir: str) -> DataFrame:
