@@ -53,6 +53,8 @@ def track_scan(
     track_first: Iterable[str] = (),
     track_last: Iterable[str] = (),
     track_count: str | None = None,
+    ffill: Iterable[str] = (),
+    bfill: Iterable[str] = (),
     prev_prefix: str = "prev_",
     next_prefix: str = "next_",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
@@ -68,6 +70,7 @@ def track_scan(
     keys = [key] if isinstance(key, str) else list(key)
     prev, next = list(prev), list(next)
     track_first, track_last = list(track_first), list(track_last)
+    ffill, bfill = list(ffill), list(bfill)
     sums = {k: v for k, v in (cumsum or {}).items()}
     if index:
         sums[index] = "1"
@@ -97,6 +100,8 @@ def track_scan(
     if track_count:
         aggs.append("count(1) AS _wl_bcount")
     aggs += [f"sum(`_wl_v_{n}`) AS `_wl_tot_{n}`" for n in sums]
+    aggs += [f"max_by(`{c}`, {ok}) FILTER (WHERE `{c}` IS NOT NULL) AS `_wl_fl_{c}`" for c in ffill]
+    aggs += [f"min_by(`{c}`, {ok}) FILTER (WHERE `{c}` IS NOT NULL) AS `_wl_bf_{c}`" for c in bfill]
     per_bucket = base.groupBy(*keys, _B).agg(*[F.expr(a) for a in aggs])
     wb = f"(PARTITION BY {ks} ORDER BY {_B})"
     wb_all = f"(PARTITION BY {ks} ORDER BY {_B} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
@@ -110,6 +115,16 @@ def track_scan(
         f" AND 1 PRECEDING), 0) AS `_wl_off_{n}`"
         for n in sums
     ]
+    stitched += [
+        f"last(`_wl_fl_{c}`, true) OVER (PARTITION BY {ks} ORDER BY {_B} ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND 1 PRECEDING) AS `_wl_pfl_{c}`"
+        for c in ffill
+    ]
+    stitched += [
+        f"last(`_wl_bf_{c}`, true) OVER (PARTITION BY {ks} ORDER BY {_B} DESC ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND 1 PRECEDING) AS `_wl_nbf_{c}`"
+        for c in bfill
+    ]
     if track_first:
         stitched.append(f"first(_wl_bfirst) OVER {wb_all} AS _wl_tfirst")
     if track_last:
@@ -131,6 +146,17 @@ def track_scan(
         f" AND CURRENT ROW) AS `_wl_run_{n}`"
         for n in sums
     ]
+    in_bucket += [
+        f"last(`{c}`, true) OVER (PARTITION BY {ks}, {_B} ORDER BY {order_s} ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW) AS `_wl_if_{c}`"
+        for c in ffill
+    ]
+    desc = ", ".join(f"`{c}` DESC" for c in order)
+    in_bucket += [
+        f"last(`{c}`, true) OVER (PARTITION BY {ks}, {_B} ORDER BY {desc} ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW) AS `_wl_ib_{c}`"
+        for c in bfill
+    ]
     scanned = base.selectExpr("*", *in_bucket)
     joined = scanned.join(per_bucket, [*keys, _B], "left")
 
@@ -141,6 +167,8 @@ def track_scan(
     out += [f"_wl_tlast.`{c}` AS `track_last_{c}`" for c in track_last]
     if track_count:
         out.append(f"CAST(_wl_tcount AS BIGINT) AS `{track_count}`")
+    out += [f"coalesce(`_wl_if_{c}`, `_wl_pfl_{c}`) AS `ffill_{c}`" for c in ffill]
+    out += [f"coalesce(`_wl_ib_{c}`, `_wl_nbf_{c}`) AS `bfill_{c}`" for c in bfill]
     for n in sums:
         total = f"(`_wl_run_{n}` + `_wl_off_{n}`)"
         out.append(f"CAST({total} - 1 AS BIGINT) AS `{n}`" if n == index else f"{total} AS `{n}`")

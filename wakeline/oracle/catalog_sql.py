@@ -366,3 +366,183 @@ SELECT coalesce(p.mmsi, c.mmsi) AS mmsi,
 FROM lb_pts p FULL OUTER JOIN lb_cog c ON p.mmsi = c.mmsi""",
     ("bearing",),
 )
+
+
+# ---------------------------------------------------------------- joins --
+
+FUTURE_TARGETS = """
+ft_pts AS (SELECT mmsi, rid, ts, lat, lon FROM forecast_points),
+ft_big AS (SELECT mmsi FROM ft_pts GROUP BY mmsi HAVING count(*) >= 4),
+ft_tg AS (
+  SELECT p.mmsi, p.rid, p.ts, p.lat, p.lon, hz.h, p.ts - to_hours(hz.h) AS kt
+  FROM ft_pts p CROSS JOIN (VALUES (1), (2), (3)) hz(h)
+),
+ft_tr AS (SELECT *, row_number() OVER (PARTITION BY mmsi, h, kt ORDER BY lat, lon, rid) AS tr FROM ft_tg),
+ft_c AS (
+  SELECT l.mmsi, l.rid, t.h, t.ts AS tts, t.lat AS tlat, t.lon AS tlon,
+    row_number() OVER (PARTITION BY l.mmsi, l.rid, t.h ORDER BY abs(epoch_us(t.kt) - epoch_us(l.ts)),
+      CASE WHEN t.kt <= l.ts THEN 0 ELSE 1 END, CASE WHEN t.kt <= l.ts THEN -t.tr ELSE t.tr END) AS rk
+  FROM ft_pts l JOIN ft_tr t ON t.mmsi = l.mmsi
+   AND t.kt BETWEEN l.ts - INTERVAL 45 MINUTE AND l.ts + INTERVAL 45 MINUTE
+),
+future_targets AS (
+  SELECT mmsi, rid,
+    max(CASE WHEN h = 1 THEN tts END) AS target_timestamp_1h, max(CASE WHEN h = 1 THEN tlat END) AS target_lat_1h,
+    max(CASE WHEN h = 1 THEN tlon END) AS target_lon_1h,
+    max(CASE WHEN h = 2 THEN tts END) AS target_timestamp_2h, max(CASE WHEN h = 2 THEN tlat END) AS target_lat_2h,
+    max(CASE WHEN h = 2 THEN tlon END) AS target_lon_2h,
+    max(CASE WHEN h = 3 THEN tts END) AS target_timestamp_3h, max(CASE WHEN h = 3 THEN tlat END) AS target_lat_3h,
+    max(CASE WHEN h = 3 THEN tlon END) AS target_lon_3h
+  FROM ft_c WHERE rk = 1 AND mmsi IN (SELECT mmsi FROM ft_big)
+  GROUP BY mmsi, rid
+  HAVING count(DISTINCT h) = 3
+)"""
+
+SQL["future_targets"] = rounded(
+    W(FORECAST_POINTS, FUTURE_TARGETS) + "\nSELECT * FROM future_targets",
+    ("target_lat_1h", "target_lon_1h", "target_lat_2h", "target_lon_2h", "target_lat_3h", "target_lon_3h"),
+)
+
+
+# ------------------------------------------------------------ anchorages --
+
+ANCHOR_EVENTS = STOP_SUMMARY + f""",
+nb_ev AS (
+  SELECT mmsi * 1000000 + stop_event_no AS pid, mmsi, stop_event_no, center_lat, center_lon, point_count,
+         duration_hours
+  FROM stop_summary
+),
+nb_pairs AS (
+  SELECT a.pid AS a, b.pid AS b FROM nb_ev a JOIN nb_ev b
+    ON {haversine('a.center_lat', 'a.center_lon', 'b.center_lat', 'b.center_lon')} <= 2.0
+),
+db_core AS (SELECT a AS pid FROM nb_pairs GROUP BY a HAVING count(*) >= 4),
+db_edges AS (
+  SELECT p.a, p.b FROM nb_pairs p JOIN db_core c1 ON p.a = c1.pid JOIN db_core c2 ON p.b = c2.pid
+),
+reach(node, lab) AS (
+  SELECT pid, pid FROM db_core
+  UNION
+  SELECT e.b, r.lab FROM reach r JOIN db_edges e ON e.a = r.node
+),
+db_comp AS (SELECT node, min(lab) AS lab FROM reach GROUP BY node),
+db_num AS (SELECT lab, CAST(dense_rank() OVER (ORDER BY lab) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT lab FROM db_comp)),
+db_corecl AS (SELECT c.node AS pid, n.cluster FROM db_comp c JOIN db_num n USING (lab)),
+db_border AS (
+  SELECT p.a AS pid, min(cc.cluster) AS cluster FROM nb_pairs p JOIN db_corecl cc ON p.b = cc.pid
+  WHERE p.a NOT IN (SELECT pid FROM db_core) GROUP BY p.a
+),
+db_assign AS (SELECT * FROM db_corecl UNION ALL SELECT * FROM db_border),
+anchorage_events AS (
+  SELECT e.*, CAST(coalesce(a.cluster, -1) AS INTEGER) AS anchorage_cluster,
+    CASE WHEN a.cluster IS NOT NULL THEN printf('anchorage_%03d', a.cluster) ELSE 'noise' END AS anchorage_id
+  FROM nb_ev e LEFT JOIN db_assign a USING (pid)
+),
+anchorages AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY event_count DESC, vessel_count DESC, anchorage_id) AS INTEGER) AS rank
+  FROM (
+    SELECT anchorage_id,
+      sum(greatest(CAST(point_count AS DOUBLE), 1.0) * center_lat) / sum(greatest(CAST(point_count AS DOUBLE), 1.0)) AS center_lat,
+      sum(greatest(CAST(point_count AS DOUBLE), 1.0) * center_lon) / sum(greatest(CAST(point_count AS DOUBLE), 1.0)) AS center_lon,
+      count(*) AS event_count, count(DISTINCT mmsi) AS vessel_count, avg(duration_hours) AS mean_duration_hours,
+      CAST(sum(point_count) AS BIGINT) AS total_stop_points
+    FROM anchorage_events WHERE anchorage_cluster >= 0 GROUP BY anchorage_id
+  )
+)"""
+
+
+def WR(*ctes: str) -> str:
+    return "WITH RECURSIVE " + W(*ctes)[len("WITH "):]
+
+
+SQL["anchorage_neighbors"] = W(CLEAN_POINTS, STOP_SUMMARY + f""",
+nb_ev AS (SELECT mmsi * 1000000 + stop_event_no AS pid, center_lat, center_lon FROM stop_summary)""") + f"""
+SELECT CAST(a.pid // 1000000 AS BIGINT) AS mmsi, CAST(a.pid % 1000000 AS BIGINT) AS stop_event_no, count(*) AS neighbours
+FROM nb_ev a JOIN nb_ev b ON {haversine('a.center_lat', 'a.center_lon', 'b.center_lat', 'b.center_lon')} <= 2.0
+GROUP BY a.pid"""
+
+SQL["anchorage_dbscan"] = WR(CLEAN_POINTS, ANCHOR_EVENTS) + (
+    "\nSELECT mmsi, stop_event_no, anchorage_cluster, anchorage_id FROM anchorage_events"
+)
+
+SQL["anchorage_summary"] = rounded(
+    WR(CLEAN_POINTS, ANCHOR_EVENTS) + "\nSELECT * FROM anchorages",
+    ("center_lat", "center_lon", "mean_duration_hours"),
+)
+
+SQL["nearest_anchorage"] = rounded(
+    WR(CLEAN_POINTS, ANCHOR_EVENTS, track_features_sql("clean_points")) + f"""
+SELECT mmsi, anchorage_id AS predicted_anchorage_id, center_lat AS predicted_anchorage_lat,
+  center_lon AS predicted_anchorage_lon, d AS anchorage_distance_km, 1.0 / (1.0 + d / 2.0) AS anchorage_confidence
+FROM (
+  SELECT f.mmsi, a.anchorage_id, a.center_lat, a.center_lon, a.rank,
+    {haversine('f.end_lat', 'f.end_lon', 'a.center_lat', 'a.center_lon')} AS d
+  FROM feat f CROSS JOIN anchorages a
+) QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY d, rank) = 1""",
+    ("predicted_anchorage_lat", "predicted_anchorage_lon", "anchorage_distance_km", "anchorage_confidence"),
+)
+
+
+# ------------------------------------------------------------ route space --
+
+ROUTE_SPACE = signature_sql("clean_points") + """,
+sc_stats AS (
+  SELECT step, avg(lat) AS mean_lat, CASE WHEN stddev_pop(lat) = 0 THEN 1.0 ELSE stddev_pop(lat) END AS scale_lat,
+         avg(lon) AS mean_lon, CASE WHEN stddev_pop(lon) = 0 THEN 1.0 ELSE stddev_pop(lon) END AS scale_lon
+  FROM sig GROUP BY step
+),
+scaled AS (
+  SELECT s.mmsi, s.step, (s.lat - t.mean_lat) / t.scale_lat AS lat, (s.lon - t.mean_lon) / t.scale_lon AS lon
+  FROM sig s JOIN sc_stats t USING (step)
+),
+rl_mode AS (
+  SELECT mmsi, route_label, n FROM (
+    SELECT mmsi, route_label, n, row_number() OVER (PARTITION BY mmsi ORDER BY n DESC, route_label) AS rk
+    FROM (SELECT mmsi, route_label, count(*) AS n FROM clean_points WHERE route_label IS NOT NULL GROUP BY ALL)
+  ) WHERE rk = 1
+),
+rl_tot AS (SELECT mmsi, count(*) AS t FROM clean_points WHERE route_label IS NOT NULL GROUP BY mmsi),
+route_labels AS (
+  SELECT v.mmsi, coalesce(m.route_label, 'unknown_route') AS route_label, coalesce(m.n / t.t, 0.0) AS label_share
+  FROM (SELECT DISTINCT mmsi FROM clean_points) v LEFT JOIN rl_mode m USING (mmsi) LEFT JOIN rl_tot t USING (mmsi)
+),
+centroids AS (
+  SELECT l.route_label, s.step, avg(s.lat) AS lat, avg(s.lon) AS lon
+  FROM scaled s JOIN route_labels l USING (mmsi) GROUP BY l.route_label, s.step
+),
+route_dist AS (
+  SELECT s.mmsi, l.route_label, sqrt(sum(pow(s.lat - c.lat, 2) + pow(s.lon - c.lon, 2))) AS route_distance
+  FROM scaled s JOIN route_labels l USING (mmsi) JOIN centroids c ON c.route_label = l.route_label AND c.step = s.step
+  GROUP BY s.mmsi, l.route_label
+),
+thresholds AS (
+  SELECT route_label, quantile_cont(route_distance, 0.95) AS threshold, avg(route_distance) AS mean_distance,
+         stddev_pop(route_distance) AS std_distance, count(*) AS vessels
+  FROM route_dist GROUP BY route_label
+  UNION ALL
+  SELECT NULL, quantile_cont(route_distance, 0.95), avg(route_distance), stddev_pop(route_distance), count(*)
+  FROM route_dist
+)"""
+
+SQL["scale_signature"] = rounded(W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM scaled", ("lat", "lon"))
+SQL["label_centroids"] = rounded(W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM centroids", ("lat", "lon"))
+SQL["route_centers"] = rounded(
+    W(CLEAN_POINTS, ROUTE_SPACE) + """
+SELECT c.route_label, c.step, c.lat * t.scale_lat + t.mean_lat AS lat, c.lon * t.scale_lon + t.mean_lon AS lon
+FROM centroids c JOIN sc_stats t USING (step)""",
+    ("lat", "lon"),
+)
+SQL["route_distance"] = rounded(W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM route_dist", ("route_distance",))
+SQL["anomaly_thresholds"] = rounded(
+    W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM thresholds", ("threshold", "mean_distance", "std_distance")
+)
+SQL["route_catalog"] = rounded(
+    W(CLEAN_POINTS, ROUTE_SPACE, track_features_sql("clean_points")) + """
+SELECT l.route_label, count(*) AS vessel_count, avg(f.start_lat) AS mean_start_lat, avg(f.start_lon) AS mean_start_lon,
+  avg(f.end_lat) AS mean_end_lat, avg(f.end_lon) AS mean_end_lon, avg(f.total_distance_km) AS mean_distance_km,
+  avg(f.duration_hours) AS mean_duration_hours
+FROM feat f JOIN route_labels l USING (mmsi) GROUP BY l.route_label""",
+    ("mean_start_lat", "mean_start_lon", "mean_end_lat", "mean_end_lon", "mean_distance_km", "mean_duration_hours"),
+)
+SQL["attach_labels"] = W(CLEAN_POINTS, ROUTE_SPACE, track_features_sql("clean_points")) + """
+SELECT f.mmsi, f.point_count, l.route_label FROM feat f JOIN route_labels l USING (mmsi)"""

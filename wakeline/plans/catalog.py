@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.numeric import round_doubles
 from wakeline.operators import clean as C
+from wakeline.operators import cluster as K
+from wakeline.operators import joins as J
 from wakeline.operators import track as T
 from wakeline.operators import vessel as V
 from wakeline.plans.stages import stage_table
@@ -139,3 +141,137 @@ def q_split_gaps(spark, sf_dir):
 def q_latest_bearing(spark, sf_dir):
     pts = clean(spark, sf_dir)
     return round_doubles(T.latest_bearing(pts, T.track_line_points(pts, T.TRACK_POINTS)))
+
+
+# ----------------------------------------------------------------- joins --
+
+def forecast_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast-path points with motion features, staged once per input."""
+
+    return stage_table(
+        spark, "forecast_points", sf_dir,
+        lambda: T.motion_features(C.clean_points_forecast(X.ais_points(spark, sf_dir))),
+    )
+
+
+def supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supervised forecast rows (points with 1/2/3 h targets), staged."""
+
+    return stage_table(spark, "supervised_rows", sf_dir, lambda: J.future_targets(forecast_points(spark, sf_dir)))
+
+
+@query("future_targets")
+def q_future_targets(spark, sf_dir):
+    out = J.future_targets(forecast_points(spark, sf_dir))
+    cols = ["mmsi", "rid"] + [f"target_{k}_{h}h" for h in J.HORIZONS_H for k in ("timestamp", "lat", "lon")]
+    return round_doubles(out.select(*cols))
+
+
+# ------------------------------------------------------ route / anchorage --
+
+def vessels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "vessel_summary", sf_dir, lambda: V.vessel_summary(clean(spark, sf_dir)))
+
+
+def signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "track_signature", sf_dir, lambda: T.track_signature(clean(spark, sf_dir)))
+
+
+def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "stop_events", sf_dir, lambda: T.stop_events(clean(spark, sf_dir)))
+
+
+def anchorage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "anchorage_events", sf_dir, lambda: K.anchorage_dbscan(stops(spark, sf_dir)))
+
+
+def anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "anchorages", sf_dir, lambda: K.anchorage_summary(anchorage_events(spark, sf_dir)))
+
+
+def route_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing route labels per vessel (mode) with the mode's share of the
+    vessel's labelled points; vessels without any label get unknown_route."""
+
+    pts = clean(spark, sf_dir)
+    mode = V.vessel_label_mode(pts)
+    share = pts.where("route_label IS NOT NULL").groupBy("mmsi", "route_label").agg(F.expr("count(1) AS _n")).join(
+        mode, ["mmsi", "route_label"]
+    ).join(
+        pts.where("route_label IS NOT NULL").groupBy("mmsi").agg(F.expr("count(1) AS _t")), "mmsi"
+    ).selectExpr("mmsi", "_n / _t AS label_share")
+    allv = pts.select("mmsi").distinct()
+    return allv.join(mode, "mmsi", "left").join(share, "mmsi", "left").selectExpr(
+        "mmsi", "coalesce(route_label, 'unknown_route') AS route_label", "coalesce(label_share, 0.0D) AS label_share"
+    )
+
+
+def route_space(spark: SparkSession, sf_dir: str):
+    scaled, scaler = K.scale_signature(signature(spark, sf_dir))
+    labels = route_labels(spark, sf_dir)
+    cents = K.label_centroids(scaled, labels)
+    return scaled, scaler, labels, cents
+
+
+@query("anchorage_neighbors")
+def q_anchorage_neighbors(spark, sf_dir):
+    return K.neighbour_counts(stops(spark, sf_dir))
+
+
+@query("anchorage_dbscan")
+def q_anchorage_dbscan(spark, sf_dir):
+    return anchorage_events(spark, sf_dir).select("mmsi", "stop_event_no", "anchorage_cluster", "anchorage_id")
+
+
+@query("anchorage_summary")
+def q_anchorage_summary(spark, sf_dir):
+    return round_doubles(anchorages(spark, sf_dir))
+
+
+@query("nearest_anchorage")
+def q_nearest_anchorage(spark, sf_dir):
+    out = J.nearest_centre(vessels(spark, sf_dir), anchorages(spark, sf_dir))
+    return round_doubles(out.selectExpr(
+        "mmsi", "anchorage_id AS predicted_anchorage_id", "centre_lat AS predicted_anchorage_lat",
+        "centre_lon AS predicted_anchorage_lon", "distance_km AS anchorage_distance_km",
+        f"1.0D / (1.0D + distance_km / {max(K.ANCHORAGE_EPS_KM, 0.1)}D) AS anchorage_confidence",
+    ))
+
+
+@query("scale_signature")
+def q_scale_signature(spark, sf_dir):
+    scaled, _ = K.scale_signature(signature(spark, sf_dir))
+    return round_doubles(scaled)
+
+
+@query("label_centroids")
+def q_label_centroids(spark, sf_dir):
+    return round_doubles(route_space(spark, sf_dir)[3])
+
+
+@query("route_centers")
+def q_route_centers(spark, sf_dir):
+    _, scaler, _, cents = route_space(spark, sf_dir)
+    return round_doubles(K.route_centers(cents, scaler))
+
+
+@query("route_distance")
+def q_route_distance(spark, sf_dir):
+    scaled, _, labels, cents = route_space(spark, sf_dir)
+    return round_doubles(K.route_distance(scaled, labels, cents))
+
+
+@query("anomaly_thresholds")
+def q_anomaly_thresholds(spark, sf_dir):
+    scaled, _, labels, cents = route_space(spark, sf_dir)
+    return round_doubles(K.anomaly_thresholds(K.route_distance(scaled, labels, cents)))
+
+
+@query("route_catalog")
+def q_route_catalog(spark, sf_dir):
+    return round_doubles(K.route_catalog(vessels(spark, sf_dir), route_labels(spark, sf_dir)))
+
+
+@query("attach_labels")
+def q_attach_labels(spark, sf_dir):
+    return vessels(spark, sf_dir).join(route_labels(spark, sf_dir), "mmsi").select("mmsi", "point_count", "route_label")
