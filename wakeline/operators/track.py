@@ -111,7 +111,8 @@ def latest_position(points: DataFrame, key: str = "mmsi", cols: Sequence[str] |
 
     cols = [c for c in (cols or points.columns) if c != key]
     st = "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
-    return points.groupBy(key).agg(F.expr(f"max_by({st}, struct({', '.join(ORDER)})) AS _l")).selectExpr(
+    order = ", ".join(order_for(points))
+    return points.groupBy(key).agg(F.expr(f"max_by({st}, struct({order})) AS _l")).selectExpr(
         key, *[f"_l.`{c}` AS `{c}`" for c in cols]
     )
 

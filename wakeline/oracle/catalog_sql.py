@@ -546,3 +546,365 @@ FROM feat f JOIN route_labels l USING (mmsi) GROUP BY l.route_label""",
 )
 SQL["attach_labels"] = W(CLEAN_POINTS, ROUTE_SPACE, track_features_sql("clean_points")) + """
 SELECT f.mmsi, f.point_count, l.route_label FROM feat f JOIN route_labels l USING (mmsi)"""
+
+
+# ------------------------------------------------------------ predictions --
+
+PREDICTIONS = """
+thr_route AS (SELECT route_label, threshold FROM thresholds WHERE route_label IS NOT NULL),
+thr_glob AS (SELECT threshold AS g FROM thresholds WHERE route_label IS NULL),
+assigned AS (
+  SELECT l.mmsi, l.route_label AS predicted_route, l.label_share AS predicted_route_probability,
+    greatest(coalesce(t.threshold, greatest(g.g, 1e-9)), 1e-9) AS route_distance_threshold
+  FROM route_labels l LEFT JOIN thr_route t ON t.route_label = l.route_label CROSS JOIN thr_glob g
+),
+near AS (
+  SELECT mmsi, anchorage_id AS predicted_anchorage_id, center_lat AS predicted_anchorage_lat,
+    center_lon AS predicted_anchorage_lon, d AS anchorage_distance_km, 1.0 / (1.0 + d / 2.0) AS anchorage_confidence
+  FROM (
+    SELECT f.mmsi, a.anchorage_id, a.center_lat, a.center_lon, a.rank,
+      """ + haversine("f.end_lat", "f.end_lon", "a.center_lat", "a.center_lon") + """ AS d
+    FROM feat f CROSS JOIN anchorages a
+  ) QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY d, rank) = 1
+),
+tmode AS (
+  SELECT mmsi, predicted_shiptype, predicted_shiptype_probability FROM (
+    SELECT mmsi, shiptype AS predicted_shiptype, n * 1.0 / sum(n) OVER (PARTITION BY mmsi) AS predicted_shiptype_probability,
+      row_number() OVER (PARTITION BY mmsi ORDER BY n DESC, shiptype) AS rk
+    FROM (SELECT mmsi, shiptype, count(*) AS n FROM points_src WHERE shiptype IS NOT NULL GROUP BY ALL)
+  ) WHERE rk = 1
+),
+predictions AS (
+  SELECT f.mmsi, f.first_timestamp, f.last_timestamp, f.point_count, f.duration_hours, f.start_lat, f.start_lon,
+    f.end_lat, f.end_lon, f.total_distance_km, f.mean_sog, f.width, f.length, f.draught,
+    a.predicted_route, a.predicted_route_probability, d.route_distance, a.route_distance_threshold,
+    d.route_distance / a.route_distance_threshold AS route_distance_ratio,
+    0.75 * (d.route_distance / a.route_distance_threshold) + 0.25 * (1.0 - a.predicted_route_probability) AS anomaly_score,
+    (d.route_distance / a.route_distance_threshold) > 1.0 OR a.predicted_route_probability < 0.35 AS is_anomaly,
+    n.predicted_anchorage_id, n.predicted_anchorage_lat, n.predicted_anchorage_lon, n.anchorage_distance_km,
+    n.anchorage_confidence, t.predicted_shiptype, t.predicted_shiptype_probability
+  FROM feat f JOIN assigned a USING (mmsi) JOIN route_dist d USING (mmsi)
+  LEFT JOIN near n USING (mmsi) LEFT JOIN tmode t USING (mmsi)
+)"""
+
+PRED_DOUBLES = (
+    "duration_hours", "start_lat", "start_lon", "end_lat", "end_lon", "total_distance_km", "mean_sog", "width",
+    "length", "draught", "predicted_route_probability", "route_distance", "route_distance_threshold",
+    "route_distance_ratio", "anomaly_score", "predicted_anchorage_lat", "predicted_anchorage_lon",
+    "anchorage_distance_km", "anchorage_confidence", "predicted_shiptype_probability",
+)
+
+
+def P_(body: str, doubles=()) -> str:
+    sql = WR(CLEAN_POINTS, ANCHOR_EVENTS, ROUTE_SPACE, track_features_sql("clean_points"), PREDICTIONS) + "\n" + body
+    return rounded(sql, tuple(doubles))
+
+
+SQL["threshold_lookup"] = P_("SELECT mmsi, predicted_route, route_distance_threshold FROM assigned",
+                             ("route_distance_threshold",))
+SQL["anomaly_score"] = P_("SELECT mmsi, route_distance_ratio, anomaly_score, is_anomaly FROM predictions",
+                          ("route_distance_ratio", "anomaly_score"))
+SQL["attach_anchorage"] = P_("SELECT * FROM predictions", PRED_DOUBLES)
+SQL["rank_predictions"] = P_("SELECT mmsi, is_anomaly, anomaly_score FROM predictions", ("anomaly_score",))
+SQL["anomaly_ships"] = P_("SELECT mmsi, predicted_route, anomaly_score FROM predictions WHERE is_anomaly",
+                          ("anomaly_score",))
+SQL["top_ships"] = P_(
+    "SELECT mmsi, is_anomaly, predicted_route_probability FROM predictions"
+    " ORDER BY is_anomaly DESC, predicted_route_probability DESC, mmsi LIMIT 800",
+    ("predicted_route_probability",),
+)
+SQL["filter_predictions"] = P_("""
+SELECT 'type' AS filter, mmsi FROM predictions WHERE predicted_shiptype = 'Cargo'
+UNION ALL SELECT 'route', mmsi FROM predictions WHERE predicted_route = 'lane_1'
+UNION ALL SELECT 'anomaly', mmsi FROM predictions WHERE is_anomaly""")
+SQL["value_counts"] = P_("""
+SELECT 'shipTypes' AS kind, coalesce(predicted_shiptype, 'Unknown') AS name, count(*) AS count FROM predictions GROUP BY 2
+UNION ALL
+SELECT 'routes', coalesce(predicted_route, 'Unknown'), count(*) FROM predictions GROUP BY 2""")
+SQL["route_summary"] = P_("""
+SELECT predicted_route AS route_label, count(mmsi) AS vessel_count,
+  CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_count,
+  avg(predicted_route_probability) AS avg_route_probability,
+  avg(predicted_shiptype_probability) AS avg_shiptype_probability
+FROM predictions GROUP BY predicted_route""", ("avg_route_probability", "avg_shiptype_probability"))
+SQL["type_route_counts"] = P_(
+    "SELECT predicted_shiptype, predicted_route, count(*) AS vessel_count FROM predictions GROUP BY ALL"
+)
+SQL["route_anomaly_pivot"] = P_("""
+SELECT coalesce(predicted_route, 'Unknown') AS route_label,
+  count(*) FILTER (WHERE NOT is_anomaly) AS normal, count(*) FILTER (WHERE is_anomaly) AS anomaly, count(*) AS total
+FROM predictions GROUP BY 1""")
+SQL["route_type_crosstab"] = P_("""
+, ct AS (SELECT coalesce(predicted_shiptype, 'Unknown') AS predicted_shiptype,
+                coalesce(predicted_route, 'Unknown') AS route_label FROM predictions),
+ct_top AS (SELECT predicted_shiptype FROM ct GROUP BY 1 ORDER BY count(*) DESC, predicted_shiptype LIMIT 8),
+ct_cnt AS (SELECT route_label, predicted_shiptype, count(*) AS n FROM ct GROUP BY ALL)
+SELECT r.route_label, t.predicted_shiptype, coalesce(c.n, 0) AS vessel_count
+FROM (SELECT DISTINCT route_label FROM ct) r CROSS JOIN ct_top t
+LEFT JOIN ct_cnt c ON c.route_label = r.route_label AND c.predicted_shiptype = t.predicted_shiptype""".lstrip().replace(
+    ", ct AS", "SELECT * FROM (WITH ct AS", 1) + ")")
+SQL["bounds"] = P_("""
+, bp AS (
+  SELECT start_lat AS lat, start_lon AS lon FROM predictions UNION ALL SELECT end_lat, end_lon FROM predictions
+  UNION ALL SELECT c.lat * t.scale_lat + t.mean_lat, c.lon * t.scale_lon + t.mean_lon
+  FROM centroids c JOIN sc_stats t USING (step)
+)
+SELECT min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon FROM bp""".lstrip().replace(
+    ", bp AS", "SELECT * FROM (WITH bp AS", 1) + ")", ("min_lat", "min_lon", "max_lat", "max_lon"))
+SQL["anchorage_predictions"] = P_(
+    "SELECT mmsi, end_lat, end_lon, predicted_anchorage_id, predicted_anchorage_lat, predicted_anchorage_lon,"
+    " anchorage_distance_km FROM predictions",
+    ("end_lat", "end_lon", "predicted_anchorage_lat", "predicted_anchorage_lon", "anchorage_distance_km"),
+)
+SQL["normalise_predictions"] = P_(
+    "SELECT CAST(mmsi AS VARCHAR) AS mmsi, coalesce(nullif(trim(predicted_shiptype), ''), 'Unknown') AS predicted_shiptype,"
+    " coalesce(is_anomaly, false) AS is_anomaly, start_lat, start_lon, end_lat, end_lon, predicted_route_probability,"
+    " anomaly_score, route_distance_ratio, mean_sog, width, length, draught,"
+    f" coalesce({bearing('start_lat', 'start_lon', 'end_lat', 'end_lon')}, 0.0) AS bearing FROM predictions",
+    ("start_lat", "start_lon", "end_lat", "end_lon", "predicted_route_probability", "anomaly_score",
+     "route_distance_ratio", "mean_sog", "width", "length", "draught", "bearing"),
+)
+SQL["parse_bool"] = P_("SELECT CAST(mmsi AS VARCHAR) AS mmsi, coalesce(is_anomaly, false) AS is_anomaly FROM predictions")
+SQL["clean_number_text"] = P_(
+    "SELECT CAST(mmsi AS VARCHAR) AS mmsi, anomaly_score, mean_sog FROM predictions", ("anomaly_score", "mean_sog")
+)
+SQL["valid_lonlat"] = W(RAW_POINTS) + """
+SELECT rid, (lon IS NOT NULL AND lat IS NOT NULL AND NOT isnan(lon) AND NOT isnan(lat)
+  AND lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90) AS valid FROM points_src"""
+
+
+# ---------------------------------------------------------------- metrics --
+
+LABELLED = """
+labelled AS (
+  SELECT event_id, user_id AS group_id, event_type AS label,
+    CASE WHEN event_id % 7 = 0
+         THEN coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id), event_type)
+         ELSE event_type END AS prediction,
+    (event_id % 1000) / 1000 AS confidence
+  FROM events
+),
+pc AS (SELECT label AS actual, prediction AS predicted, count(*) AS n FROM labelled GROUP BY ALL),
+cls AS (SELECT actual AS class FROM pc UNION SELECT predicted FROM pc),
+cm AS (
+  SELECT c.class,
+    coalesce((SELECT sum(n) FROM pc WHERE pc.actual = c.class), 0) AS support,
+    coalesce((SELECT sum(n) FROM pc WHERE pc.predicted = c.class), 0) AS npred,
+    coalesce((SELECT sum(n) FROM pc WHERE pc.actual = c.class AND pc.predicted = c.class), 0) AS tp
+  FROM cls c
+),
+class_metrics AS (
+  SELECT class, precision, recall,
+    CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2.0 * precision * recall / (precision + recall) END AS f1_score,
+    CAST(support AS BIGINT) AS support
+  FROM (SELECT class, support,
+          CASE WHEN npred = 0 THEN 0.0 ELSE tp / npred END AS precision,
+          CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall FROM cm)
+),
+conf_pairs AS (
+  SELECT p.actual, p.predicted, p.n AS count, s.actual_support, p.n / s.actual_support AS actual_error_rate
+  FROM pc p JOIN (SELECT actual, sum(n) AS actual_support FROM pc GROUP BY actual) s USING (actual)
+  WHERE p.actual <> p.predicted
+)"""
+
+
+def L_(body: str, doubles=()) -> str:
+    return rounded(W(LABELLED) + "\n" + body, tuple(doubles))
+
+
+SQL["class_counts"] = W(LABELLED) + "\nSELECT label AS class, count(*) AS rows FROM labelled GROUP BY label"
+SQL["class_metrics"] = L_("SELECT * FROM class_metrics", ("precision", "recall", "f1_score"))
+SQL["sorted_class_metrics"] = SQL["class_metrics"]
+SQL["summary_metrics"] = L_("""
+SELECT (SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM labelled) AS accuracy,
+  avg(f1_score) AS macro_f1, sum(f1_score * support) / sum(support) AS weighted_f1 FROM class_metrics""",
+                            ("accuracy", "macro_f1", "weighted_f1"))
+SQL["confusion_pairs"] = L_("SELECT * FROM conf_pairs", ("actual_error_rate",))
+SQL["top_confusions"] = L_("SELECT * FROM conf_pairs ORDER BY count DESC, actual, predicted LIMIT 10",
+                           ("actual_error_rate",))
+SQL["confusion_matrix"] = L_("""
+SELECT a.class AS actual, b.class AS predicted, coalesce(pc.n, 0) AS count,
+  CASE WHEN coalesce(s.support, 0) = 0 THEN 0.0 ELSE 100.0 * coalesce(pc.n, 0) / s.support END AS row_pct
+FROM cls a CROSS JOIN cls b
+LEFT JOIN pc ON pc.actual = a.class AND pc.predicted = b.class
+LEFT JOIN (SELECT actual, sum(n) AS support FROM pc GROUP BY actual) s ON s.actual = a.class""", ("row_pct",))
+SQL["calibration_error"] = L_("""
+SELECT sum(abs(acc - conf) * n) / sum(n) AS ece FROM (
+  SELECT least(CAST(floor(confidence * 10) AS INTEGER), 9) AS bin, count(*) AS n,
+    avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS acc, avg(confidence) AS conf
+  FROM labelled GROUP BY 1)""", ("ece",))
+
+
+# ----------------------------------------------------------------- splits --
+
+def h31(c: str) -> str:
+    return f"((({c}) % 2147483648) * 1103515245 + 12345) % 2147483648"
+
+
+SPLIT_GROUPS = f"""
+sg_groups AS (SELECT DISTINCT group_id FROM labelled),
+sg_test AS (
+  SELECT group_id FROM (
+    SELECT group_id, row_number() OVER (ORDER BY {h31('group_id')}, group_id) AS r FROM sg_groups)
+  WHERE r <= CAST(ceil(0.2 * (SELECT count(*) FROM sg_groups)) AS BIGINT)
+),
+sg_split AS (
+  SELECT l.*, l.group_id IN (SELECT group_id FROM sg_test) AS is_test FROM labelled l
+)"""
+
+SQL["group_split"] = W(LABELLED, SPLIT_GROUPS) + "\nSELECT event_id, is_test FROM sg_split"
+SQL["leakage_overlap"] = W(LABELLED, SPLIT_GROUPS) + """
+SELECT CAST(sum(CASE WHEN t = 1 AND f = 0 THEN 1 ELSE 0 END) AS BIGINT) AS overlap_groups,
+  CAST(sum(t) AS BIGINT) AS test_groups,
+  CASE WHEN sum(t) = 0 THEN 0.0 ELSE sum(CASE WHEN t = 1 AND f = 0 THEN 1 ELSE 0 END) / sum(t) END AS overlap_ratio
+FROM (SELECT group_id, max(CAST(is_test AS INTEGER)) AS t, min(CAST(is_test AS INTEGER)) AS f FROM sg_split GROUP BY 1)"""
+SQL["group_folds"] = W(LABELLED) + f"""
+, gf AS (
+  SELECT group_id, sum(c) AS rows_, arg_min(label, (-c, label)) AS stratum
+  FROM (SELECT group_id, label, count(*) AS c FROM labelled GROUP BY ALL) GROUP BY group_id
+),
+gd AS (
+  SELECT group_id, CAST((row_number() OVER (PARTITION BY stratum ORDER BY rows_ DESC, {h31('group_id')}, group_id) - 1) % 3
+    AS INTEGER) AS fold FROM gf
+)
+SELECT l.event_id, g.fold FROM labelled l JOIN gd g USING (group_id)""".replace("\n, gf AS", ",\ngf AS", 1)
+SQL["stratified_row_split"] = W(LABELLED) + f"\nSELECT event_id, {h31('event_id')} < 429496729 AS is_test FROM labelled"
+
+SUPERVISED = FORECAST_POINTS + "," + FUTURE_TARGETS + """,
+supervised AS (SELECT p.*, t.* EXCLUDE (mmsi, rid) FROM forecast_points p JOIN future_targets t USING (mmsi, rid))"""
+
+
+def S_(body: str, doubles=()) -> str:
+    return rounded(W(SUPERVISED) + "\n" + body, tuple(doubles))
+
+
+SQL["split_profile"] = S_(f"""
+, sp_g AS (SELECT DISTINCT mmsi FROM supervised),
+sp_t AS (SELECT mmsi FROM (SELECT mmsi, row_number() OVER (ORDER BY {h31('mmsi')}, mmsi) AS r FROM sp_g)
+         WHERE r <= CAST(ceil(0.2 * (SELECT count(*) FROM sp_g)) AS BIGINT))
+SELECT mmsi IN (SELECT mmsi FROM sp_t) AS is_test, count(*) AS rows, count(DISTINCT mmsi) AS groups,
+  min(ts) AS first_ts, max(ts) AS last_ts
+FROM supervised GROUP BY 1""".replace("\n, sp_g AS", "SELECT * FROM (WITH sp_g AS", 1) + ")")
+SQL["temporal_split_points"] = S_("""
+SELECT rid, row_number() OVER (ORDER BY ts, rid) > CAST(floor(0.8 * (SELECT count(*) FROM supervised)) AS BIGINT) AS is_test
+FROM supervised""")
+SQL["cap_rows_by_group"] = S_(f"""
+SELECT s.mmsi, s.rid FROM supervised s JOIN (
+  SELECT mmsi FROM (
+    SELECT mmsi, coalesce(sum(n) OVER (ORDER BY {h31('mmsi')}, mmsi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
+    FROM (SELECT mmsi, count(*) AS n FROM supervised GROUP BY mmsi)
+  ) WHERE before_ < 180000
+) k USING (mmsi)""")
+
+
+# --------------------------------------------------------------- forecast --
+
+def dr_sql(h: int) -> tuple[str, str]:
+    speed = "least(greatest(coalesce(sog, 0.0), 0.0), 70.0)"
+    ang = f"(({speed}) * 1.852 * {float(h)} / 6371.0088)"
+    brg = "radians(((coalesce(cog, 0.0) % 360.0) + 360.0) % 360.0)"
+    p1, l1 = "radians(lat)", "radians(lon)"
+    p2 = f"asin(sin({p1}) * cos({ang}) + cos({p1}) * sin({ang}) * cos({brg}))"
+    l2 = f"({l1} + atan2(sin({brg}) * sin({ang}) * cos({p1}), cos({ang}) - sin({p1}) * sin({p2})))"
+    x = f"(degrees({l2}) + 180.0)"
+    return f"degrees({p2})", f"((({x} % 360.0) + 360.0) % 360.0 - 180.0)"
+
+
+HZ = (1, 2, 3)
+DR_COLS = ", ".join(f"{dr_sql(h)[0]} AS dr_lat_{h}h, {dr_sql(h)[1]} AS dr_lon_{h}h" for h in HZ)
+BASELINES = SUPERVISED + f""",
+baselines AS (
+  SELECT *, {DR_COLS}, {", ".join(f"lat AS const_lat_{h}h, lon AS const_lon_{h}h" for h in HZ)} FROM supervised
+)"""
+
+
+def B_(body: str, doubles=()) -> str:
+    return rounded(W(BASELINES) + "\n" + body, tuple(doubles))
+
+
+SQL["dead_reckon"] = B_(
+    "SELECT rid, " + ", ".join(f"dr_lat_{h}h, dr_lon_{h}h" for h in HZ) + " FROM baselines",
+    [f"dr_{a}_{h}h" for h in HZ for a in ("lat", "lon")],
+)
+SQL["constant_position"] = B_(
+    "SELECT rid, " + ", ".join(f"const_lat_{h}h, const_lon_{h}h" for h in HZ) + " FROM baselines",
+    [f"const_{a}_{h}h" for h in HZ for a in ("lat", "lon")],
+)
+
+
+def herr(prefix: str, method: str) -> str:
+    parts = []
+    for h in HZ:
+        d = haversine(f"target_lat_{h}h", f"target_lon_{h}h", f"{prefix}lat_{h}h", f"{prefix}lon_{h}h")
+        parts.append(
+            f"SELECT '{method}' AS method, {h} AS horizon_h, avg({d}) AS mean_error_km,"
+            f" avg(abs(target_lat_{h}h - {prefix}lat_{h}h)) AS mae_lat, avg(abs(target_lon_{h}h - {prefix}lon_{h}h)) AS mae_lon"
+            f" FROM baselines"
+        )
+    return " UNION ALL ".join(parts)
+
+
+SQL["horizon_error"] = B_(herr("const_", "constant_position") + " UNION ALL " + herr("dr_", "dead_reckoning"),
+                          ("mean_error_km", "mae_lat", "mae_lon"))
+SQL["error_reduction_pct"] = B_(f"""
+SELECT c.horizon_h, CASE WHEN c.mean_error_km <= 0 THEN NULL
+  ELSE (c.mean_error_km - d.mean_error_km) / c.mean_error_km * 100.0 END AS reduction_pct
+FROM ({herr('const_', 'c')}) c JOIN ({herr('dr_', 'd')}) d USING (horizon_h)""", ("reduction_pct",))
+
+BLEND = BASELINES + ",\nbw_w AS (SELECT i / 20 AS w FROM range(0, 21) r(i)),\nblend_w AS (" + " UNION ALL ".join(
+    f"""SELECT {h} AS horizon_h, arg_min(w, (err, w)) AS weight, min(err) AS error_km FROM (
+  SELECT w, avg({haversine(f'target_lat_{h}h', f'target_lon_{h}h', f'(w * const_lat_{h}h + (1.0 - w) * dr_lat_{h}h)',
+                           f'(w * const_lon_{h}h + (1.0 - w) * dr_lon_{h}h)')}) AS err
+  FROM baselines CROSS JOIN bw_w GROUP BY w)"""
+    for h in HZ
+) + ")"
+
+SQL["blend_weights"] = rounded(W(BLEND) + "\nSELECT * FROM blend_w", ("weight", "error_km"))
+SQL["prediction_method"] = rounded(W(BLEND) + """
+SELECT horizon_h, weight, CASE WHEN weight <= 0.0 THEN 'dead_reckoning' WHEN weight >= 1.0 THEN 'random_forest'
+  ELSE 'rf_dead_reckoning_blend' END AS method FROM blend_w""", ("weight",))
+W_ROW = ", ".join(f"(SELECT weight FROM blend_w WHERE horizon_h = {h}) AS w{h}" for h in HZ)
+SQL["apply_blend"] = rounded(W(BLEND) + f"""
+SELECT rid, {", ".join(f"w{h} * const_lat_{h}h + (1.0 - w{h}) * dr_lat_{h}h AS pred_lat_{h}h, "
+                       f"w{h} * const_lon_{h}h + (1.0 - w{h}) * dr_lon_{h}h AS pred_lon_{h}h" for h in HZ)}
+FROM baselines CROSS JOIN (SELECT {W_ROW})""", [f"pred_{a}_{h}h" for h in HZ for a in ("lat", "lon")])
+
+
+def clip_lat(x: str) -> str:
+    return f"least(greatest({x}, -90.0), 90.0)"
+
+
+def clip_lon(x: str) -> str:
+    return f"least(greatest({x}, -180.0), 180.0)"
+
+
+LATEST_COLS = []
+for _h in HZ:
+    LATEST_COLS += [
+        f"{clip_lat(f'w{_h} * lat + (1.0 - w{_h}) * dr_lat_{_h}h')} AS pred_lat_{_h}h",
+        f"{clip_lon(f'w{_h} * lon + (1.0 - w{_h}) * dr_lon_{_h}h')} AS pred_lon_{_h}h",
+        f"{clip_lat('lat')} AS rf_pred_lat_{_h}h", f"{clip_lon('lon')} AS rf_pred_lon_{_h}h",
+        f"{clip_lat(f'dr_lat_{_h}h')} AS dead_reckoning_pred_lat_{_h}h",
+        f"{clip_lon(f'dr_lon_{_h}h')} AS dead_reckoning_pred_lon_{_h}h",
+        f"w{_h} AS rf_weight_{_h}h",
+        f"CASE WHEN w{_h} <= 0.0 THEN 'dead_reckoning' WHEN w{_h} >= 1.0 THEN 'random_forest'"
+        f" ELSE 'rf_dead_reckoning_blend' END AS prediction_method_{_h}h",
+    ]
+SQL["forecast_latest"] = rounded(W(BLEND) + f"""
+, fl_last AS (
+  SELECT * FROM forecast_points QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY ts DESC, lat DESC, lon DESC, rid DESC) = 1
+),
+fl_dr AS (SELECT *, {DR_COLS} FROM fl_last)
+SELECT mmsi, ts AS start_timestamp, lat AS start_lat, lon AS start_lon, {", ".join(LATEST_COLS)}
+FROM fl_dr CROSS JOIN (SELECT {W_ROW})""".replace("\n, fl_last AS", ",\nfl_last AS", 1).replace(
+    "SELECT * FROM blend_w", ""), ["start_lat", "start_lon"] + [
+    f"{p}{a}_{h}h" for h in HZ for p in ("pred_", "rf_pred_", "dead_reckoning_pred_") for a in ("lat", "lon")
+] + [f"rf_weight_{h}h" for h in HZ])
+SQL["clip_columns"] = rounded(W(FORECAST_POINTS) + f"""
+, cc AS (
+  SELECT rid, least(greatest(coalesce((epoch_us(ts) - epoch_us(pts)) / 3.6e9, 1.0), 0.05), 24.0) AS delta_hours, *
+  EXCLUDE (rid)
+  FROM (SELECT *, lag(ts) OVER (PARTITION BY mmsi ORDER BY ts, lat, lon, rid) AS pts FROM forecast_points)
+)
+SELECT rid, delta_hours, {", ".join(f"{clip_lat(dr_sql(h)[0])} AS dr_lat_{h}h, {clip_lon(dr_sql(h)[1])} AS dr_lon_{h}h" for h in HZ)}
+FROM cc""".replace("\n, cc AS", ",\ncc AS", 1), ["delta_hours"] + [f"dr_{a}_{h}h" for h in HZ for a in ("lat", "lon")])

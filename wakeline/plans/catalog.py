@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.numeric import round_doubles
 from wakeline.operators import clean as C
+from wakeline.operators import forecast as FC
+from wakeline.operators import metrics as M
+from wakeline.operators import predictions as P
+from wakeline.operators import splits as S
 from wakeline.operators import cluster as K
 from wakeline.operators import joins as J
 from wakeline.operators import track as T
@@ -275,3 +279,317 @@ def q_route_catalog(spark, sf_dir):
 @query("attach_labels")
 def q_attach_labels(spark, sf_dir):
     return vessels(spark, sf_dir).join(route_labels(spark, sf_dir), "mmsi").select("mmsi", "point_count", "route_label")
+
+
+# ------------------------------------------------------------ predictions --
+
+def type_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given ship-type predictions: each vessel's most frequent reported type
+    and its share of the vessel's reports."""
+
+    raw = X.ais_points(spark, sf_dir).where("shiptype IS NOT NULL")
+    cnt = raw.groupBy("mmsi", "shiptype").agg(F.expr("count(1) AS _n"))
+    return cnt.groupBy("mmsi").agg(
+        F.expr("min_by(shiptype, struct(-_n, shiptype)) AS predicted_shiptype"),
+        F.expr("max(_n) / sum(_n) AS predicted_shiptype_probability"),
+    )
+
+
+def nearest_anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = J.nearest_centre(vessels(spark, sf_dir), anchorages(spark, sf_dir))
+    return near.selectExpr(
+        "mmsi", "anchorage_id AS predicted_anchorage_id", "centre_lat AS predicted_anchorage_lat",
+        "centre_lon AS predicted_anchorage_lon", "distance_km AS anchorage_distance_km",
+        f"1.0D / (1.0D + distance_km / {max(K.ANCHORAGE_EPS_KM, 0.1)}D) AS anchorage_confidence",
+    )
+
+
+def assigned_routes(spark: SparkSession, sf_dir: str):
+    scaled, scaler, labels, cents = route_space(spark, sf_dir)
+    dist = K.route_distance(scaled, labels, cents)
+    thr = K.anomaly_thresholds(dist)
+    assigned = labels.selectExpr(
+        "mmsi", "route_label AS predicted_route", "label_share AS predicted_route_probability"
+    )
+    return K.threshold_lookup(assigned, thr), dist
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-vessel route predictions from the given route labels (label mode,
+    share as probability), anomaly scoring, nearest anchorage, ship type."""
+
+    def build():
+        assigned, dist = assigned_routes(spark, sf_dir)
+        pred = P.score_routes(vessels(spark, sf_dir), assigned, dist)
+        pred = P.attach_anchorage(pred, nearest_anchorages(spark, sf_dir))
+        return pred.join(type_mode(spark, sf_dir), "mmsi", "left")
+
+    return stage_table(spark, "predictions", sf_dir, build)
+
+
+@query("threshold_lookup")
+def q_threshold_lookup(spark, sf_dir):
+    return round_doubles(assigned_routes(spark, sf_dir)[0].select("mmsi", "predicted_route", "route_distance_threshold"))
+
+
+@query("anomaly_score")
+def q_anomaly_score(spark, sf_dir):
+    return round_doubles(predictions(spark, sf_dir).select("mmsi", "route_distance_ratio", "anomaly_score", "is_anomaly"))
+
+
+@query("attach_anchorage")
+def q_attach_anchorage(spark, sf_dir):
+    return round_doubles(predictions(spark, sf_dir))
+
+
+@query("rank_predictions")
+def q_rank_predictions(spark, sf_dir):
+    return round_doubles(P.rank_predictions(predictions(spark, sf_dir)).select("mmsi", "is_anomaly", "anomaly_score"))
+
+
+@query("anomaly_ships")
+def q_anomaly_ships(spark, sf_dir):
+    return round_doubles(P.anomaly_ships(predictions(spark, sf_dir)).select("mmsi", "predicted_route", "anomaly_score"))
+
+
+@query("top_ships")
+def q_top_ships(spark, sf_dir):
+    return round_doubles(P.top_ships(predictions(spark, sf_dir)).select(
+        "mmsi", "is_anomaly", "predicted_route_probability"))
+
+
+@query("filter_predictions")
+def q_filter_predictions(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    a = P.filter_predictions(p, ship_type="Cargo", route_label="__all__").selectExpr("'type' AS filter", "mmsi")
+    b = P.filter_predictions(p, route_label="lane_1").selectExpr("'route' AS filter", "mmsi")
+    c = P.filter_predictions(p, anomaly_only=True).selectExpr("'anomaly' AS filter", "mmsi")
+    return a.unionByName(b).unionByName(c)
+
+
+@query("value_counts")
+def q_value_counts(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    return P.value_counts(p, "predicted_shiptype").selectExpr("'shipTypes' AS kind", "*").unionByName(
+        P.value_counts(p, "predicted_route").selectExpr("'routes' AS kind", "*"))
+
+
+@query("route_summary")
+def q_route_summary(spark, sf_dir):
+    return round_doubles(P.route_summary(predictions(spark, sf_dir)))
+
+
+@query("type_route_counts")
+def q_type_route_counts(spark, sf_dir):
+    return P.type_route_counts(predictions(spark, sf_dir))
+
+
+@query("route_anomaly_pivot")
+def q_route_anomaly_pivot(spark, sf_dir):
+    return P.route_anomaly_pivot(predictions(spark, sf_dir))
+
+
+@query("route_type_crosstab")
+def q_route_type_crosstab(spark, sf_dir):
+    return P.route_type_crosstab(predictions(spark, sf_dir))
+
+
+@query("bounds")
+def q_bounds(spark, sf_dir):
+    _, scaler, _, cents = route_space(spark, sf_dir)
+    return round_doubles(P.bounds(predictions(spark, sf_dir), K.route_centers(cents, scaler)))
+
+
+@query("anchorage_predictions")
+def q_anchorage_predictions(spark, sf_dir):
+    return round_doubles(P.anchorage_predictions(predictions(spark, sf_dir)))
+
+
+def predictions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions as read back from a CSV: every value text."""
+
+    p = predictions(spark, sf_dir)
+    return p.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in p.columns])
+
+
+PRED_NUMERIC = ("start_lat", "start_lon", "end_lat", "end_lon", "predicted_route_probability", "anomaly_score",
+                "route_distance_ratio", "mean_sog", "width", "length", "draught")
+
+
+@query("normalise_predictions")
+def q_normalise_predictions(spark, sf_dir):
+    t = predictions_text(spark, sf_dir).select("mmsi", "predicted_shiptype", "is_anomaly", *PRED_NUMERIC)
+    return round_doubles(P.normalise_predictions(t, PRED_NUMERIC))
+
+
+@query("parse_bool")
+def q_parse_bool(spark, sf_dir):
+    return predictions_text(spark, sf_dir).select("mmsi", C.parse_bool("is_anomaly").alias("is_anomaly"))
+
+
+@query("clean_number_text")
+def q_clean_number_text(spark, sf_dir):
+    t = predictions_text(spark, sf_dir)
+    return round_doubles(t.select("mmsi", *[C.clean_number_text(c).alias(c) for c in ("anomaly_score", "mean_sog")]))
+
+
+@query("valid_lonlat")
+def q_valid_lonlat(spark, sf_dir):
+    from wakeline.functions.geo import valid_lonlat
+
+    return X.ais_points(spark, sf_dir).select("rid", valid_lonlat("lon", "lat").alias("valid"))
+
+
+# ---------------------------------------------------------------- metrics --
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, "label_predictions", sf_dir, lambda: X.label_predictions(spark, sf_dir))
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    return M.class_counts(labelled(spark, sf_dir))
+
+
+@query("class_metrics")
+def q_class_metrics(spark, sf_dir):
+    return round_doubles(M.class_metrics(labelled(spark, sf_dir)))
+
+
+@query("summary_metrics")
+def q_summary_metrics(spark, sf_dir):
+    return round_doubles(M.summary_metrics(labelled(spark, sf_dir)))
+
+
+@query("sorted_class_metrics")
+def q_sorted_class_metrics(spark, sf_dir):
+    return round_doubles(M.class_metrics(labelled(spark, sf_dir)).orderBy(F.desc("support"), F.desc("f1_score")))
+
+
+@query("confusion_pairs")
+def q_confusion_pairs(spark, sf_dir):
+    return round_doubles(M.confusion_pairs(labelled(spark, sf_dir)))
+
+
+@query("top_confusions")
+def q_top_confusions(spark, sf_dir):
+    return round_doubles(M.top_confusions(labelled(spark, sf_dir), 10))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return round_doubles(M.confusion_matrix(labelled(spark, sf_dir)))
+
+
+@query("calibration_error")
+def q_calibration_error(spark, sf_dir):
+    return round_doubles(M.calibration_error(labelled(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------- splits --
+
+@query("group_split")
+def q_group_split(spark, sf_dir):
+    return S.group_split(labelled(spark, sf_dir), "group_id", 0.2).select("event_id", "is_test")
+
+
+@query("leakage_overlap")
+def q_leakage_overlap(spark, sf_dir):
+    return round_doubles(S.leakage_overlap(S.group_split(labelled(spark, sf_dir), "group_id", 0.2), "group_id"))
+
+
+@query("split_profile")
+def q_split_profile(spark, sf_dir):
+    sp = S.group_split(supervised(spark, sf_dir), "mmsi", 0.2)
+    return S.split_profile(sp)
+
+
+@query("group_folds")
+def q_group_folds(spark, sf_dir):
+    return S.group_folds(labelled(spark, sf_dir), "group_id", "label", 3).select("event_id", "fold")
+
+
+@query("stratified_row_split")
+def q_stratified_row_split(spark, sf_dir):
+    return S.stratified_row_split(labelled(spark, sf_dir), "label", "event_id", 0.2).select("event_id", "is_test")
+
+
+@query("temporal_split_points")
+def q_temporal_split_points(spark, sf_dir):
+    return S.temporal_split_points(supervised(spark, sf_dir), 0.8).select("rid", "is_test")
+
+
+@query("cap_rows_by_group")
+def q_cap_rows_by_group(spark, sf_dir):
+    return S.cap_rows_by_group(supervised(spark, sf_dir), "mmsi", 180000).select("mmsi", "rid")
+
+
+# --------------------------------------------------------------- forecast --
+
+H = J.HORIZONS_H
+
+
+@query("dead_reckon")
+def q_dead_reckon(spark, sf_dir):
+    d = FC.dead_reckoning(supervised(spark, sf_dir), H)
+    return round_doubles(d.select("rid", *[f"dr_{a}_{h}h" for h in H for a in ("lat", "lon")]))
+
+
+@query("constant_position")
+def q_constant_position(spark, sf_dir):
+    d = FC.constant_position(supervised(spark, sf_dir), H)
+    return round_doubles(d.select("rid", *[f"const_{a}_{h}h" for h in H for a in ("lat", "lon")]))
+
+
+def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FC.constant_position(FC.dead_reckoning(supervised(spark, sf_dir), H), H)
+
+
+@query("horizon_error")
+def q_horizon_error(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    out = M.horizon_error(b, H, "const_").selectExpr("'constant_position' AS method", "*").unionByName(
+        M.horizon_error(b, H, "dr_").selectExpr("'dead_reckoning' AS method", "*"))
+    return round_doubles(out)
+
+
+@query("error_reduction_pct")
+def q_error_reduction_pct(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    c = M.horizon_error(b, H, "const_").selectExpr("horizon_h", "mean_error_km AS base")
+    d = M.horizon_error(b, H, "dr_").selectExpr("horizon_h", "mean_error_km AS model")
+    return round_doubles(c.join(d, "horizon_h").selectExpr(
+        "horizon_h", f"{M.error_reduction_pct_sql('base', 'model')} AS reduction_pct"))
+
+
+@query("blend_weights")
+def q_blend_weights(spark, sf_dir):
+    return round_doubles(FC.blend_weights(baselines(spark, sf_dir), H, "const_"))
+
+
+@query("apply_blend")
+def q_apply_blend(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    out = FC.apply_blend(b, FC.blend_weights(b, H, "const_"), H, "const_")
+    return round_doubles(out.select("rid", *[f"pred_{a}_{h}h" for h in H for a in ("lat", "lon")]))
+
+
+@query("forecast_latest")
+def q_forecast_latest(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    w = FC.blend_weights(b, H, "const_")
+    pts = FC.constant_position(forecast_points(spark, sf_dir), H)
+    return round_doubles(FC.forecast_latest(pts, w, H, "const_"))
+
+
+@query("prediction_method")
+def q_prediction_method(spark, sf_dir):
+    w = FC.blend_weights(baselines(spark, sf_dir), H, "const_")
+    return round_doubles(w.selectExpr("horizon_h", "weight", f"{FC.prediction_method_sql('weight')} AS method"))
+
+
+@query("clip_columns")
+def q_clip_columns(spark, sf_dir):
+    d = FC.dead_reckoning(forecast_points(spark, sf_dir), H)
+    out = FC.clip_columns(d.select("rid", "delta_hours", *[f"dr_{a}_{h}h" for h in H for a in ("lat", "lon")]), H, ("dr_",))
+    return round_doubles(out)
