@@ -908,3 +908,135 @@ SQL["clip_columns"] = rounded(W(FORECAST_POINTS) + f"""
 )
 SELECT rid, delta_hours, {", ".join(f"{clip_lat(dr_sql(h)[0])} AS dr_lat_{h}h, {clip_lon(dr_sql(h)[1])} AS dr_lon_{h}h" for h in HZ)}
 FROM cc""".replace("\n, cc AS", ",\ncc AS", 1), ["delta_hours"] + [f"dr_{a}_{h}h" for h in HZ for a in ("lat", "lon")])
+
+
+# ------------------------------------------------------- sources / steps --
+
+def txt(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+SQL["read_points"] = W(RAW_POINTS) + f"""
+SELECT {txt('mmsi')} AS mmsi,
+  CASE WHEN rid % 37 = 0 THEN 'not a date' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+  {txt('lat')} AS lat, {txt('lon')} AS lon,
+  CASE WHEN rid % 31 = 0 THEN 'abc' ELSE {txt('sog')} END AS sog, {txt('cog')} AS cog,
+  {txt('width')} AS width, {txt('length')} AS length, {txt('draught')} AS draught, shiptype,
+  {txt('rid')} AS rid, route_label
+FROM points_src"""
+
+SQL["coerce_types"] = rounded(W(RAW_POINTS) + f"""
+SELECT CAST(mmsi AS DOUBLE) AS mmsi, CASE WHEN rid % 37 = 0 THEN NULL ELSE ts END AS ts, lat, lon,
+  CASE WHEN rid % 31 = 0 THEN NULL ELSE sog END AS sog, cog, width, length, draught,
+  CAST(NULL AS DOUBLE) AS shiptype, {txt('rid')} AS rid, route_label
+FROM points_src""", ("mmsi", "lat", "lon", "sog", "cog", "width", "length", "draught", "shiptype"))
+
+SQL["require_columns"] = W(RAW_POINTS) + "\nSELECT rid FROM points_src"
+
+RANGED = """
+rg AS (
+  SELECT CASE WHEN mmsi BETWEEN 100000000 AND 999999998 THEN mmsi END AS mmsi, ts,
+    CASE WHEN lat BETWEEN -90 AND 90 THEN lat END AS lat,
+    CASE WHEN lon BETWEEN -180 AND 180 THEN lon END AS lon,
+    CASE WHEN sog BETWEEN 0 AND 70 THEN sog END AS sog,
+    CASE WHEN cog BETWEEN 0 AND 360 THEN cog END AS cog,
+    CASE WHEN width >= 0 THEN width END AS width,
+    CASE WHEN length >= 0 THEN length END AS length,
+    CASE WHEN draught >= 0 THEN draught END AS draught,
+    shiptype, rid, route_label
+  FROM points_src
+)"""
+SQL["null_out_of_range"] = rounded(W(RAW_POINTS, RANGED) + "\nSELECT * FROM rg",
+                                   ("lat", "lon", "sog", "cog", "width", "length", "draught"))
+SQL["drop_missing_keys"] = W(RAW_POINTS, RANGED) + (
+    "\nSELECT rid FROM rg WHERE mmsi IS NOT NULL AND ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL"
+)
+SQL["canonical_mmsi"] = W(RAW_POINTS) + "\nSELECT rid, mmsi FROM points_src"
+SQL["dedup_points"] = rounded(W(CLEAN_POINTS) + "\nSELECT rid, mmsi, ts, lat, lon, sog FROM c_dedup",
+                              ("lat", "lon", "sog"))
+SQL["project_keep"] = rounded(W(RAW_POINTS) + """
+SELECT mmsi, ts, lat, lon, sog, cog, width, length, draught, shiptype, rid, route_label FROM points_src""",
+                              ("lat", "lon", "sog", "cog", "width", "length", "draught"))
+SQL["add_missing_columns"] = rounded(W(RAW_POINTS) + """
+SELECT rid, mmsi, ts, lat, lon, CAST(NULL AS DOUBLE) AS sog, CAST(NULL AS DOUBLE) AS cog, CAST(NULL AS DOUBLE) AS width
+FROM points_src""", ("lat", "lon", "sog", "cog", "width"))
+SQL["impute_group_median"] = rounded(W(CLEAN_POINTS) + "\nSELECT rid, width, length, draught, shiptype FROM clean_points",
+                                     ("width", "length", "draught", "shiptype"))
+SQL["impute_group_mean"] = rounded(W(HOURLY_POINTS) + "\nSELECT rid, width, length, draught FROM h_fill",
+                                   ("width", "length", "draught"))
+SQL["fill_constants"] = rounded(W(CLEAN_POINTS) + "\nSELECT rid, sog, cog FROM clean_points", ("sog", "cog"))
+SQL["merge_sources"] = W(RAW_POINTS) + f"""
+SELECT {txt('rid')} AS rid, mmsi, CASE WHEN rid % 37 = 0 THEN NULL ELSE ts END AS ts,
+  CASE WHEN rid % 2 = 0 THEN route_label END AS route_label
+FROM points_src WHERE mmsi IS NOT NULL AND rid % 37 <> 0"""
+SQL["union_sources"] = W(RAW_POINTS) + "\nSELECT rid, mmsi, ts FROM points_src"
+SQL["new_ids_after_clean"] = W(HOURLY_POINTS) + """
+, nb AS (SELECT DISTINCT mmsi FROM points_src), na AS (SELECT DISTINCT mmsi FROM hourly_points)
+SELECT 'new' AS kind, mmsi FROM na WHERE mmsi NOT IN (SELECT mmsi FROM nb)
+UNION ALL SELECT 'dropped', mmsi FROM nb WHERE mmsi NOT IN (SELECT mmsi FROM na)""".replace("\n, nb AS", ",\nnb AS", 1)
+SQL["format_ts_sink"] = W(CLEAN_POINTS) + "\nSELECT rid, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM clean_points"
+SQL["run_summary"] = P_("""
+SELECT count(*) AS vessels, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomalous_vessels,
+  CAST(sum(point_count) AS BIGINT) AS clean_points, (SELECT count(*) FROM anchorages) AS anchorage_clusters
+FROM predictions""")
+
+
+# ------------------------------------------------------------ scalar funcs --
+
+SQL["haversine_km"] = rounded(W(CLEAN_POINTS) + f"""
+SELECT rid, {haversine('flat', 'flon', 'lat', 'lon')} AS km_from_start FROM (
+  SELECT *, first_value(lat) OVER w AS flat, first_value(lon) OVER w AS flon FROM clean_points
+  WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))""",
+                              ("km_from_start",))
+FEAT = W(CLEAN_POINTS, track_features_sql("clean_points"))
+SQL["bearing_degrees"] = rounded(FEAT + f"\nSELECT mmsi, {bearing('start_lat', 'start_lon', 'end_lat', 'end_lon')} AS bearing FROM feat",
+                                 ("bearing",))
+SQL["straightness"] = rounded(FEAT + """
+SELECT mmsi, CASE WHEN total_distance_km > 0 THEN displacement_km / total_distance_km ELSE 0.0 END AS straightness_ratio
+FROM feat""", ("straightness_ratio",))
+SQL["anchorage_confidence"] = P_("SELECT mmsi, anchorage_confidence FROM near", ("anchorage_confidence",))
+SQL["choose_cluster_count"] = FEAT + """
+SELECT vessels, CAST(CASE WHEN vessels < 3 THEN greatest(1, vessels)
+  ELSE least(12, greatest(3, round_even(sqrt(vessels) / 3.0, 0))) END AS BIGINT) AS clusters
+FROM (SELECT count(*) AS vessels FROM feat)"""
+SQL["label_format"] = W(CLEAN_POINTS, ROUTE_SPACE) + """
+SELECT route_label, printf('route_%02d', dense_rank() OVER (ORDER BY route_label) - 1) AS route_id
+FROM (SELECT DISTINCT route_label FROM route_labels)"""
+SQL["error_reduction_vs_reference"] = SQL["error_reduction_pct"]
+
+
+# ----------------------------------------------------------- ship types --
+
+TYPE_ROWS = RAW_POINTS + """,
+type_rows AS (
+  SELECT CAST(rid AS DOUBLE) AS rid, mmsi, nullif(trim(navigationalstatus), '') AS navigationalstatus, sog, cog,
+    heading, width, length, draught, nullif(trim(shiptype), '') AS shiptype
+  FROM points_src WHERE nullif(trim(shiptype), '') IS NOT NULL
+)"""
+SQL["load_type_features"] = rounded(W(TYPE_ROWS) + "\nSELECT * FROM type_rows",
+                                    ("rid", "sog", "cog", "heading", "width", "length", "draught"))
+SQL["trig_encode"] = rounded(W(TYPE_ROWS) + """
+SELECT rid, sin(radians(coalesce(cog, 0.0))) AS cog_sin, cos(radians(coalesce(cog, 0.0))) AS cog_cos,
+  sin(radians(coalesce(heading, 0.0))) AS heading_sin, cos(radians(coalesce(heading, 0.0))) AS heading_cos
+FROM type_rows""", ("rid", "cog_sin", "cog_cos", "heading_sin", "heading_cos"))
+SQL["type_class_counts"] = W(TYPE_ROWS) + "\nSELECT shiptype AS class, count(*) AS rows FROM type_rows GROUP BY 1"
+_B = bearing("start_lat", "start_lon", "end_lat", "end_lon")
+SQL["route_to_type_features"] = rounded(FEAT + f"""
+SELECT mmsi, 'Under way using engine' AS navigationalstatus, mean_sog AS sog, coalesce({_B}, 0.0) AS cog,
+  coalesce({_B}, 0.0) AS heading, width, length, draught,
+  sin(radians(coalesce({_B}, 0.0))) AS cog_sin, cos(radians(coalesce({_B}, 0.0))) AS cog_cos,
+  sin(radians(coalesce({_B}, 0.0))) AS heading_sin, cos(radians(coalesce({_B}, 0.0))) AS heading_cos
+FROM feat""", ("sog", "cog", "heading", "width", "length", "draught", "cog_sin", "cog_cos", "heading_sin", "heading_cos"))
+SQL["feature_name_clean"] = W(TYPE_ROWS) + """
+, fn AS (
+  SELECT 'num__' || c AS raw_name FROM (VALUES ('sog'), ('cog'), ('heading'), ('width'), ('length'), ('draught'),
+    ('cog_sin'), ('cog_cos'), ('heading_sin'), ('heading_cos')) v(c)
+  UNION ALL
+  SELECT DISTINCT 'cat__navigationalstatus_' || navigationalstatus FROM type_rows WHERE navigationalstatus IS NOT NULL
+),
+fc AS (
+  SELECT raw_name, CASE WHEN starts_with(s, 'navigationalstatus_') THEN 'navigationalstatus=' || s[20:] ELSE s END AS feature
+  FROM (SELECT raw_name, regexp_replace(raw_name, '^(num__|cat__)', '') AS s FROM fn)
+)
+SELECT raw_name, feature, CASE WHEN contains(feature, '=') THEN split_part(feature, '=', 1) ELSE feature END AS source_feature
+FROM fc""".replace("\n, fn AS", ",\nfn AS", 1)

@@ -18,6 +18,8 @@ from wakeline.operators import forecast as FC
 from wakeline.operators import metrics as M
 from wakeline.operators import predictions as P
 from wakeline.operators import splits as S
+from wakeline.operators import shiptype as TY
+from wakeline.sources import readers as R
 from wakeline.operators import cluster as K
 from wakeline.operators import joins as J
 from wakeline.operators import track as T
@@ -593,3 +595,198 @@ def q_clip_columns(spark, sf_dir):
     d = FC.dead_reckoning(forecast_points(spark, sf_dir), H)
     out = FC.clip_columns(d.select("rid", "delta_hours", *[f"dr_{a}_{h}h" for h in H for a in ("lat", "lon")]), H, ("dr_",))
     return round_doubles(out)
+
+
+# ------------------------------------------------------- sources / steps --
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.raw_text_points(X.read_table(spark, sf_dir, "events"))
+
+
+@query("read_points")
+def q_read_points(spark, sf_dir):
+    """Header variants → canonical names (values still text)."""
+
+    return C.project_keep(C.require_columns(C.normalize_columns(raw_text(spark, sf_dir))))
+
+
+@query("coerce_types")
+def q_coerce_types(spark, sf_dir):
+    return round_doubles(C.coerce_types(C.project_keep(C.normalize_columns(raw_text(spark, sf_dir)))))
+
+
+@query("require_columns")
+def q_require_columns(spark, sf_dir):
+    return C.require_columns(X.ais_points(spark, sf_dir)).select("rid")
+
+
+@query("null_out_of_range")
+def q_null_out_of_range(spark, sf_dir):
+    return round_doubles(C.null_out_of_range(C.project_keep(X.ais_points(spark, sf_dir))))
+
+
+@query("drop_missing_keys")
+def q_drop_missing_keys(spark, sf_dir):
+    p = C.null_out_of_range(C.project_keep(X.ais_points(spark, sf_dir)))
+    return C.drop_missing_keys(p).select("rid")
+
+
+@query("canonical_mmsi")
+def q_canonical_mmsi(spark, sf_dir):
+    return C.canonical_mmsi(C.coerce_types(X.ais_points(spark, sf_dir).select("rid", "mmsi", "ts"))).select("rid", "mmsi")
+
+
+@query("dedup_points")
+def q_dedup_points(spark, sf_dir):
+    p = C.drop_missing_keys(C.null_out_of_range(C.project_keep(X.ais_points(spark, sf_dir))))
+    return round_doubles(C.dedup_points(p).select("rid", "mmsi", "ts", "lat", "lon", "sog"))
+
+
+@query("project_keep")
+def q_project_keep(spark, sf_dir):
+    return round_doubles(C.project_keep(X.ais_points(spark, sf_dir)))
+
+
+@query("add_missing_columns")
+def q_add_missing_columns(spark, sf_dir):
+    p = X.ais_points(spark, sf_dir).select("rid", "mmsi", "ts", "lat", "lon")
+    return round_doubles(C.add_missing_columns(p, {"sog": "double", "cog": "double", "width": "double"}))
+
+
+@query("impute_group_median")
+def q_impute_group_median(spark, sf_dir):
+    return round_doubles(clean(spark, sf_dir).select("rid", "width", "length", "draught", "shiptype"))
+
+
+@query("impute_group_mean")
+def q_impute_group_mean(spark, sf_dir):
+    p = X.ais_points(spark, sf_dir).select("rid", "ts", "mmsi", "lat", "lon", "sog", "cog", "width", "length", "draught")
+    p = C.drop_missing_keys(C.null_out_of_range(p), ("ts", "mmsi", "lat", "lon", "sog", "cog"))
+    return round_doubles(C.impute_group_mean(p).select("rid", "width", "length", "draught"))
+
+
+@query("fill_constants")
+def q_fill_constants(spark, sf_dir):
+    return round_doubles(clean(spark, sf_dir).select("rid", "sog", "cog"))
+
+
+@query("merge_sources")
+def q_merge_sources(spark, sf_dir):
+    t = raw_text(spark, sf_dir)
+    a = t.where("CAST(rid AS BIGINT) % 2 = 0")
+    b = t.where("CAST(rid AS BIGINT) % 2 = 1").drop("Route")
+    merged, _ = R.merge_frames([a, b])
+    return merged.select("rid", "mmsi", "ts", "route_label")
+
+
+@query("union_sources")
+def q_union_sources(spark, sf_dir):
+    p = X.ais_points(spark, sf_dir).select("rid", "mmsi", "ts")
+    return p.where("rid % 2 = 0").unionByName(p.where("rid % 2 = 1"))
+
+
+@query("new_ids_after_clean")
+def q_new_ids_after_clean(spark, sf_dir):
+    raw = X.ais_points(spark, sf_dir)
+    before = raw.selectExpr("mmsi").distinct()
+    after = V.hourly_resample(C.clean_points_hourly(raw)).select("mmsi").distinct()
+    return after.join(before, "mmsi", "left_anti").selectExpr("'new' AS kind", "mmsi").unionByName(
+        before.join(after, "mmsi", "left_anti").selectExpr("'dropped' AS kind", "mmsi"))
+
+
+@query("format_ts_sink")
+def q_format_ts_sink(spark, sf_dir):
+    return R.format_ts(clean(spark, sf_dir).select("rid", "ts"))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    return p.agg(
+        F.expr("count(1) AS vessels"), F.expr("CAST(sum(CAST(is_anomaly AS INT)) AS BIGINT) AS anomalous_vessels"),
+        F.expr("CAST(sum(point_count) AS BIGINT) AS clean_points"),
+    ).crossJoin(anchorages(spark, sf_dir).agg(F.expr("count(1) AS anchorage_clusters")))
+
+
+# ------------------------------------------------------------ scalar funcs --
+
+@query("haversine_km")
+def q_haversine_km(spark, sf_dir):
+    from wakeline.functions.geo import haversine_km
+    from wakeline.operators.sequence import track_scan
+
+    p = track_scan(clean(spark, sf_dir), track_first=["lat", "lon"])
+    return round_doubles(p.select("rid", haversine_km("track_first_lat", "track_first_lon", "lat", "lon").alias("km_from_start")))
+
+
+@query("bearing_degrees")
+def q_bearing_degrees(spark, sf_dir):
+    from wakeline.functions.geo import bearing_degrees
+
+    v = vessels(spark, sf_dir)
+    return round_doubles(v.select("mmsi", bearing_degrees("start_lat", "start_lon", "end_lat", "end_lon").alias("bearing")))
+
+
+@query("straightness")
+def q_straightness(spark, sf_dir):
+    from wakeline.functions.geo import straightness
+
+    v = vessels(spark, sf_dir)
+    return round_doubles(v.select("mmsi", straightness("displacement_km", "total_distance_km").alias("straightness_ratio")))
+
+
+@query("anchorage_confidence")
+def q_anchorage_confidence(spark, sf_dir):
+    return round_doubles(nearest_anchorages(spark, sf_dir).select("mmsi", "anchorage_confidence"))
+
+
+@query("choose_cluster_count")
+def q_choose_cluster_count(spark, sf_dir):
+    v = vessels(spark, sf_dir).agg(F.expr("count(1) AS vessels"))
+    return v.selectExpr("vessels", f"{K.choose_cluster_count_sql('vessels')} AS clusters")
+
+
+@query("label_format")
+def q_label_format(spark, sf_dir):
+    r = route_labels(spark, sf_dir).select("route_label").distinct()
+    return r.selectExpr("route_label", "format_string('route_%02d', dense_rank() OVER (ORDER BY route_label) - 1) AS route_id")
+
+
+@query("error_reduction_vs_reference")
+def q_error_reduction_vs_reference(spark, sf_dir):
+    return q_error_reduction_pct(spark, sf_dir)
+
+
+# ----------------------------------------------------------- ship types --
+
+def type_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = X.ais_points(spark, sf_dir).selectExpr(
+        "rid", "mmsi", "navigationalstatus", "sog", "cog", "heading", "width", "length", "draught", "shiptype"
+    )
+    return C.load_type_features(p)
+
+
+@query("load_type_features")
+def q_load_type_features(spark, sf_dir):
+    return round_doubles(type_rows(spark, sf_dir))
+
+
+@query("trig_encode")
+def q_trig_encode(spark, sf_dir):
+    return round_doubles(TY.trig_encode(type_rows(spark, sf_dir)).select(
+        "rid", "cog_sin", "cog_cos", "heading_sin", "heading_cos"))
+
+
+@query("type_class_counts")
+def q_type_class_counts(spark, sf_dir):
+    return M.class_counts(type_rows(spark, sf_dir), "shiptype")
+
+
+@query("route_to_type_features")
+def q_route_to_type_features(spark, sf_dir):
+    return round_doubles(TY.route_to_type_features(vessels(spark, sf_dir)))
+
+
+@query("feature_name_clean")
+def q_feature_name_clean(spark, sf_dir):
+    return TY.feature_names(type_rows(spark, sf_dir))
