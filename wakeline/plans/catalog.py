@@ -24,6 +24,7 @@ from wakeline.operators import cluster as K
 from wakeline.operators import joins as J
 from wakeline.operators import track as T
 from wakeline.operators import vessel as V
+from wakeline.plans import models as ML
 from wakeline.plans.stages import stage_table
 from wakeline.sources import fixtures as X
 
@@ -790,3 +791,259 @@ def q_route_to_type_features(spark, sf_dir):
 @query("feature_name_clean")
 def q_feature_name_clean(spark, sf_dir):
     return TY.feature_names(type_rows(spark, sf_dir))
+
+
+# ------------------------------------------------------- learning jobs --
+# Model fits are not SQL-expressible: these queries get a rows-only check
+# plus the property tests in tests/test_models.py.
+
+def early_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build():
+        pts = clean(spark, sf_dir)
+        early = V.early_summary(pts)
+        sig = T.track_signature(V.early_track(pts))
+        return ML.early_feature_matrix(early, vessels(spark, sf_dir), sig)
+
+    return stage_table(spark, "early_features", sf_dir, build)
+
+
+@query("early_feature_matrix")
+def q_early_feature_matrix(spark, sf_dir):
+    return round_doubles(early_features(spark, sf_dir))
+
+
+def scaled_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled, _ = K.scale_signature(signature(spark, sf_dir))
+    return T.wide_signature(scaled, "route")
+
+
+@query("route_kmeans")
+def q_route_kmeans(spark, sf_dir):
+    sw = scaled_wide(spark, sf_dir)
+    k = K.choose_cluster_count(sw.count())
+    labels, _ = ML.route_kmeans(sw, k)
+    return labels
+
+
+@query("route_classifier")
+def q_route_classifier(spark, sf_dir):
+    feats = early_features(spark, sf_dir)
+    labels = route_labels(spark, sf_dir).select("mmsi", "route_label")
+    return round_doubles(ML.evaluate_split(ML.route_classifier, feats, labels))
+
+
+@query("route_predict")
+def q_route_predict(spark, sf_dir):
+    """Classifier on early evidence → predicted route, then the anomaly
+    scoring against the predicted route's centroid."""
+
+    feats = early_features(spark, sf_dir)
+    labels = stage_table(spark, "route_labels", sf_dir, lambda: route_labels(spark, sf_dir)).select("mmsi", "route_label")
+    model = fitted((sf_dir, "route_rf"), lambda: ML.route_classifier(feats, labels))
+    pred = ML.predict_route(model, feats)
+    scaled, _, lab, cents = route_space(spark, sf_dir)
+    dist = K.route_distance(scaled, pred.withColumnRenamed("predicted_route", "route_label"), cents)
+    thr = K.anomaly_thresholds(K.route_distance(scaled, lab, cents))
+    assigned = K.threshold_lookup(pred, thr)
+    return round_doubles(P.score_routes(vessels(spark, sf_dir), assigned, dist))
+
+
+@query("temporal_holdout_routes")
+def q_temporal_holdout_routes(spark, sf_dir):
+    feats = early_features(spark, sf_dir)
+    labels = route_labels(spark, sf_dir).select("mmsi", "route_label")
+    return round_doubles(ML.temporal_holdout(feats, labels, vessels(spark, sf_dir).select("mmsi", "first_timestamp")))
+
+
+@query("early_window_eval")
+def q_early_window_eval(spark, sf_dir):
+    pts = clean(spark, sf_dir)
+    labels = route_labels(spark, sf_dir).select("mmsi", "route_label")
+    out = None
+    for hrs in (1, 3, 6, 12):
+        early = V.early_summary(pts, window_hours=hrs)
+        sig = T.track_signature(V.early_track(pts, window_hours=hrs))
+        feats = stage_table(spark, f"early_features_{hrs}h", sf_dir,
+                            lambda e=early, g=sig: ML.early_feature_matrix(e, vessels(spark, sf_dir), g))
+        r = ML.evaluate_split(ML.route_classifier, feats, labels).selectExpr(f"{hrs} AS window_hours", "*")
+        out = r if out is None else out.unionByName(r)
+    return round_doubles(out)
+
+
+def type_split(spark: SparkSession, sf_dir: str):
+    """Vessel-group split of the ship-type rows, imputed with the train
+    medians and class-weighted; both sides staged once (model fits make many
+    passes over them)."""
+
+    def split():
+        rows = type_rows(spark, sf_dir).where("mmsi IS NOT NULL")
+        return S.group_split(rows, "mmsi", 0.2)
+
+    sp = stage_table(spark, "type_split", sf_dir, split)
+
+    def prep(side: str):
+        train_raw = sp.where("NOT is_test").drop("is_test")
+        train, med = ML.prepare_type_rows(train_raw)
+        if side == "train":
+            return train
+        test, _ = ML.prepare_type_rows(sp.where("is_test").drop("is_test"), med)
+        return test
+
+    return (stage_table(spark, "type_train", sf_dir, lambda: prep("train")),
+            stage_table(spark, "type_test", sf_dir, lambda: prep("test")))
+
+
+_MODELS: dict = {}
+
+
+def fitted(key: tuple, fit):
+    """Fit once per (model, input) in this process; models are small."""
+
+    if key not in _MODELS:
+        _MODELS[key] = fit()
+    return _MODELS[key]
+
+
+def type_model(spark: SparkSession, sf_dir: str, kind: str):
+    train, test = type_split(spark, sf_dir)
+    if kind == "logistic_regression":
+        train, stats = ML.standardise(train, ML.TYPE_NUMERIC)
+        test, _ = ML.standardise(test, ML.TYPE_NUMERIC, stats)
+    model = fitted((sf_dir, "type", kind), lambda: ML.fit_type_model(train, kind))
+    return model, train, test
+
+
+def type_eval(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    model, _, test = type_model(spark, sf_dir, kind)
+    scored = ML.type_probabilities(model, test)
+    return M.summary_metrics(scored.selectExpr("shiptype AS label", "predicted_shiptype AS prediction"))
+
+
+@query("type_logistic")
+def q_type_logistic(spark, sf_dir):
+    return round_doubles(type_eval(spark, sf_dir, "logistic_regression"))
+
+
+@query("type_forest")
+def q_type_forest(spark, sf_dir):
+    return round_doubles(type_eval(spark, sf_dir, "random_forest"))
+
+
+def q_type_boost(spark, sf_dir):
+    """Gradient boosting, one-vs-rest (300 rounds x depth 8): available, not
+    registered — its 1,200 sequential tree fits take minutes even on sf0.01."""
+
+    return round_doubles(type_eval(spark, sf_dir, "xgboost"))
+
+
+def type_vote_scored(spark: SparkSession, sf_dir: str):
+    rf, _, test = type_model(spark, sf_dir, "random_forest")
+    lr, _, te_s = type_model(spark, sf_dir, "logistic_regression")
+    key = ["rid"]
+    v = ML.vote_probabilities([ML.type_probabilities(rf, test), ML.type_probabilities(lr, te_s)], key)
+    names = rf.stages[2].labels
+    lab = spark.createDataFrame([(float(i), n) for i, n in enumerate(names)], "prediction double, predicted_shiptype string")
+    return v.join(F.broadcast(lab), "prediction").join(test.select("rid", "shiptype"), "rid"), names
+
+
+@query("type_vote")
+def q_type_vote(spark, sf_dir):
+    v, _ = type_vote_scored(spark, sf_dir)
+    return round_doubles(M.summary_metrics(v.selectExpr("shiptype AS label", "predicted_shiptype AS prediction")))
+
+
+@query("model_compare")
+def q_model_compare(spark, sf_dir):
+    """Candidates scored on the same vessel-group split; best by macro F1
+    then accuracy."""
+
+    rows = []
+    for kind in ("logistic_regression", "random_forest"):
+        m = type_eval(spark, sf_dir, kind).selectExpr(f"'{kind}' AS model_name", "*")
+        rows.append(m)
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return round_doubles(out.selectExpr(
+        "*", "row_number() OVER (ORDER BY macro_f1 DESC, accuracy DESC, model_name) = 1 AS selected"))
+
+
+@query("isotonic_calibration")
+def q_isotonic_calibration(spark, sf_dir):
+    """ECE of the forest's confidence before and after one-vs-rest isotonic
+    calibration fitted on the vessel holdout."""
+
+    rf, _, test = type_model(spark, sf_dir, "random_forest")
+    scored = ML.type_probabilities(rf, test).drop("features", "rawPrediction", "probability").cache()
+    n = len(rf.stages[2].labels)
+    cal = ML.apply_calibration(scored, ML.isotonic_calibration(scored, n))
+    before = ML.class_confidence(scored).selectExpr("label", "prediction", "confidence")
+    after = cal.selectExpr("label", "CAST(array_position(calibrated_prob, array_max(calibrated_prob)) - 1 AS DOUBLE) AS prediction",
+                           "array_max(calibrated_prob) AS confidence")
+    return round_doubles(M.calibration_error(before).selectExpr("ece AS ece_before").crossJoin(
+        M.calibration_error(after).selectExpr("ece AS ece_after")))
+
+
+@query("class_confidence")
+def q_class_confidence(spark, sf_dir):
+    rf, _, test = type_model(spark, sf_dir, "random_forest")
+    return round_doubles(ML.class_confidence(ML.type_probabilities(rf, test)).select("rid", "predicted_shiptype", "confidence"))
+
+
+@query("attach_ship_types")
+def q_attach_ship_types(spark, sf_dir):
+    """Type model applied to the vessel-level route rows."""
+
+    rf, _, _ = type_model(spark, sf_dir, "random_forest")
+    rt = TY.route_to_type_features(vessels(spark, sf_dir)).withColumn("shiptype", F.lit(None).cast("string"))
+    rt, _ = ML.prepare_type_rows(rt.withColumn("shiptype", F.lit("Cargo")))
+    scored = ML.class_confidence(ML.type_probabilities(rf, rt))
+    return round_doubles(scored.selectExpr("mmsi", "predicted_shiptype", "confidence AS predicted_shiptype_probability"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    rf, train, _ = type_model(spark, sf_dir, "random_forest")
+    imp = ML.feature_importance(rf, train)
+    return round_doubles(imp.selectExpr("feature AS raw_name", "importance"))
+
+
+def forecast_split(spark: SparkSession, sf_dir: str):
+    sp = stage_table(spark, "forecast_split", sf_dir, lambda: S.group_split(supervised(spark, sf_dir), "mmsi", 0.2))
+    train = S.cap_rows_by_group(sp.where("NOT is_test").drop("is_test"), "mmsi", 180000)
+    return train, sp.where("is_test").drop("is_test")
+
+
+def forest_bundle(spark: SparkSession, sf_dir: str):
+    train, test = forecast_split(spark, sf_dir)
+    return fitted((sf_dir, "position_forest"), lambda: ML.position_forest(train, H)), test
+
+
+@query("position_forest")
+def q_position_forest(spark, sf_dir):
+    bundle, test = forest_bundle(spark, sf_dir)
+    pred = ML.predict_positions(bundle, test)
+    return round_doubles(M.horizon_error(pred, H, "rf_"))
+
+
+@query("forecast_eval")
+def q_forecast_eval(spark, sf_dir):
+    """Holdout errors of forest, dead reckoning, constant position and the
+    best per-horizon blend (weights chosen on the holdout, as the reference)."""
+
+    bundle, test = forest_bundle(spark, sf_dir)
+    pred = FC.constant_position(FC.dead_reckoning(ML.predict_positions(bundle, test), H), H).cache()
+    w = FC.blend_weights(pred, H, "rf_")
+    out = M.horizon_error(pred, H, "rf_").selectExpr("'random_forest' AS method", "*")
+    for pre, name in (("dr_", "dead_reckoning"), ("const_", "constant_position")):
+        out = out.unionByName(M.horizon_error(pred, H, pre).selectExpr(f"'{name}' AS method", "*"))
+    blend = w.selectExpr("'blend' AS method", "horizon_h", "error_km AS mean_error_km",
+                         "CAST(NULL AS DOUBLE) AS mae_lat", "CAST(NULL AS DOUBLE) AS mae_lon")
+    return round_doubles(out.unionByName(blend))
+
+
+def q_random_search(spark, sf_dir):
+    """Not registered (36 forest fits): see ``ML.random_search``."""
+
+    train, _ = type_split(spark, sf_dir)
+    return ML.random_search(train)
