@@ -220,23 +220,25 @@ def grid_pairs(
         # largest |lat| over the band and its neighbours
         edge = f"greatest(abs(({band} - 1) * {eps_deg}D - 90.0D), abs(({band} + 2) * {eps_deg}D - 90.0D))"
         ratio = f"sin(radians({eps_deg}D) / 2.0D) / cos(radians(least({edge}, 89.999D)))"
-        return (
+        wmin = (
             f"CASE WHEN {edge} >= 89.0D OR {ratio} >= 0.5D THEN 360.0D "
             f"ELSE least(360.0D, 2.0D * degrees(asin({ratio})) * 1.0001D) END"
         )
+        # an integer number of equal cells per band, so wrapping at +-180 is exact
+        return f"(360.0D / greatest(1, CAST(floor(360.0D / ({wmin})) AS INT)))"
 
     band = f"least(CAST(floor(({lat} + 90.0D) / {eps_deg}D) AS INT), {n_bands - 1})"
     b = pts.selectExpr(pid, lat, lon, f"{band} AS _band").selectExpr(
         "*", f"{width_sql('_band')} AS _w"
     ).selectExpr(
         f"{pid} AS _pid_b", f"{lat} AS _lat_b", f"{lon} AS _lon_b", "_band",
-        f"pmod(CAST(floor(({lon} + 180.0D) / _w) AS INT), CAST(ceil(360.0D / _w) AS INT)) AS _cell",
+        f"pmod(CAST(floor(({lon} + 180.0D) / _w) AS INT), CAST(round(360.0D / _w) AS INT)) AS _cell",
     )
     a = pts.selectExpr(pid, lat, lon, f"{band} AS _band0").selectExpr(
         "*", "explode(array(_band0 - 1, _band0, _band0 + 1)) AS _band"
     ).where(f"_band >= 0 AND _band < {n_bands}").selectExpr("*", f"{width_sql('_band')} AS _w").selectExpr(
         "*",
-        "CAST(ceil(360.0D / _w) AS INT) AS _ncell",
+        "CAST(round(360.0D / _w) AS INT) AS _ncell",
         f"CAST(floor(({lon} + 180.0D) / _w) AS INT) AS _c0",
     ).selectExpr(
         f"{pid} AS _pid_a", f"{lat} AS _lat_a", f"{lon} AS _lon_a", "_band",
