@@ -1040,3 +1040,58 @@ fc AS (
 )
 SELECT raw_name, feature, CASE WHEN contains(feature, '=') THEN split_part(feature, '=', 1) ELSE feature END AS source_feature
 FROM fc""".replace("\n, fn AS", ",\nfn AS", 1)
+
+
+# ------------------------------------------------------------- map layers --
+
+def rc(x: str) -> str:
+    return r6(x)
+
+
+SQL["geojson_points"] = P_(f"""
+SELECT mmsi, [{rc('end_lon')}, {rc('end_lat')}] AS coordinates, predicted_route, is_anomaly FROM predictions
+WHERE end_lat IS NOT NULL AND end_lon IS NOT NULL AND end_lon BETWEEN -180 AND 180 AND end_lat BETWEEN -90 AND 90""")
+CENTER_LINES = """
+cl_pts AS (
+  SELECT c.route_label, c.step, c.lat * t.scale_lat + t.mean_lat AS lat, c.lon * t.scale_lon + t.mean_lon AS lon
+  FROM centroids c JOIN sc_stats t USING (step)
+),
+center_lines AS (
+  SELECT route_label, list([""" + rc("lon") + ", " + rc("lat") + """] ORDER BY step) AS coordinates
+  FROM cl_pts GROUP BY route_label HAVING count(*) >= 2
+)"""
+SQL["geojson_route_lines"] = W(CLEAN_POINTS, ROUTE_SPACE, CENTER_LINES) + "\nSELECT * FROM center_lines"
+SQL["route_center_lines"] = P_(", " + CENTER_LINES.strip() + """,
+rs AS (
+  SELECT predicted_route AS route_label, count(mmsi) AS vessel_count,
+    CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_count,
+    avg(predicted_route_probability) AS avg_route_probability,
+    avg(predicted_shiptype_probability) AS avg_shiptype_probability
+  FROM predictions GROUP BY predicted_route
+)
+SELECT * FROM center_lines JOIN rs USING (route_label)""", ("avg_route_probability", "avg_shiptype_probability"))
+SQL["tracks_of_selected"] = P_("""
+SELECT c.mmsi, c.rid FROM clean_points c WHERE c.mmsi IN (
+  SELECT mmsi FROM predictions ORDER BY is_anomaly DESC, predicted_route_probability DESC, mmsi LIMIT 800)""")
+SQL["anomaly_track_join"] = P_("""
+SELECT c.mmsi, c.rid, p.anomaly_score FROM clean_points c JOIN predictions p ON p.mmsi = c.mmsi AND p.is_anomaly""",
+                               ("anomaly_score",))
+SQL["straight_tracks"] = P_(f"""
+SELECT mmsi, [[{rc('start_lon')}, {rc('start_lat')}], [{rc('end_lon')}, {rc('end_lat')}]] AS coordinates FROM predictions""")
+_REP = ("start_lat", "start_lon", "end_lat", "end_lon", "duration_hours", "total_distance_km", "mean_sog")
+_rep_stats = ", ".join(
+    f"quantile_cont({c}, 0.5) AS med_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS iqr_{c},"
+    f" stddev_samp({c}) AS sd_{c}, count({c}) AS cnt_{c}" for c in _REP
+)
+_rep_terms = " + ".join(
+    f"CASE WHEN cnt_{c} < 2 THEN 0.0 ELSE coalesce(abs({c} - med_{c}), (CASE WHEN iqr_{c} > 0 THEN iqr_{c}"
+    f" WHEN sd_{c} > 0 THEN sd_{c} ELSE 1.0 END) * 10.0) / (CASE WHEN iqr_{c} > 0 THEN iqr_{c}"
+    f" WHEN sd_{c} > 0 THEN sd_{c} ELSE 1.0 END) END" for c in _REP
+)
+SQL["representative_vessel"] = P_(f"""
+, rv_c AS (SELECT * FROM predictions WHERE mmsi IN (SELECT mmsi FROM clean_points GROUP BY mmsi HAVING count(*) >= 2)),
+rv_s AS (SELECT predicted_route, {_rep_stats} FROM rv_c GROUP BY predicted_route),
+rv AS (SELECT c.predicted_route, c.mmsi, {_rep_terms} - coalesce(c.predicted_route_probability, 0.0) AS score
+       FROM rv_c c JOIN rv_s s USING (predicted_route))
+SELECT predicted_route, arg_min(mmsi, (score, mmsi)) AS representative_mmsi, min(score) AS score
+FROM rv GROUP BY predicted_route""".replace("\n, rv_c AS", "SELECT * FROM (WITH rv_c AS", 1) + ")", ("score",))

@@ -16,6 +16,7 @@ from wakeline.functions.numeric import round_doubles
 from wakeline.operators import clean as C
 from wakeline.operators import forecast as FC
 from wakeline.operators import metrics as M
+from wakeline.operators import mapview as MV
 from wakeline.operators import predictions as P
 from wakeline.operators import splits as S
 from wakeline.operators import shiptype as TY
@@ -1047,3 +1048,101 @@ def q_random_search(spark, sf_dir):
 
     train, _ = type_split(spark, sf_dir)
     return ML.random_search(train)
+
+
+# ------------------------------------------------------------- map layers --
+
+def _rounded_coords(df: DataFrame) -> DataFrame:
+    """Round the coordinate pairs inside ``coordinates`` like top-level doubles."""
+
+    from wakeline.functions.numeric import ROUND_OFFSET
+
+    r = lambda x: f"CAST(floor({x} * 1000000.0D + {ROUND_OFFSET}D) / 1000000.0D AS DOUBLE)"
+    return df.withColumn("coordinates", F.expr(f"transform(coordinates, p -> transform(p, v -> {r('v')}))"))
+
+
+@query("geojson_points")
+def q_geojson_points(spark, sf_dir):
+    from wakeline.functions.numeric import ROUND_OFFSET
+
+    pts = MV.point_features(predictions(spark, sf_dir)).select("mmsi", "coordinates", "predicted_route", "is_anomaly")
+    r = f"CAST(floor(v * 1000000.0D + {ROUND_OFFSET}D) / 1000000.0D AS DOUBLE)"
+    return pts.withColumn("coordinates", F.expr(f"transform(coordinates, v -> {r})"))
+
+
+@query("geojson_route_lines")
+def q_geojson_route_lines(spark, sf_dir):
+    _, scaler, _, cents = route_space(spark, sf_dir)
+    return _rounded_coords(MV.centre_lines(K.route_centers(cents, scaler)))
+
+
+@query("route_center_lines")
+def q_route_center_lines(spark, sf_dir):
+    _, scaler, _, cents = route_space(spark, sf_dir)
+    out = MV.route_center_lines(K.route_centers(cents, scaler), P.route_summary(predictions(spark, sf_dir)))
+    return round_doubles(_rounded_coords(out))
+
+
+@query("tracks_of_selected")
+def q_tracks_of_selected(spark, sf_dir):
+    sel = P.top_ships(predictions(spark, sf_dir))
+    return MV.tracks_of(clean(spark, sf_dir), sel).select("mmsi", "rid")
+
+
+@query("anomaly_track_join")
+def q_anomaly_track_join(spark, sf_dir):
+    anom = P.anomaly_ships(predictions(spark, sf_dir)).select("mmsi", "anomaly_score")
+    return round_doubles(clean(spark, sf_dir).join(anom, "mmsi").select("mmsi", "rid", "anomaly_score"))
+
+
+@query("geojson_anomaly_tracks")
+def q_geojson_anomaly_tracks(spark, sf_dir):
+    anom = P.anomaly_ships(predictions(spark, sf_dir))
+    lines = MV.track_pieces(MV.tracks_of(clean(spark, sf_dir), anom))
+    return round_doubles(_rounded_coords(lines.join(anom.select("mmsi", "anomaly_score", "predicted_route"), "mmsi")))
+
+
+@query("actual_tracks")
+def q_actual_tracks(spark, sf_dir):
+    sel = P.top_ships(predictions(spark, sf_dir))
+    return round_doubles(_rounded_coords(MV.actual_tracks(clean(spark, sf_dir), sel)))
+
+
+@query("straight_tracks")
+def q_straight_tracks(spark, sf_dir):
+    return _rounded_coords(MV.straight_tracks(predictions(spark, sf_dir)))
+
+
+@query("ship_points")
+def q_ship_points(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    latest = MV.actual_tracks(clean(spark, sf_dir), P.top_ships(p))
+    return round_doubles(MV.ship_points(p, latest))
+
+
+@query("representative_vessel")
+def q_representative_vessel(spark, sf_dir):
+    return round_doubles(MV.representative_vessel(predictions(spark, sf_dir), clean(spark, sf_dir)))
+
+
+@query("representative_track")
+def q_representative_track(spark, sf_dir):
+    pts = clean(spark, sf_dir)
+    rep = MV.representative_vessel(predictions(spark, sf_dir), pts)
+    return MV.representative_track(rep, pts).select("predicted_route", "mmsi", "ts", "piece")
+
+
+@query("average_centerline")
+def q_average_centerline(spark, sf_dir):
+    return round_doubles(MV.average_centerline(clean(spark, sf_dir), predictions(spark, sf_dir)))
+
+
+@query("forecast_paths")
+def q_forecast_paths(spark, sf_dir):
+    b = baselines(spark, sf_dir)
+    w = FC.blend_weights(b, H, "const_")
+    fc = FC.forecast_latest(FC.constant_position(forecast_points(spark, sf_dir), H), w, H, "const_")
+    # draw the dead-reckoning leg (the stand-in model is the constant position)
+    fc = fc.selectExpr("mmsi", "start_lat", "start_lon", *[
+        f"dead_reckoning_pred_{a}_{h}h AS pred_{a}_{h}h" for h in H for a in ("lat", "lon")])
+    return _rounded_coords(MV.forecast_paths(fc, predictions(spark, sf_dir)))
