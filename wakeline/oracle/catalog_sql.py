@@ -1095,3 +1095,15 @@ rv AS (SELECT c.predicted_route, c.mmsi, {_rep_terms} - coalesce(c.predicted_rou
        FROM rv_c c JOIN rv_s s USING (predicted_route))
 SELECT predicted_route, arg_min(mmsi, (score, mmsi)) AS representative_mmsi, min(score) AS score
 FROM rv GROUP BY predicted_route""".replace("\n, rv_c AS", "SELECT * FROM (WITH rv_c AS", 1) + ")", ("score",))
+
+
+# -------------------------------------------------------------- streaming --
+
+SQL["hourly_resample_stream"] = rounded(W(RAW_POINTS, RANGED) + """
+SELECT mmsi, date_trunc('hour', ts) AS ts, avg(lat) AS lat, avg(lon) AS lon, avg(sog) AS sog, avg(cog) AS cog,
+  avg(width) AS width, avg(length) AS length, avg(draught) AS draught
+FROM rg WHERE mmsi IS NOT NULL AND ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+GROUP BY mmsi, date_trunc('hour', ts)""", ("lat", "lon", "sog", "cog", "width", "length", "draught"))
+SQL["stop_events_stream"] = rounded(W(CLEAN_POINTS, STOP_SUMMARY) + """
+SELECT mmsi, start_timestamp, end_timestamp, point_count, center_lat, center_lon, mean_sog FROM stop_summary""",
+                                    ("center_lat", "center_lon", "mean_sog"))

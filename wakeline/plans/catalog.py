@@ -1146,3 +1146,40 @@ def q_forecast_paths(spark, sf_dir):
     fc = fc.selectExpr("mmsi", "start_lat", "start_lon", *[
         f"dead_reckoning_pred_{a}_{h}h AS pred_{a}_{h}h" for h in H for a in ("lat", "lon")])
     return _rounded_coords(MV.forecast_paths(fc, predictions(spark, sf_dir)))
+
+
+# -------------------------------------------------------------- streaming --
+
+def raw_points_stage(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
+    from wakeline.plans.stages import stage_path
+
+    df = stage_table(spark, "raw_points", sf_dir, lambda: X.ais_points(spark, sf_dir))
+    return stage_path(spark, "raw_points", sf_dir), df.schema
+
+
+@query("hourly_resample_stream")
+def q_hourly_resample_stream(spark, sf_dir):
+    """The hourly resample as a Structured Streaming job over the point files."""
+
+    from wakeline.streaming import ais_stream as ST
+
+    path, schema = raw_points_stage(spark, sf_dir)
+    stream = ST.read_point_stream(spark, path, schema)
+    import hashlib
+
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    return round_doubles(ST.run_available_now(ST.hourly_resample_stream(stream), f"hourly-{tag}"))
+
+
+@query("stop_events_stream")
+def q_stop_events_stream(spark, sf_dir):
+    from wakeline.streaming import ais_stream as ST
+
+    from wakeline.plans.stages import stage_path
+
+    cleaned = clean(spark, sf_dir)
+    stream = ST.read_point_stream(spark, stage_path(spark, "clean_points", sf_dir), cleaned.schema)
+    import hashlib
+
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    return round_doubles(ST.run_available_now(ST.stop_events_stream(stream), f"stops-{tag}"))
