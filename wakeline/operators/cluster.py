@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.components import connected_components as contract_components
 from wakeline.operators.joins import grid_pairs
-from wakeline.session import checkpoint_dir
 
 # Fixed values of the reference.
 ANCHORAGE_EPS_KM = 2.0
@@ -20,36 +20,12 @@ EVENT_ID_FACTOR = 1000000  # node id = mmsi * 10^6 + stop event number
 
 # ------------------------------------------------------------- DBSCAN --
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Smallest node id of each node's component (undirected ``edges(a, b)``).
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Smallest node id of each node's component (undirected ``edges(a, b)``);
+    nodes without an edge are their own component."""
 
-    Min-label propagation with pointer jumping (hook + shortcut): each round
-    takes the minimum label over a node's neighbours, then replaces every
-    label by its label's label. Rounds are O(log n) on typical graphs. The
-    label table is checkpointed to the shared checkpoint folder each round,
-    so lineage stays short and a lost executor costs one round.
-    """
-
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    und = edges.selectExpr("a", "b").unionByName(edges.selectExpr("b AS a", "a AS b")).where("a <> b").distinct()
-    und = und.checkpoint()
-    labels = nodes.selectExpr("node", "node AS lab").distinct().checkpoint()
-    for _ in range(max_rounds):
-        nb = und.join(labels.withColumnRenamed("node", "b").withColumnRenamed("lab", "nlab"), "b").groupBy("a").agg(
-            F.expr("min(nlab) AS m")
-        )
-        hooked = labels.join(nb.withColumnRenamed("a", "node"), "node", "left").selectExpr(
-            "node", "least(lab, coalesce(m, lab)) AS lab"
-        )
-        jumped = hooked.join(
-            hooked.selectExpr("node AS lab", "lab AS lab2"), "lab", "left"
-        ).selectExpr("node", "least(lab, coalesce(lab2, lab)) AS lab").checkpoint()
-        changed = jumped.join(labels.withColumnRenamed("lab", "old"), "node").where("lab <> old").limit(1).count()
-        labels = jumped
-        if changed == 0:
-            break
-    return labels
+    comp = contract_components(edges.sparkSession, edges.selectExpr("a", "b"), "anchorage")
+    return nodes.select("node").distinct().join(comp, "node", "left").selectExpr("node", "coalesce(root, node) AS lab")
 
 
 def anchorage_dbscan(

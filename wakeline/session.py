@@ -21,17 +21,16 @@ def build_session(
 ) -> SparkSession:
     """Return a session with the settings the operators rely on.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or 8]``. On a cluster, pass
-    ``master=None`` through ``spark-submit`` and size ``shuffle_partitions`` to
-    roughly input bytes / 128 MB.
+    ``master`` and ``shuffle_partitions`` are set only when given, so what
+    ``spark-submit`` or ``spark-defaults`` say stands. On a cluster size
+    ``shuffle_partitions`` to roughly input bytes / 128 MB; adaptive execution
+    can lower that number, not raise it.
     """
 
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app_name)
-    if master is not None or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
+    if master is not None:
+        builder = builder.master(master)
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus)),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -39,9 +38,14 @@ def build_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     }
+    if os.environ.get("SPARK_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["SPARK_DRIVER_MEMORY"]
+    elif master is not None and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"  # local mode: the driver is the executor
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -54,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stage tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
-    used. Only when it is unset (local tests) a fresh folder is created and
-    registered, so reliable ``checkpoint()`` works there too.
+    used. Where it is unset, a local master gets a fresh folder (tests); any
+    other master raises, since a machine-local folder is not visible to the
+    other executors.
     """
 
     sc = spark.sparkContext
@@ -64,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wakeline-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
