@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import simhash
+from wakeline.llm import pieces, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,3 +28,21 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under merge-dropout and the hash of the text they
+    decode to (equal to the document's own)."""
+
+    model = pieces.read_model()
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return pieces.decode(encoded, model, text_col="decoded").select(
+        "doc_id", "n_ids", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, noisy key and decision for every document."""
+
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
