@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import pieces, quality, simhash
+from wakeline.llm import mixing, pieces, quality, simhash
+from wakeline.llm.oracles import OP2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, words taken and first training position of every document."""
+
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    return planned.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.expr("copies[0].position").alias("position"))
+
+
+SQL["op2_mix_sources"] = OP2
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
