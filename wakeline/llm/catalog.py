@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, pieces, quality, simhash
-from wakeline.llm.oracles import OP2
+from wakeline.llm import mixing, pieces, quality, secrets, simhash
+from wakeline.llm.oracles import OP2, OP4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +43,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+SQL["op4_secret_scan"] = OP4
+
+
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under merge-dropout and the hash of the text they

@@ -56,3 +56,50 @@ SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
             ELSE {_inverse(_SEGMENTS[2])} END END AS position
 FROM x
 """
+
+
+def _hits(kind: str, rank: int, pattern: str, group: int, keep: str) -> str:
+    """Rows (rid, kind, r, start, stop, m) of a kind's matches, from the lengths
+    of the matches and of the text between them."""
+
+    return f"""
+  SELECT rid, '{kind}' AS kind, {rank} AS r, upto - len(m) AS start, upto AS stop, m FROM (
+    SELECT rid, m[i] AS m, g[i] AS g, sum(len(p[i]) + len(m[i])) OVER (PARTITION BY rid ORDER BY i)::BIGINT AS upto
+    FROM (SELECT rid, p, m, g, unnest(generate_series(1, len(m))) AS i FROM (
+      SELECT rid, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS m,
+             regexp_extract_all(t, '{pattern}', {group}) AS g FROM d)))
+  WHERE {keep}"""
+
+
+_ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
+
+OP4 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+base AS ({_hits("assign", 0, _ASSIGN, 1, "len(g) >= 6")}
+  UNION ALL {_hits("access", 1, "AKIA[A-Z0-9]+", 0, "len(m) >= 20")}
+  UNION ALL {_hits("hex", 2, "[0-9a-f]+", 0, "len(m) >= 24")}),
+cand AS (
+  SELECT * FROM ({_hits("entropy", 3, "[A-Za-z0-9+/_=-]+", 0, "len(m) >= 20")})
+  WHERE NOT regexp_matches(m, '^[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}$')
+    AND NOT regexp_matches(lower(m), 'abcdefghij|0123456789|xxxx|example|placeholder|your[-_]?(key|token|secret)|dummy|changeme')),
+bits AS (
+  SELECT *, CASE WHEN regexp_full_match(m, '[0-9A-Fa-f]+') THEN 3.05
+                 WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]') THEN 3.83 END AS least
+  FROM cand),
+win AS (SELECT rid, start, m, least, unnest(generate_series(1, len(m) - 19)) AS k FROM bits WHERE least IS NOT NULL),
+hit AS (
+  SELECT rid, start + min(k) - 1 AS a, start + max(k) + 19 AS b FROM win
+  WHERE list_aggregate(string_split(substr(m, k, 20), ''), 'entropy') >= least GROUP BY rid, start),
+spans AS (
+  SELECT rid, kind, r, start, stop FROM base
+  UNION ALL SELECT rid, 'entropy', 3, a, b FROM hit
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = hit.rid AND base.start < hit.b AND hit.a < base.stop)),
+txt AS (
+  SELECT rid, count(*) FILTER (r = 0) AS n_assign, count(*) FILTER (r = 1) AS n_access, count(*) FILTER (r = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, r) FILTER (r < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, r) AS spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN txt USING (rid)
+"""
