@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, pieces, quality, secrets, simhash
+from wakeline.llm import mixing, pieces, pii, quality, secrets, simhash
 from wakeline.llm.oracles import OP2, OP4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,8 +64,24 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_ids", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight, noisy key and decision for every document."""
 
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline over all documents."""
+
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -38,7 +38,7 @@ SEED = 11
 SPACE = "▁"
 _WIDEST = 32  # longer chunks are merged one by one
 _SLOTS = (1 << 20) - 1  # of the table of mergeable pairs
-_SLICE = 12 << 20  # bytes of text worked on at a time
+_SLICE = 5 << 20  # bytes of text worked on at a time
 _M64 = (1 << 64) - 1
 
 

@@ -76,9 +76,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.expr(matches(text, CANDIDATE, "entropy", 0, f"NOT {{m}} RLIKE {literal(ALLOWED)}")).alias("cands"),
     )
     plain = "transform({a}, s -> named_struct('start', s.start, 'rank', {r}, 'kind', s.kind, 'end', s.end))"
-    runs = let(
+    runs = let("base", "formats", let(
         f"transform(cands, c -> {let('c.m', 'cand', let(_entropy_runs('cand'), 'e', bound()))})", "r",
-        "filter(r, x -> x.end > 0 AND NOT exists(base, b -> b.start < x.end AND x.start < b.end))")
+        "filter(r, x -> x.end > 0 AND NOT exists(formats, b -> b.start < x.end AND x.start < b.end))"))
     base = "array_sort(concat({}, {}, {}))".format(*(plain.format(a=a, r=r) for r, a in enumerate(("assign", "access", "hexa"))))
     return (
         found.withColumn("base", F.expr(base))
