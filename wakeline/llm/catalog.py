@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, pieces, pii, quality, secrets, simhash
-from wakeline.llm.oracles import OP2, OP4
+from wakeline.llm import merkle, mixing, pieces, pii, quality, secrets, simhash, urls
+from wakeline.llm.oracles import OP2, OP4, OP7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +64,30 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_ids", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how alike it
+    is to that and to the next document."""
+
+    return merkle.with_next(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for every page's url."""
+
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
+SQL["op7_url_filter"] = OP7
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""

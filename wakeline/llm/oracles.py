@@ -103,3 +103,53 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
        coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN txt USING (rid)
 """
+
+
+def _level(name: str, members: str, parent: str, up: str) -> str:
+    """The posterior means of one level of the reputation."""
+
+    return f"""
+{name}_fit AS (
+  SELECT CASE WHEN k > 1 AND all_n > k AND msb + (n0 - 1) * msw > 0
+              THEN least(0.999::DOUBLE, greatest(0.001::DOUBLE, (msb - msw) / (msb + (n0 - 1) * msw))) ELSE 0.1::DOUBLE END AS rho
+  FROM (SELECT k, all_n, (b2 - all_bad * all_bad / all_n) / (k - 1) AS msb, (all_bad - b2) / (all_n - k) AS msw,
+               (all_n - n2 / all_n) / (k - 1) AS n0
+        FROM (SELECT sum(n)::DOUBLE AS all_n, sum(bad)::DOUBLE AS all_bad, count(*) AS k, sum(n * n)::DOUBLE AS n2,
+                     sum(bad * bad / n::DOUBLE) AS b2 FROM {members} WHERE n > 0))),
+{name}_post AS (
+  SELECT m.*, 1 / rho - 1 AS strength, (m.bad + (1 / rho - 1) * p.mean) / (m.n + 1 / rho - 1) AS mean
+  FROM {members} m CROSS JOIN {name}_fit JOIN {parent} p ON m.{up} = p.{up})"""
+
+
+_PUBLIC = "'co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.nz', 'co.in'"
+
+OP7 = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+v AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+l AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+      FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
+h0 AS (SELECT host, count(l.bad) AS n, coalesce(sum(l.bad), 0)::BIGINT AS bad FROM v LEFT JOIN l ON v.page_id = l.doc_id GROUP BY host),
+h1 AS (SELECT *, string_split(host, '.') AS w FROM h0),
+h2 AS (SELECT *, array_to_string(w[-2:], '.') AS two FROM h1),
+hosts AS (SELECT host, n, bad, CASE WHEN two IN ({_PUBLIC}) THEN array_to_string(w[-3:], '.') ELSE two END AS domain,
+                 CASE WHEN two IN ({_PUBLIC}) THEN two ELSE w[-1] END AS suffix FROM h2),
+domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM hosts GROUP BY ALL),
+suffixes AS (SELECT suffix, 'all' AS top, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM domains GROUP BY ALL),
+tops AS (SELECT top, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY top),
+{_level("s", "suffixes", "tops", "top")},
+{_level("d", "domains", "s_post", "suffix")},
+{_level("h", "hosts", "d_post", "domain")},
+b AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + strength + 1)) AS bound FROM h_post),
+rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                      ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+best AS (
+  SELECT page_id, v.host, v.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT * FROM v) v JOIN rules r
+    ON (v.host = r.host OR ends_with(v.host, '.' || r.host)) AND starts_with(v.path, r.path)
+  GROUP BY ALL)
+SELECT v.page_id, v.host, v.path, best.rule, coalesce(best.verdict, CASE WHEN b.bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM v LEFT JOIN b ON v.host = b.host LEFT JOIN best ON v.page_id IS NOT DISTINCT FROM best.page_id AND v.host = best.host AND v.path = best.path
+"""
