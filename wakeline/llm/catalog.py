@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import merkle, mixing, pieces, pii, quality, secrets, simhash, urls
+from wakeline.llm import html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls
 from wakeline.llm.oracles import OP2, OP4, OP7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op7_url_filter"] = OP7
 
 
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
