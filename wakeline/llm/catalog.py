@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls
-from wakeline.llm.oracles import OP2, OP4, OP7
+from wakeline.llm import embeddings, html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls
+from wakeline.llm.oracles import OP1, OP2, OP4, OP7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every vector."""
+
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_embedding_near_dedup"] = OP1
+
+
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target, words taken and first training position of every document."""

@@ -153,3 +153,18 @@ best AS (
 SELECT v.page_id, v.host, v.path, best.rule, coalesce(best.verdict, CASE WHEN b.bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM v LEFT JOIN b ON v.host = b.host LEFT JOIN best ON v.page_id IS NOT DISTINCT FROM best.page_id AND v.host = best.host AND v.path = best.path
 """
+
+
+OP1 = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+c AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT c.a, p.b FROM c JOIN p ON c.b = p.a),
+m AS (SELECT a AS vec_id, min(b) AS component_id FROM c GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT m.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN n USING (vec_id)
+"""
