@@ -30,3 +30,48 @@ def test_group_split_and_folds_disjoint(spark):
     f = group_folds(df, "mmsi", "label", 3)
     assert f.groupBy("mmsi").agg({"fold": "max"}).join(f.groupBy("mmsi").agg({"fold": "min"}), "mmsi").where(
         "`max(fold)` <> `min(fold)`").count() == 0
+
+
+def _brute_dbscan(pts, eps, ms):
+    import math
+
+    def d(a, b):
+        p, q = math.radians(a[2]), math.radians(b[2])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(min(1.0, math.sqrt(h)))
+
+    near = [[j for j in range(len(pts)) if d(pts[i], pts[j]) <= eps] for i in range(len(pts))]
+    core = [len(x) >= ms for x in near]
+    lab = list(range(len(pts)))
+
+    def find(i):
+        while lab[i] != i:
+            i = lab[i]
+        return i
+
+    for i in range(len(pts)):
+        for j in near[i]:
+            if core[i] and core[j]:
+                a, b = find(i), find(j)
+                lab[max(a, b)] = min(a, b)
+    order = {r: k for k, r in enumerate(sorted({find(i) for i in range(len(pts)) if core[i]}))}
+    return {pts[i][:2]: order[find(i)] if core[i] else min((order[find(j)] for j in near[i] if core[j]), default=-1) for i in range(len(pts))}
+
+
+def test_dbscan_ports_chains_and_date_line(spark):
+    import random
+
+    rnd = random.Random(12)
+    pts = [(rnd.gauss(54, 0.004), rnd.gauss(8, 0.004)) for _ in range(250)]  # a dense port
+    pts += [(10 + 0.0099 * i, 179.95 + 0.009 * i if i < 6 else 179.95 + 0.009 * i - 360) for i in range(90)]  # a long chain over the date line
+    pts += [(10 + 0.0099 * i, 20.0) for i in range(60) for _ in range(2)]
+    pts += [(rnd.uniform(40, 40.3), rnd.uniform(3, 3.3)) for _ in range(150)] + [(89.99, rnd.uniform(-180, 180)) for _ in range(10)]
+    rnd.shuffle(pts)
+    rows = [(k // 7, k % 7, la, lo if lo < 180 else lo - 360) for k, (la, lo) in enumerate(pts)]
+    ev = spark.createDataFrame(
+        [(m, n, la, lo, 3, 1.0, dt.datetime(2024, 1, 1)) for m, n, la, lo in rows],
+        "mmsi long, stop_event_no long, center_lat double, center_lon double, point_count long,"
+        " duration_hours double, start_timestamp timestamp",
+    )
+    got = {(r.mmsi, r.stop_event_no): r.anchorage_cluster for r in anchorage_dbscan(ev, 2.0, 4).collect()}
+    assert got == _brute_dbscan(rows, 2.0, 4)

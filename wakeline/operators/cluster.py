@@ -3,19 +3,22 @@ centroids / distances / thresholds, and the route catalog."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.operators.components import connected_components as contract_components
+from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
 from wakeline.operators.joins import grid_pairs
+from wakeline.operators.ranking import global_row_number
+from wakeline.scratch import Scratch
 
 # Fixed values of the reference.
 ANCHORAGE_EPS_KM = 2.0
 ANCHORAGE_MIN_SAMPLES = 4
 ANOMALY_QUANTILE = 0.95
-EVENT_ID_FACTOR = 1000000  # node id = mmsi * 10^6 + stop event number
 
 
 # ------------------------------------------------------------- DBSCAN --
@@ -28,6 +31,42 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.select("node").distinct().join(comp, "node", "left").selectExpr("node", "coalesce(root, node) AS lab")
 
 
+def _cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str]:
+    """(band, cells in the band, cell) of a grid whose cells have a diagonal
+    of less than ``eps_km``: sides of at most 0.7 eps."""
+
+    side = 0.7 * math.degrees(eps_km / EARTH_RADIUS_KM)
+    bands = int(math.ceil(180.0 / side))
+    band = f"least(CAST(floor(({lat} + 90.0D) / {side!r}D) AS INT), {bands - 1})"
+    low = f"least(abs({band} * {side!r}D - 90.0D), abs(({band} + 1) * {side!r}D - 90.0D))"  # nearest the equator
+    near = f"IF({band} * {side!r}D <= 90.0D AND ({band} + 1) * {side!r}D >= 90.0D, 0.0D, {low})"
+    cells = f"greatest(1, CAST(ceil(360.0D * cos(radians({near})) / {side!r}D) AS INT))"
+    return band, cells, f"pmod(CAST(floor(({lon} + 180.0D) / 360.0D * {cells}) AS INT), {cells})"
+
+
+def _dense_links(pts: DataFrame, cells: DataFrame, eps: float) -> DataFrame:
+    """Edges (a, b) between dense cells (by node) that hold points within
+    ``eps`` of each other. ``pts``: node, lat, lon; ``cells``: node, lat, lon
+    (centre) and reps, their outermost points in eight directions. Most pairs of
+    cells are settled by these; only the others compare points."""
+
+    near = grid_pairs(cells, 2.0 * eps, pid="node").where("a < b")
+    reps = cells.select("node", "reps")
+    pairs = near.join(reps.selectExpr("node AS a", "reps AS ra"), "a").join(reps.selectExpr("node AS b", "reps AS rb"), "b")
+    d = haversine_sql("x.lat", "x.lon", "y.lat", "y.lon")
+    scratch = Scratch(pts.sparkSession, "dense-cells")
+    tried = scratch.write(pairs.selectExpr("a", "b", f"exists(ra, x -> exists(rb, y -> {d} <= {eps}D)) AS linked"), "pairs")
+    centre = cells.selectExpr("node", "lat AS clat", "lon AS clon")
+    # a point can only have a neighbour in the other cell within eps + half a diagonal of its centre
+    open_a = tried.where("NOT linked").join(centre.withColumnRenamed("node", "b"), "b").join(
+        pts.selectExpr("node AS a", "lat AS alat", "lon AS alon"), "a").where(f"{haversine_sql('alat', 'alon', 'clat', 'clon')} <= {1.5 * eps}D")
+    open_b = tried.where("NOT linked").join(centre.withColumnRenamed("node", "a"), "a").join(
+        pts.selectExpr("node AS b", "lat AS blat", "lon AS blon"), "b").where(f"{haversine_sql('blat', 'blon', 'clat', 'clon')} <= {1.5 * eps}D")
+    found = open_a.select("a", "b", "alat", "alon").join(open_b.select("a", "b", "blat", "blon"), ["a", "b"]).where(
+        f"{haversine_sql('alat', 'alon', 'blat', 'blon')} <= {eps}D").select("a", "b").distinct()
+    return tried.where("linked").select("a", "b").unionByName(found)
+
+
 def anchorage_dbscan(
     stop_events: DataFrame,
     eps_km: float = ANCHORAGE_EPS_KM,
@@ -35,42 +74,53 @@ def anchorage_dbscan(
 ) -> DataFrame:
     """DBSCAN on stop-event centres with haversine distance.
 
-    Identical centres are merged first (weight = copies) so a port with many
-    repeats adds no pairs. Neighbours come from the grid range join (self
-    included); a point with weight-summed neighbours >= ``min_samples`` is
-    core. Core points connected through core-core edges form a cluster,
-    numbered by its smallest event (mmsi, event no) like scikit-learn's scan
-    order; a border point joins the lowest-numbered neighbouring cluster; the
-    rest is noise. Adds ``anchorage_cluster`` (-1 noise) and ``anchorage_id``.
+    Identical centres are merged first (weight = copies). Centres are dealt into
+    cells of a diagonal below eps: in a cell that weighs ``min_samples`` or more
+    every centre is core and all belong together, so the cell is one node and
+    its inner pairs are never made. The centres of the other cells, fewer than
+    ``min_samples`` each, are compared with all centres around (a number per
+    centre that is bounded by the cells around it). Components of nodes are the
+    clusters, numbered by their smallest event (mmsi, event no) like
+    scikit-learn's scan order; a border point joins the lowest-numbered
+    neighbouring cluster; the rest is noise. Adds ``anchorage_cluster`` (-1
+    noise) and ``anchorage_id``.
     """
 
     eps = max(float(eps_km), 0.1)
     ms = max(int(min_samples), 1)
-    ev = stop_events.selectExpr("*", f"CAST(mmsi AS BIGINT) * {EVENT_ID_FACTOR} + stop_event_no AS _node")
-    uniq = ev.groupBy("center_lat", "center_lon").agg(
-        F.expr("min(_node) AS pid"), F.expr("count(1) AS w")
-    )
-    pairs = grid_pairs(uniq.select("pid", F.col("center_lat").alias("lat"), F.col("center_lon").alias("lon")), eps)
-    w = uniq.select("pid", "w")
-    counts = pairs.join(w.withColumnRenamed("pid", "b"), "b").groupBy("a").agg(F.expr("sum(w) AS n_nb"))
-    core = counts.where(f"n_nb >= {ms}").selectExpr("a AS pid")
-    core_edges = pairs.join(core.withColumnRenamed("pid", "a"), "a", "left_semi").join(
-        core.withColumnRenamed("pid", "b"), "b", "left_semi"
-    )
-    comp = connected_components(core_edges, core.withColumnRenamed("pid", "node"))
-    # number clusters 0.. by their smallest node (the component label)
-    roots = comp.select("lab").distinct()
-    numbered = roots.selectExpr("lab", "CAST(dense_rank() OVER (ORDER BY lab) - 1 AS INT) AS cluster")
-    core_cluster = comp.join(numbered, "lab").selectExpr("node AS pid", "cluster")
-    border = (
-        pairs.join(core_cluster.withColumnRenamed("pid", "b"), "b")
-        .join(core_cluster.withColumnRenamed("pid", "a").withColumnRenamed("cluster", "_own"), "a", "left")
-        .where("_own IS NULL")
-        .groupBy("a").agg(F.expr("min(cluster) AS cluster"))
-        .withColumnRenamed("a", "pid")
-    )
-    assigned = core_cluster.unionByName(border)
-    uniq_lab = uniq.join(assigned, "pid", "left").selectExpr("center_lat", "center_lon", "coalesce(cluster, -1) AS anchorage_cluster")
+    scratch = Scratch(stop_events.sparkSession, "dbscan")
+    ev = stop_events.selectExpr("*", "named_struct('mmsi', mmsi, 'no', stop_event_no) AS _node")
+    band, cells_in, cell = _cell_sql("lat", "lon", eps)
+    uniq = scratch.write(
+        ev.groupBy("center_lat", "center_lon").agg(F.expr("min(_node) AS pid"), F.expr("count(1) AS w"))
+        .selectExpr("pid", "center_lat AS lat", "center_lon AS lon", "w")
+        .selectExpr("*", f"{band} AS band", f"{cell} AS cell"), "centres")
+    turns = [math.pi * k / 4 for k in range(8)]
+    # longitudes of a cell are taken from its own middle, so a cell at +-180 holds together
+    middle = f"((cell + 0.5D) * 360.0D / {cells_in} - 180.0D)"
+    east = f"(pmod(lon - {middle} + 540.0D, 360.0D) - 180.0D) * cos(radians(lat))"
+    outer = ", ".join(
+        f"max(named_struct('s', lat * {math.sin(t)!r}D + {east} * {math.cos(t)!r}D, 'lat', lat, 'lon', lon))" for t in turns)
+    cells = uniq.groupBy("band", "cell").agg(
+        F.expr("min(pid) AS node"), F.expr("sum(w) AS cell_w"), F.expr(f"array({outer}) AS reps"), F.expr("avg(lat) AS lat"),
+        F.expr(f"avg({east}) AS _e"), F.expr(f"any_value({middle}) AS _m")).selectExpr(
+        "band", "cell", "node", f"cell_w >= {ms} AS dense", "reps", "lat",
+        "pmod(_m + _e / greatest(cos(radians(lat)), 1e-9D) + 540.0D, 360.0D) - 180.0D AS lon")
+    cells = scratch.write(cells, "cells")
+    pts = scratch.write(uniq.join(cells.select("band", "cell", "node", "dense"), ["band", "cell"]), "points")
+    near = scratch.write(grid_pairs(pts, eps, left=pts.where("NOT dense")), "near")
+    core = near.join(pts.selectExpr("pid AS b", "w"), "b").groupBy("a").agg(F.expr("sum(w) AS n")).where(f"n >= {ms}").selectExpr("a AS pid")
+    nodes = scratch.write(
+        pts.where("dense").selectExpr("pid", "node").unionByName(core.selectExpr("pid", "pid AS node")), "core")
+    sparse_links = near.join(core.withColumnRenamed("pid", "a"), "a", "left_semi").join(nodes.selectExpr("pid AS b", "node"), "b").selectExpr("a", "node AS b")
+    dense_links = _dense_links(pts.where("dense").select("node", "lat", "lon"), cells.where("dense").select("node", "lat", "lon", "reps"), eps)
+    comp = scratch.write(connected_components(sparse_links.unionByName(dense_links), nodes.select("node")), "components")
+    numbered = global_row_number(comp.select("lab").distinct(), ["lab"], "cluster", 0).selectExpr("lab", "CAST(cluster AS INT) AS cluster")
+    core_cluster = scratch.write(nodes.join(comp, "node").join(numbered, "lab").select("pid", "cluster"), "clusters")
+    border = near.join(core_cluster.withColumnRenamed("pid", "a"), "a", "left_anti").join(
+        core_cluster.withColumnRenamed("pid", "b"), "b").groupBy("a").agg(F.expr("min(cluster) AS cluster")).withColumnRenamed("a", "pid")
+    uniq_lab = uniq.join(core_cluster.unionByName(border), "pid", "left").selectExpr(
+        "lat AS center_lat", "lon AS center_lon", "coalesce(cluster, -1) AS anchorage_cluster")
     out = ev.join(uniq_lab, ["center_lat", "center_lon"]).drop("_node")
     return out.selectExpr(
         *[c for c in stop_events.columns],
@@ -81,15 +131,14 @@ def anchorage_dbscan(
 
 
 def neighbour_counts(stop_events: DataFrame, eps_km: float = ANCHORAGE_EPS_KM) -> DataFrame:
-    """Events within ``eps_km`` of each stop event (self included)."""
-
-    ev = stop_events.selectExpr(f"CAST(mmsi AS BIGINT) * {EVENT_ID_FACTOR} + stop_event_no AS pid",
-                                "center_lat AS lat", "center_lon AS lon")
-    pairs = grid_pairs(ev, max(float(eps_km), 0.1))
-    return pairs.groupBy("a").agg(F.expr("count(1) AS neighbours")).selectExpr(
-        f"CAST(a div {EVENT_ID_FACTOR} AS BIGINT) AS mmsi", f"CAST(a % {EVENT_ID_FACTOR} AS BIGINT) AS stop_event_no",
-        "neighbours",
-    )
+    """Events within ``eps_km`` of each stop event (self included). Identical
+    centres are compared once and weighted by their copies."""
+
+    centres = stop_events.groupBy("center_lat", "center_lon").agg(F.expr("count(1) AS w")).selectExpr(
+        "named_struct('lat', center_lat, 'lon', center_lon) AS pid", "center_lat AS lat", "center_lon AS lon", "w")
+    pairs = grid_pairs(centres, max(float(eps_km), 0.1))
+    counts = pairs.join(centres.selectExpr("pid AS b", "w"), "b").groupBy("a").agg(F.expr("sum(w) AS neighbours"))
+    return stop_events.join(counts, F.expr("a = named_struct('lat', center_lat, 'lon', center_lon)")).select("mmsi", "stop_event_no", "neighbours")
 
 
 def anchorage_summary(clustered: DataFrame) -> DataFrame:

@@ -202,8 +202,10 @@ def grid_pairs(
     pid: str = "pid",
     lat: str = "lat",
     lon: str = "lon",
+    left: DataFrame | None = None,
 ) -> DataFrame:
-    """All pairs (a, b) with haversine(a, b) <= eps_km, self pairs included.
+    """All pairs (a, b) with haversine(a, b) <= eps_km, self pairs included;
+    ``a`` runs over ``left`` (by default all of ``pts``), ``b`` over ``pts``.
 
     Latitude bands of height eps; each band has its own longitude cell width,
     wide enough for any pair within eps at the band's extreme latitude (and
@@ -234,7 +236,7 @@ def grid_pairs(
         f"{pid} AS _pid_b", f"{lat} AS _lat_b", f"{lon} AS _lon_b", "_band",
         f"pmod(CAST(floor(({lon} + 180.0D) / _w) AS INT), CAST(round(360.0D / _w) AS INT)) AS _cell",
     )
-    a = pts.selectExpr(pid, lat, lon, f"{band} AS _band0").selectExpr(
+    a = (pts if left is None else left).selectExpr(pid, lat, lon, f"{band} AS _band0").selectExpr(
         "*", "explode(array(_band0 - 1, _band0, _band0 + 1)) AS _band"
     ).where(f"_band >= 0 AND _band < {n_bands}").selectExpr("*", f"{width_sql('_band')} AS _w").selectExpr(
         "*",
