@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.medians import exact_medians
+
 # Header aliases of the reference readers (stripped header -> canonical).
 ALIASES: dict[str, str] = {
     "# Timestamp": "ts", "Timestamp": "ts", "timestamp": "ts", "TimeStamp": "ts",
@@ -179,9 +181,9 @@ def group_medians(df: DataFrame, cols: Sequence[str], key: str = "mmsi") -> tupl
     ``<col>`` = median of that key's non-null values; ``global_row`` is one row
     with the median over all rows after nulls were filled with their key's
     median (rows of keys with no value excluded). Both come from one
-    ``(key, column, value)`` count — a map-side combined aggregate — and
-    ``percentile(value, 0.5, count)``, so no key's values are ever gathered in
-    one buffer beyond its distinct values.
+    ``(key, column, value)`` count, a map-side combined aggregate: a key's
+    median from its distinct values and their counts, the global one by
+    ``exact_medians``, which gathers no column anywhere.
     """
 
     s = _stacked(df, key, cols)
@@ -196,13 +198,23 @@ def group_medians(df: DataFrame, cols: Sequence[str], key: str = "mmsi") -> tupl
             "name", F.col("median").alias("value"), F.col("n_null").alias("n")
         )
     )
-    glob = (
-        filled.groupBy("name", "value").agg(F.sum("n").alias("n"))
-        .groupBy("name").agg(F.percentile("value", 0.5, F.col("n")).alias("median"))
-    )
+    glob = exact_medians(filled)
     per_key = per.groupBy(key).agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols])
-    global_row = glob.agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols])
-    return per_key, global_row
+    return per_key, medians_row(df, glob, cols)
+
+
+def medians_row(df: DataFrame, medians: dict[str, float], cols: Sequence[str]) -> DataFrame:
+    """One row with the median of every column (null where there is none)."""
+
+    schema = ", ".join(f"{c} double" for c in cols)
+    return df.sparkSession.createDataFrame([tuple(medians.get(c) for c in cols)], schema)
+
+
+def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The exact median of every column as one row."""
+
+    counts = _stacked(df.withColumn("_all", F.lit(0)), "_all", cols).groupBy("name", "value").agg(F.count("*").alias("n"))
+    return medians_row(df, exact_medians(counts), cols)
 
 
 def impute_group_median(

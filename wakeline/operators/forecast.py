@@ -35,23 +35,21 @@ def constant_position(rows: DataFrame, horizons: Sequence[int], prefix: str = "c
 def blend_weights(rows: DataFrame, horizons: Sequence[int], model_prefix: str, dr_prefix: str = "dr_") -> DataFrame:
     """Per horizon, the weight w on the model (21 steps 0..1) minimising the
     mean haversine error of ``w * model + (1 - w) * dead_reckoning``; the
-    first (smallest) weight wins ties. One aggregate over rows x 21 weights
-    (the weights are a fixed 21-row literal), then ``min_by``."""
+    first (smallest) weight wins ties. All horizons and weights are averages of
+    one aggregate, so the rows are read once."""
 
-    ws = F.explode(F.array(*[F.lit(i / (BLEND_STEPS - 1)) for i in range(BLEND_STEPS)])).alias("w")
-    parts = []
+    steps = [i / (BLEND_STEPS - 1) for i in range(BLEND_STEPS)]
+    means, best = [], []
     for h in horizons:
-        bl_lat = f"(w * {model_prefix}lat_{h}h + (1.0D - w) * {dr_prefix}lat_{h}h)"
-        bl_lon = f"(w * {model_prefix}lon_{h}h + (1.0D - w) * {dr_prefix}lon_{h}h)"
-        err = haversine_sql(f"target_lat_{h}h", f"target_lon_{h}h", bl_lat, bl_lon)
-        per_w = rows.select("*", ws).groupBy("w").agg(F.expr(f"avg({err}) AS err"))
-        parts.append(per_w.agg(
-            F.expr("min_by(w, struct(err, w)) AS weight"), F.expr("min(err) AS error_km")
-        ).selectExpr(f"{int(h)} AS horizon_h", "weight", "error_km"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        tries = []
+        for i, w in enumerate(steps):
+            bl_lat = f"({w!r}D * {model_prefix}lat_{h}h + {1.0 - w!r}D * {dr_prefix}lat_{h}h)"
+            bl_lon = f"({w!r}D * {model_prefix}lon_{h}h + {1.0 - w!r}D * {dr_prefix}lon_{h}h)"
+            means.append(F.expr(f"avg({haversine_sql(f'target_lat_{h}h', f'target_lon_{h}h', bl_lat, bl_lon)}) AS e_{h}_{i}"))
+            tries.append(f"named_struct('err', e_{h}_{i}, 'w', {w!r}D)")
+        best.append(f"named_struct('horizon_h', {int(h)}, 'best', array_min(array({', '.join(tries)})))")
+    return rows.agg(*means).selectExpr(f"inline(array({', '.join(best)}))").selectExpr(
+        "horizon_h", "best.w AS weight", "best.err AS error_km")
 
 
 def prediction_method_sql(weight: str) -> str:

@@ -108,18 +108,13 @@ def calibration_bins(rows: DataFrame, label: str = "label", pred: str = "predict
 def horizon_error(rows: DataFrame, horizons, pred_prefix: str) -> DataFrame:
     """Mean haversine km and lat/lon MAE (degrees) per horizon, long form."""
 
-    parts = []
+    means, parts = [], []
     for h in horizons:
         d = haversine_sql(f"target_lat_{h}h", f"target_lon_{h}h", f"{pred_prefix}lat_{h}h", f"{pred_prefix}lon_{h}h")
-        parts.append(rows.agg(
-            F.expr(f"avg({d}) AS mean_error_km"),
-            F.expr(f"avg(abs(target_lat_{h}h - {pred_prefix}lat_{h}h)) AS mae_lat"),
-            F.expr(f"avg(abs(target_lon_{h}h - {pred_prefix}lon_{h}h)) AS mae_lon"),
-        ).selectExpr(f"{int(h)} AS horizon_h", "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        means += [F.expr(f"avg({d}) AS km_{h}"), F.expr(f"avg(abs(target_lat_{h}h - {pred_prefix}lat_{h}h)) AS la_{h}"),
+                  F.expr(f"avg(abs(target_lon_{h}h - {pred_prefix}lon_{h}h)) AS lo_{h}")]
+        parts.append(f"named_struct('horizon_h', {int(h)}, 'mean_error_km', km_{h}, 'mae_lat', la_{h}, 'mae_lon', lo_{h})")
+    return rows.agg(*means).selectExpr(f"inline(array({', '.join(parts)}))")
 
 
 def error_reduction_pct_sql(base: str, model: str) -> str:

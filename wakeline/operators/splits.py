@@ -56,7 +56,7 @@ def group_split(rows: DataFrame, group: str = "mmsi", test_size: float = 0.2) ->
     n = groups.count()
     k = int(math.ceil(t * n))
     test = smallest_k(groups, k, "_h", group).select(group).withColumn("is_test", F.lit(True))
-    return rows.join(F.broadcast(test) if k <= 1_000_000 else test, group, "left").selectExpr(
+    return rows.join(test, group, "left").selectExpr(
         *rows.columns, "coalesce(is_test, false) AS is_test"
     )
 
@@ -79,12 +79,19 @@ def group_folds(rows: DataFrame, group: str, label: str, k: int = 3) -> DataFram
 
 
 def stratified_row_split(rows: DataFrame, label: str, row_id: str, test_size: float = 0.2) -> DataFrame:
-    """Leaky row-level split (the legacy baseline): a row is test when its id
-    hash falls below ``test_size`` of the hash range — per-class shares follow
-    the hash, no window. Adds ``is_test``."""
+    """Leaky row-level split (the legacy baseline): of every class, the
+    ``floor(t * n + 0.5)`` rows with the smallest id hash are test rows. Ranks come
+    from counts by (class, hash bucket) and places inside a bucket, so no task
+    holds a class. Adds ``is_test``."""
 
     t = min(max(float(test_size), 0.0), 1.0)
-    return rows.selectExpr("*", f"{id_hash_sql(row_id)} < {int(t * HASH_MOD)} AS is_test")
+    width = HASH_MOD // HIST_BUCKETS
+    marked = rows.withColumn("_h", F.expr(id_hash_sql(row_id))).withColumn("_b", F.expr(f"_h div {width}"))
+    hist = marked.groupBy(F.col(label).alias("_l"), F.col("_b").alias("_hb")).agg(F.expr("count(1) AS _n")).selectExpr(
+        "_l", "_hb", f"floor(sum(_n) OVER (PARTITION BY _l) * {t!r}D + 0.5D) AS _k",
+        "coalesce(sum(_n) OVER (PARTITION BY _l ORDER BY _hb ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before")
+    placed = marked.selectExpr("*", f"row_number() OVER (PARTITION BY {label}, _b ORDER BY _h, {row_id}) AS _r")
+    return placed.join(hist, F.expr(f"{label} <=> _l AND _b = _hb")).selectExpr(*rows.columns, "_before + _r <= _k AS is_test")
 
 
 def temporal_split_points(rows: DataFrame, frac: float = 0.8, ts: str = "ts", row_id: str = "rid") -> DataFrame:

@@ -33,19 +33,14 @@ def stop_events(points: DataFrame, slow_sog: float = SLOW_SOG_KN, gap_hours: flo
     when the gap to the previous *slow* point exceeds ``gap_hours`` (fast
     points in between do not break an event).
 
-    ``groupBy(mmsi, session_window(ts, gap))``: Spark merges sessions inside
-    each input partition before the shuffle, so a vessel anchored for months
-    reaches the final merge as a handful of partial sessions. A gap of exactly
-    ``gap_hours`` merges, like the reference's ``> gap`` rule. Events are then
-    numbered from 1 per vessel by a bucketed scan over the (small) event table.
+    The points are numbered by ``stop_event_points`` (bucketed scans, so no task
+    holds a vessel) and summed up by (vessel, event) with a partial aggregate.
 
     Columns: mmsi, stop_event_no, stop_event_id, start_timestamp,
     end_timestamp, duration_hours, point_count, center_lat, center_lon, mean_sog.
     """
 
-    gap_s = int(round(gap_hours * 3600))
-    slow = points.where(F.col("sog") <= F.lit(float(slow_sog)))
-    ev = slow.groupBy(key, F.session_window("ts", f"{gap_s} seconds").alias("_sw")).agg(
+    ev = stop_event_points(points, slow_sog, gap_hours, key).groupBy(key, "stop_event_no").agg(
         F.expr("min(ts) AS start_timestamp"),
         F.expr("max(ts) AS end_timestamp"),
         F.expr("count(1) AS point_count"),
@@ -53,11 +48,10 @@ def stop_events(points: DataFrame, slow_sog: float = SLOW_SOG_KN, gap_hours: flo
         F.expr("avg(lon) AS center_lon"),
         F.expr("avg(sog) AS mean_sog"),
     )
-    ev = track_scan(ev.drop("_sw"), key=key, ts="start_timestamp", order=("start_timestamp",), index="_k")
     return ev.selectExpr(
         key,
-        "_k + 1 AS stop_event_no",
-        f"format_string('%d_%04d', {key}, _k + 1) AS stop_event_id",
+        "stop_event_no",
+        f"format_string('%d_%04d', {key}, stop_event_no) AS stop_event_id",
         "start_timestamp",
         "end_timestamp",
         "greatest((unix_micros(end_timestamp) - unix_micros(start_timestamp)) / 3.6e9D, 0.0D) AS duration_hours",

@@ -768,7 +768,9 @@ gd AS (
     AS INTEGER) AS fold FROM gf
 )
 SELECT l.event_id, g.fold FROM labelled l JOIN gd g USING (group_id)""".replace("\n, gf AS", ",\ngf AS", 1)
-SQL["stratified_row_split"] = W(LABELLED) + f"\nSELECT event_id, {h31('event_id')} < 429496729 AS is_test FROM labelled"
+SQL["stratified_row_split"] = W(LABELLED) + f"""
+SELECT event_id, row_number() OVER (PARTITION BY label ORDER BY {h31('event_id')}, event_id)
+  <= floor(count(*) OVER (PARTITION BY label) * 0.2 + 0.5) AS is_test FROM labelled"""
 
 SUPERVISED = FORECAST_POINTS + "," + FUTURE_TARGETS + """,
 supervised AS (SELECT p.*, t.* EXCLUDE (mmsi, rid) FROM forecast_points p JOIN future_targets t USING (mmsi, rid))"""

@@ -26,7 +26,7 @@ from wakeline.operators import joins as J
 from wakeline.operators import track as T
 from wakeline.operators import vessel as V
 from wakeline.plans import models as ML
-from wakeline.plans.stages import stage_table
+from wakeline.plans.stages import source_tag, stage_table
 from wakeline.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -840,7 +840,7 @@ def q_route_predict(spark, sf_dir):
 
     feats = early_features(spark, sf_dir)
     labels = stage_table(spark, "route_labels", sf_dir, lambda: route_labels(spark, sf_dir)).select("mmsi", "route_label")
-    model = fitted((sf_dir, "route_rf"), lambda: ML.route_classifier(feats, labels))
+    model = fitted((source_tag(spark, sf_dir), "route_rf"), lambda: ML.route_classifier(feats, labels))
     pred = ML.predict_route(model, feats)
     scaled, _, lab, cents = route_space(spark, sf_dir)
     dist = K.route_distance(scaled, pred.withColumnRenamed("predicted_route", "route_label"), cents)
@@ -894,11 +894,20 @@ def type_split(spark: SparkSession, sf_dir: str):
             stage_table(spark, "type_test", sf_dir, lambda: prep("test")))
 
 
+def type_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The medians that the type models' training rows were filled from."""
+
+    type_split(spark, sf_dir)
+    raw = stage_table(spark, "type_split", sf_dir, lambda: None).where("NOT is_test")
+    return stage_table(spark, "type_medians", sf_dir, lambda: C.column_medians(TY.trig_encode(raw), ML.TYPE_NUMERIC))
+
+
 _MODELS: dict = {}
 
 
 def fitted(key: tuple, fit):
-    """Fit once per (model, input) in this process; models are small."""
+    """Fit once per (input, model) in this process; models are small. The
+    input is known by its files (``source_tag``), not by its path."""
 
     if key not in _MODELS:
         _MODELS[key] = fit()
@@ -910,7 +919,7 @@ def type_model(spark: SparkSession, sf_dir: str, kind: str):
     if kind == "logistic_regression":
         train, stats = ML.standardise(train, ML.TYPE_NUMERIC)
         test, _ = ML.standardise(test, ML.TYPE_NUMERIC, stats)
-    model = fitted((sf_dir, "type", kind), lambda: ML.fit_type_model(train, kind))
+    model = fitted((source_tag(spark, sf_dir), "type", kind), lambda: ML.fit_type_model(train, kind))
     return model, train, test
 
 
@@ -995,11 +1004,24 @@ def q_class_confidence(spark, sf_dir):
 def q_attach_ship_types(spark, sf_dir):
     """Type model applied to the vessel-level route rows."""
 
-    rf, _, _ = type_model(spark, sf_dir, "random_forest")
-    rt = TY.route_to_type_features(vessels(spark, sf_dir)).withColumn("shiptype", F.lit(None).cast("string"))
-    rt, _ = ML.prepare_type_rows(rt.withColumn("shiptype", F.lit("Cargo")))
-    scored = ML.class_confidence(ML.type_probabilities(rf, rt))
-    return round_doubles(scored.selectExpr("mmsi", "predicted_shiptype", "confidence AS predicted_shiptype_probability"))
+    out = predicted_types(spark, sf_dir, TY.route_to_type_features(vessels(spark, sf_dir)))
+    return round_doubles(out.selectExpr("mmsi", "predicted_shiptype", "confidence AS predicted_shiptype_probability"))
+
+
+def predicted_types(spark: SparkSession, sf_dir: str, rows: DataFrame, key: str = "mmsi") -> DataFrame:
+    """The forest on new rows: training medians, calibration of the holdout."""
+
+    rf, _, test = type_model(spark, sf_dir, "random_forest")
+    held = ML.type_probabilities(rf, test).drop("features", "rawPrediction", "probability")
+    cal = fitted((source_tag(spark, sf_dir), "type_calibration"), lambda: ML.isotonic_calibration(held, len(rf.stages[2].labels)))
+    return ML.predict_type(rf, cal, type_medians(spark, sf_dir), rows.drop("shiptype"), key)
+
+
+@query("predict_type")
+def q_predict_type(spark, sf_dir):
+    """Ship type and calibrated confidence for every row, labelled or not."""
+
+    return round_doubles(predicted_types(spark, sf_dir, type_rows(spark, sf_dir), "rid"))
 
 
 @query("feature_importance")
@@ -1011,13 +1033,12 @@ def q_feature_importance(spark, sf_dir):
 
 def forecast_split(spark: SparkSession, sf_dir: str):
     sp = stage_table(spark, "forecast_split", sf_dir, lambda: S.group_split(supervised(spark, sf_dir), "mmsi", 0.2))
-    train = S.cap_rows_by_group(sp.where("NOT is_test").drop("is_test"), "mmsi", 180000)
-    return train, sp.where("is_test").drop("is_test")
+    return sp.where("NOT is_test").drop("is_test"), sp.where("is_test").drop("is_test")
 
 
 def forest_bundle(spark: SparkSession, sf_dir: str):
     train, test = forecast_split(spark, sf_dir)
-    return fitted((sf_dir, "position_forest"), lambda: ML.position_forest(train, H)), test
+    return fitted((source_tag(spark, sf_dir), "position_forest"), lambda: ML.position_forest(train, H)), test
 
 
 @query("position_forest")

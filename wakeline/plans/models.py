@@ -26,10 +26,11 @@ from pyspark.ml.regression import IsotonicRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.operators.clean import group_medians
+from wakeline.operators.clean import column_medians
 from wakeline.operators.track import wide_signature
 
 SEED = 42
+MAX_DEPTH = 12  # of the forests' trees; the reference's grow without limit, Spark allows 30
 # Fixed values of the reference.
 EARLY_BASE = (
     "early_point_count", "early_duration_hours", "early_start_lat", "early_start_lon", "early_observed_lat",
@@ -61,9 +62,7 @@ def impute_median(rows: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Data
     """Exact column medians (from value counts) as a one-row table, and the
     rows with nulls filled from it."""
 
-    tmp = rows.select(F.lit(0).alias("_all"), *cols)
-    per, _ = group_medians(tmp, list(cols), "_all")
-    med = per.drop("_all")
+    med = column_medians(rows, list(cols))
     filled = rows.crossJoin(F.broadcast(med.select(*[F.col(c).alias(f"_m_{c}") for c in cols]))).selectExpr(
         *[c for c in rows.columns if c not in cols],
         *[f"coalesce(CAST({c} AS DOUBLE), _m_{c}, 0.0D) AS {c}" for c in cols],
@@ -127,8 +126,10 @@ def route_kmeans(scaled_wide: DataFrame, k: int, restarts: int = 5, max_iter: in
     return labels, rm
 
 
-def route_classifier(features: DataFrame, labels: DataFrame, num_trees: int = 500, seed: int = SEED) -> PipelineModel:
-    """Balanced random forest (leaf ≥ 2) on the early feature matrix."""
+def route_classifier(features: DataFrame, labels: DataFrame, num_trees: int = 500, seed: int = SEED,
+                     max_depth: int = MAX_DEPTH) -> PipelineModel:
+    """Balanced random forest (leaf ≥ 2) on the early feature matrix; trees
+    grow to ``max_depth``."""
 
     rows = balanced_weights(features.join(labels, "mmsi"), "route_label")
     feats = [c for c in features.columns if c != "mmsi"]
@@ -136,7 +137,7 @@ def route_classifier(features: DataFrame, labels: DataFrame, num_trees: int = 50
         StringIndexer(inputCol="route_label", outputCol="label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(numTrees=num_trees, minInstancesPerNode=2, weightCol="weight", seed=seed,
-                               maxBins=64),
+                               maxBins=64, maxDepth=max_depth),
     ])
     return pipe.fit(rows)
 
@@ -191,7 +192,7 @@ def temporal_holdout(features: DataFrame, labels: DataFrame, first_ts: DataFrame
 # --------------------------------------------------------- ship types --
 
 def type_pipeline(kind: str, num_trees: int = 200, boost_iter: int = 300, boost_depth: int = 8,
-                  lr_iter: int = 2000) -> Pipeline:
+                  lr_iter: int = 2000, max_depth: int = MAX_DEPTH) -> Pipeline:
     """Preprocess + classifier. Numeric features are already imputed (exact
     medians) and, for logistic regression, standardised by the caller;
     categories are indexed (unknown kept) and one-hot encoded."""
@@ -204,7 +205,7 @@ def type_pipeline(kind: str, num_trees: int = 200, boost_iter: int = 300, boost_
     if kind == "logistic_regression":
         clf = LogisticRegression(maxIter=lr_iter, family="multinomial", weightCol="weight")
     elif kind == "random_forest":
-        clf = RandomForestClassifier(numTrees=num_trees, weightCol="weight", seed=SEED, maxBins=64)
+        clf = RandomForestClassifier(numTrees=num_trees, weightCol="weight", seed=SEED, maxBins=64, maxDepth=max_depth)
     elif kind == "xgboost":
         clf = OneVsRest(classifier=GBTClassifier(maxIter=boost_iter, maxDepth=boost_depth, seed=SEED))
     else:
@@ -212,7 +213,11 @@ def type_pipeline(kind: str, num_trees: int = 200, boost_iter: int = 300, boost_
     return Pipeline(stages=[idx, ohe, lab, va, clf])
 
 
-def prepare_type_rows(rows: DataFrame, medians: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def prepare_type_rows(rows: DataFrame, medians: DataFrame | None = None, weighted: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Encoded and imputed rows, and the medians used: the rows' own, or those
+    of the training rows when given. ``weighted`` adds balanced class weights
+    (training and evaluation rows, which have a label)."""
+
     from wakeline.operators.shiptype import trig_encode
 
     r = trig_encode(rows)
@@ -223,7 +228,7 @@ def prepare_type_rows(rows: DataFrame, medians: DataFrame | None = None) -> tupl
             *[c for c in r.columns if c not in TYPE_NUMERIC],
             *[f"coalesce(CAST({c} AS DOUBLE), _m_{c}, 0.0D) AS {c}" for c in TYPE_NUMERIC],
         )
-    return balanced_weights(r, "shiptype"), medians
+    return (balanced_weights(r, "shiptype") if weighted else r), medians
 
 
 def fit_type_model(train: DataFrame, kind: str, **kw) -> PipelineModel:
@@ -242,6 +247,25 @@ def type_probabilities(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.withColumn("prob", prob).join(F.broadcast(names), "prediction")
 
 
+def predict_type(model: PipelineModel, calibration: list, medians: DataFrame, rows: DataFrame, key: str = "mmsi") -> DataFrame:
+    """(key, predicted_shiptype, confidence) of new rows. Columns that the rows
+    lack are added as nulls and filled from the training medians; confidence is
+    the calibrated probability of the most likely class."""
+
+    for c in (*TYPE_NUMERIC, "navigationalstatus"):
+        if c not in rows.columns and not c.endswith(("_sin", "_cos")):
+            rows = rows.withColumn(c, F.lit(None).cast("string" if c == "navigationalstatus" else "double"))
+    ready, _ = prepare_type_rows(rows, medians, weighted=False)
+    unlabelled = PipelineModel(stages=[m for i, m in enumerate(model.stages) if i != 2])  # all but the label's index
+    scored = unlabelled.transform(ready).withColumn("prob", vector_to_array("probability")).drop("rawPrediction", "probability")
+    best = apply_calibration(scored, calibration).selectExpr(
+        key, "array_max(calibrated_prob) AS confidence",
+        "CAST(array_position(calibrated_prob, array_max(calibrated_prob)) - 1 AS DOUBLE) AS prediction")
+    names = rows.sparkSession.createDataFrame(
+        [(float(i), n) for i, n in enumerate(model.stages[2].labels)], "prediction double, predicted_shiptype string")
+    return best.join(F.broadcast(names), "prediction").select(key, "predicted_shiptype", "confidence")
+
+
 def vote_probabilities(scored: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     """Soft vote: mean of the members' class-probability arrays (same class
     order), prediction = argmax."""
