@@ -202,6 +202,17 @@ def route_distance(scaled: DataFrame, assigned: DataFrame, centroids: DataFrame,
     )
 
 
+def assign_route(scaled: DataFrame, centroids: DataFrame, label: str = "route_label", key: str = "mmsi") -> DataFrame:
+    """The nearest fitted centre of every scaled signature: (key, label,
+    route_distance); the first label of equal distances. One row per centre and
+    step is the other side of the join, and distances are summed map-side."""
+
+    c = centroids.selectExpr(label, "step", "lat AS _clat", "lon AS _clon")
+    d = scaled.join(c, "step").groupBy(key, label).agg(F.expr("sqrt(sum(pow(lat - _clat, 2) + pow(lon - _clon, 2))) AS _d"))
+    return d.groupBy(key).agg(F.expr(f"min(named_struct('d', round(_d, 9), 'l', {label})) AS _best")).selectExpr(
+        key, f"_best.l AS {label}", "_best.d AS route_distance")
+
+
 def anomaly_thresholds(distances: DataFrame, quantile: float = ANOMALY_QUANTILE,
                        label: str = "route_label") -> DataFrame:
     """Quantile (clamped 0.5..0.999) of the route distance per label and over

@@ -94,6 +94,19 @@ def stratified_row_split(rows: DataFrame, label: str, row_id: str, test_size: fl
     return placed.join(hist, F.expr(f"{label} <=> _l AND _b = _hb")).selectExpr(*rows.columns, "_before + _r <= _k AS is_test")
 
 
+def sample_search_groups(rows: DataFrame, group: str, label: str, max_groups: int) -> DataFrame:
+    """The rows of at most about ``max_groups`` groups, taken by hash from every
+    majority class in proportion (0: all rows)."""
+
+    sizes = rows.groupBy(group, label).agg(F.expr("count(1) AS _c"))
+    strata = sizes.groupBy(group).agg(F.expr(f"min_by({label}, struct(-_c, {label})) AS _stratum"))
+    n = strata.count()
+    if max_groups <= 0 or n <= max_groups:
+        return rows
+    kept = stratified_row_split(strata, "_stratum", group, max_groups / n).where("is_test").select(group)
+    return rows.join(kept, group, "left_semi")
+
+
 def temporal_split_points(rows: DataFrame, frac: float = 0.8, ts: str = "ts", row_id: str = "rid") -> DataFrame:
     """First ``frac`` of rows by time (ties by row id) train, the rest test.
 

@@ -533,6 +533,11 @@ FROM centroids c JOIN sc_stats t USING (step)""",
     ("lat", "lon"),
 )
 SQL["route_distance"] = rounded(W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM route_dist", ("route_distance",))
+SQL["assign_route"] = rounded(W(CLEAN_POINTS, ROUTE_SPACE) + """
+SELECT mmsi, route_label, d AS route_distance FROM (
+  SELECT s.mmsi, c.route_label, round(sqrt(sum(pow(s.lat - c.lat, 2) + pow(s.lon - c.lon, 2))), 9) AS d
+  FROM scaled s JOIN centroids c USING (step) GROUP BY s.mmsi, c.route_label)
+QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY d, route_label) = 1""", ("route_distance",))
 SQL["anomaly_thresholds"] = rounded(
     W(CLEAN_POINTS, ROUTE_SPACE) + "\nSELECT * FROM thresholds", ("threshold", "mean_distance", "std_distance")
 )
@@ -768,6 +773,15 @@ gd AS (
     AS INTEGER) AS fold FROM gf
 )
 SELECT l.event_id, g.fold FROM labelled l JOIN gd g USING (group_id)""".replace("\n, gf AS", ",\ngf AS", 1)
+SQL["sample_search_groups"] = W(LABELLED) + f""",
+gf AS (SELECT group_id, arg_min(label, (-c, label)) AS stratum
+       FROM (SELECT group_id, label, count(*) AS c FROM labelled GROUP BY ALL) GROUP BY group_id),
+gn AS (SELECT count(*) AS n FROM gf),
+gs AS (SELECT group_id, n, row_number() OVER (PARTITION BY stratum ORDER BY {h31('group_id')}, group_id)
+         <= floor(count(*) OVER (PARTITION BY stratum) * (40.0::DOUBLE / n) + 0.5) AS kept FROM gf, gn)
+SELECT l.event_id FROM labelled l JOIN gs USING (group_id) WHERE kept OR n <= 40"""
+SQL["resolve_column"] = W(LABELLED) + "\nSELECT group_id, count(*) AS rows FROM labelled GROUP BY group_id"
+SQL["load_side_tables"] = SQL["class_metrics"]
 SQL["stratified_row_split"] = W(LABELLED) + f"""
 SELECT event_id, row_number() OVER (PARTITION BY label ORDER BY {h31('event_id')}, event_id)
   <= floor(count(*) OVER (PARTITION BY label) * 0.2 + 0.5) AS is_test FROM labelled"""

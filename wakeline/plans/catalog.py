@@ -27,6 +27,7 @@ from wakeline.operators import track as T
 from wakeline.operators import vessel as V
 from wakeline.plans import models as ML
 from wakeline.plans.stages import source_tag, stage_table
+from wakeline.scratch import Scratch
 from wakeline.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,6 +270,14 @@ def q_route_distance(spark, sf_dir):
     return round_doubles(K.route_distance(scaled, labels, cents))
 
 
+@query("assign_route")
+def q_assign_route(spark, sf_dir):
+    """Every vessel's signature to the nearest of the fitted route centres."""
+
+    scaled, _, _, cents = route_space(spark, sf_dir)
+    return round_doubles(K.assign_route(scaled, cents))
+
+
 @query("anomaly_thresholds")
 def q_anomaly_thresholds(spark, sf_dir):
     scaled, _, labels, cents = route_space(spark, sf_dir)
@@ -513,6 +522,45 @@ def q_group_folds(spark, sf_dir):
     return S.group_folds(labelled(spark, sf_dir), "group_id", "label", 3).select("event_id", "fold")
 
 
+@query("sample_search_groups")
+def q_sample_search_groups(spark, sf_dir):
+    return S.sample_search_groups(labelled(spark, sf_dir), "group_id", "label", 40).select("event_id")
+
+
+@query("resolve_column")
+def q_resolve_column(spark, sf_dir):
+    """Rows per group of a table whose group column is spelled otherwise."""
+
+    rows = labelled(spark, sf_dir).withColumnRenamed("group_id", "Group_ID")
+    return rows.groupBy(F.col(R.resolve_column(rows, "group_id")).alias("group_id")).agg(F.expr("count(1) AS rows"))
+
+
+@query("load_side_tables")
+def q_load_side_tables(spark, sf_dir):
+    """The class metrics written as CSV and read back typed, without null keys."""
+
+    scratch = Scratch(spark, "side-tables")
+    R.write_table(round_doubles(M.class_metrics(labelled(spark, sf_dir))), f"{scratch.root}/class_metrics", "csv")
+    back = M.class_metrics(labelled(spark, sf_dir)).dtypes
+    return R.load_side_table(spark, f"{scratch.root}/class_metrics", dict(back), [back[0][0]])
+
+
+@query("metric_summary")
+def q_metric_summary(spark, sf_dir):
+    """Metrics of the labelled predictions and of two forecasts, written as
+    nested JSON and flattened."""
+
+    scratch = Scratch(spark, "metrics")
+    cls = M.summary_metrics(labelled(spark, sf_dir)).selectExpr(
+        "'classifier' AS model", "named_struct('accuracy', accuracy, 'macro_f1', macro_f1, 'weighted_f1', weighted_f1) AS metrics")
+    rows = FC.constant_position(FC.dead_reckoning(supervised(spark, sf_dir), H), H)
+    for name, pre in (("dead_reckoning", "dr_"), ("constant_position", "const_")):
+        err = M.horizon_error(rows, H, pre).groupBy().agg(F.expr("collect_list(struct(horizon_h, mean_error_km)) AS horizons"))  # a row a horizon
+        cls = cls.unionByName(err.selectExpr(f"'{name}' AS model", "horizons"), allowMissingColumns=True)
+    cls.write.json(f"{scratch.root}/metrics")
+    return round_doubles(R.metric_summary(spark, f"{scratch.root}/metrics"))
+
+
 @query("stratified_row_split")
 def q_stratified_row_split(spark, sf_dir):
     return S.stratified_row_split(labelled(spark, sf_dir), "label", "event_id", 0.2).select("event_id", "is_test")

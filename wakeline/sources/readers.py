@@ -3,7 +3,7 @@ merge, timestamp formatting on write, run summaries and GeoJSON text."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,3 +94,39 @@ def write_geojson_lines(features: DataFrame, column: str, path: str) -> None:
     """One Feature per line (GeoJSON text sequence); no driver collect."""
 
     features.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+
+
+def resolve_column(df: DataFrame, name: str) -> str:
+    """The column of ``df`` called ``name``, whatever its case (an exact match
+    first); raises if there is none. Works on the plan, reads nothing."""
+
+    found = [c for c in df.columns if c == name] or [c for c in df.columns if c.lower() == name.strip().lower()]
+    if not found:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    return found[0]
+
+
+def load_side_table(spark: SparkSession, path: str, types: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """A CSV table with the columns and types of ``types``: what does not parse
+    and what is missing becomes null, rows without all ``keys`` are dropped."""
+
+    raw = spark.read.option("header", True).csv(path)
+    typed = raw.selectExpr(*[
+        f"try_cast(trim(`{c}`) AS {t}) AS {c}" if c in raw.columns else f"CAST(NULL AS {t}) AS {c}" for c, t in types.items()])
+    return typed.na.drop(subset=list(keys))
+
+
+METRICS_SCHEMA = (
+    "model STRING, metrics STRUCT<accuracy: DOUBLE, macro_f1: DOUBLE, weighted_f1: DOUBLE>,"
+    " leakage STRUCT<overlap_ratio: DOUBLE>, horizons ARRAY<STRUCT<horizon_h: INT, mean_error_km: DOUBLE>>"
+)
+
+
+def metric_summary(spark: SparkSession, path: str) -> DataFrame:
+    """One row per model from nested metric JSON: accuracy, F1, leakage, and the
+    mean of the horizons' errors (null where a model has none)."""
+
+    return spark.read.schema(METRICS_SCHEMA).json(path).selectExpr(
+        "model", "metrics.accuracy", "coalesce(metrics.macro_f1, metrics.weighted_f1) AS f1", "leakage.overlap_ratio",
+        "aggregate(coalesce(horizons, array()), named_struct('s', 0D, 'n', 0), (a, h) -> named_struct('s', a.s + h.mean_error_km, 'n', a.n + 1),"
+        " a -> CASE WHEN a.n > 0 THEN a.s / a.n END) AS mean_error_km")
