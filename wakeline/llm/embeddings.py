@@ -46,7 +46,7 @@ CELL_ROWS = 512
 MAX_CELLS = 4096
 SAMPLE = 16_384
 ROUNDS = 8
-BLOCK = 2048
+BLOCK = 8192
 
 
 def kmeans(x: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
