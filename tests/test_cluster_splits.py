@@ -75,3 +75,24 @@ def test_dbscan_ports_chains_and_date_line(spark):
     )
     got = {(r.mmsi, r.stop_event_no): r.anchorage_cluster for r in anchorage_dbscan(ev, 2.0, 4).collect()}
     assert got == _brute_dbscan(rows, 2.0, 4)
+
+
+def test_dbscan_skewed_dense_cells(spark):
+    import math
+
+    # cells two columns apart with their points in far corners; only the edge points are within 2 km of each other
+    side = 0.7 * math.degrees(2.0 / 6371.0088)
+    band = int((54.0 + 90) / side)
+    low = band * side - 90
+    width = 360.0 / math.ceil(360.0 * math.cos(math.radians(low)) / side)
+    west = int(188.0 / width) * width - 180
+    pts = [(low + 0.02 * side, west + (0.02 + 0.001 * i) * width) for i in range(19)] + [(low + 0.5 * side, west + 0.99 * width)]
+    pts += [(low + 0.98 * side, west + (2.98 - 0.001 * i) * width) for i in range(19)] + [(low + 0.5 * side, west + 2.01 * width)]
+    rows = [(k, 0, la, lo) for k, (la, lo) in enumerate(pts)]
+    ev = spark.createDataFrame(
+        [(m, n, la, lo, 3, 1.0, dt.datetime(2024, 1, 1)) for m, n, la, lo in rows],
+        "mmsi long, stop_event_no long, center_lat double, center_lon double, point_count long,"
+        " duration_hours double, start_timestamp timestamp",
+    )
+    got = {(r.mmsi, r.stop_event_no): r.anchorage_cluster for r in anchorage_dbscan(ev, 2.0, 4).collect()}
+    assert set(got.values()) == {0} and got == _brute_dbscan(rows, 2.0, 4)

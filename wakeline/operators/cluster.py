@@ -31,9 +31,10 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.select("node").distinct().join(comp, "node", "left").selectExpr("node", "coalesce(root, node) AS lab")
 
 
-def _cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str]:
-    """(band, cells in the band, cell) of a grid whose cells have a diagonal
-    of less than ``eps_km``: sides of at most 0.7 eps."""
+def _cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str, str]:
+    """(band, cells in the band, cell, middle latitude of the band) of a grid
+    whose cells have a diagonal of less than ``eps_km``: sides of at most 0.7
+    eps. No point is further than half a diagonal from the middle of its cell."""
 
     side = 0.7 * math.degrees(eps_km / EARTH_RADIUS_KM)
     bands = int(math.ceil(180.0 / side))
@@ -41,13 +42,15 @@ def _cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str]:
     low = f"least(abs({band} * {side!r}D - 90.0D), abs(({band} + 1) * {side!r}D - 90.0D))"  # nearest the equator
     near = f"IF({band} * {side!r}D <= 90.0D AND ({band} + 1) * {side!r}D >= 90.0D, 0.0D, {low})"
     cells = f"greatest(1, CAST(ceil(360.0D * cos(radians({near})) / {side!r}D) AS INT))"
-    return band, cells, f"pmod(CAST(floor(({lon} + 180.0D) / 360.0D * {cells}) AS INT), {cells})"
+    cell = f"pmod(CAST(floor(({lon} + 180.0D) / 360.0D * {cells}) AS INT), {cells})"
+    return band, cells, cell, f"least(90.0D, ({band} + 0.5D) * {side!r}D - 90.0D)"
 
 
 def _dense_links(pts: DataFrame, cells: DataFrame, eps: float) -> DataFrame:
     """Edges (a, b) between dense cells (by node) that hold points within
     ``eps`` of each other. ``pts``: node, lat, lon; ``cells``: node, lat, lon
-    (centre) and reps, their outermost points in eight directions. Most pairs of
+    (middle of the cell, so two cells with a link have theirs within eps and two
+    half diagonals, under 2 eps) and reps, their outermost points in eight directions. Most pairs of
     cells are settled by these; only the others compare points."""
 
     near = grid_pairs(cells, 2.0 * eps, pid="node").where("a < b")
@@ -90,7 +93,7 @@ def anchorage_dbscan(
     ms = max(int(min_samples), 1)
     scratch = Scratch(stop_events.sparkSession, "dbscan")
     ev = stop_events.selectExpr("*", "named_struct('mmsi', mmsi, 'no', stop_event_no) AS _node")
-    band, cells_in, cell = _cell_sql("lat", "lon", eps)
+    band, cells_in, cell, mid_lat = _cell_sql("lat", "lon", eps)
     uniq = scratch.write(
         ev.groupBy("center_lat", "center_lon").agg(F.expr("min(_node) AS pid"), F.expr("count(1) AS w"))
         .selectExpr("pid", "center_lat AS lat", "center_lon AS lon", "w")
@@ -102,10 +105,9 @@ def anchorage_dbscan(
     outer = ", ".join(
         f"max(named_struct('s', lat * {math.sin(t)!r}D + {east} * {math.cos(t)!r}D, 'lat', lat, 'lon', lon))" for t in turns)
     cells = uniq.groupBy("band", "cell").agg(
-        F.expr("min(pid) AS node"), F.expr("sum(w) AS cell_w"), F.expr(f"array({outer}) AS reps"), F.expr("avg(lat) AS lat"),
-        F.expr(f"avg({east}) AS _e"), F.expr(f"any_value({middle}) AS _m")).selectExpr(
-        "band", "cell", "node", f"cell_w >= {ms} AS dense", "reps", "lat",
-        "pmod(_m + _e / greatest(cos(radians(lat)), 1e-9D) + 540.0D, 360.0D) - 180.0D AS lon")
+        F.expr("min(pid) AS node"), F.expr("sum(w) AS cell_w"), F.expr(f"array({outer}) AS reps"),
+        F.expr(f"any_value({mid_lat}) AS lat"), F.expr(f"any_value({middle}) AS lon")).selectExpr(
+        "band", "cell", "node", f"cell_w >= {ms} AS dense", "reps", "lat", "lon")
     cells = scratch.write(cells, "cells")
     pts = scratch.write(uniq.join(cells.select("band", "cell", "node", "dense"), ["band", "cell"]), "points")
     near = scratch.write(grid_pairs(pts, eps, left=pts.where("NOT dense")), "near")
