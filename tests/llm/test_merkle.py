@@ -66,3 +66,22 @@ def test_edits(spark):
     new = spark.createDataFrame([(1, "a\nB\n\nc\nd\ne"), (2, "same\ntext"), (4, "y")], "doc_id long, text string")
     got = sorted(map(tuple, merkle.edits(old, new).collect()))
     assert got == [(1, 0, 1, "changed"), (1, 1, 2, "added"), (3, 0, 0, "removed"), (4, 0, 0, "added")]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab \n", max_size=60), st.text(alphabet="ab \n", max_size=60))
+def test_common_leaves(a, b):
+    from collections import Counter
+
+    trees = [merkle.tree(t)[1] for t in (a, b)]
+    x, y = (Counter(h for s in t for _, ls in s for h in ls) for t in trees)
+    assert merkle.common_leaves(*trees) == sum((x & y).values())
+
+
+def test_likeness_of_long_texts_is_exact(spark):
+    # 2,000 leaves each; half, a third and 8 (0.4 %) of them shared
+    paragraph = lambda k, i: " ".join(f"{k}{i}w{j}" for j in range(8))
+    text = lambda k, shared: "\n".join([paragraph("s", i) for i in range(shared)] + [paragraph(k, i) for i in range(shared, 1000)])
+    for shared in (500, 333, 4):
+        docs = spark.createDataFrame([(1, text("a", shared)), (2, text("b", shared))], "doc_id long, text string")
+        assert [r.near_next for r in merkle.with_next(docs).collect()] == [shared / 1000] * 2

@@ -5,11 +5,15 @@ feeds) and leaves (runs of four words with their white space). A node's hash is
 the hash of its children's, so equal roots mean equal texts, and walking down
 from differing roots ends at the paragraphs that were edited.
 
-A fingerprint is the root, the number of leaves, and the ``SKETCH`` smallest of
-32-bit hashes of the leaves (a repeated leaf counts again). Two fingerprints are
-alike by 1 if their roots are equal, else by the Dice coefficient of their
-leaves: exact where both sketches are whole, estimated from the smallest hashes
-of the union otherwise.
+A fingerprint is written as the root, the number of leaves, and the ``SKETCH``
+smallest of 32-bit hashes of the leaves (a repeated leaf counts again); while a
+task works on it, it also has its tree. Two fingerprints are alike by 1 if their
+roots are equal, else by the Dice coefficient of their leaves. With the trees, as
+for near_edited and near_next, it is exact at any length: sections that both
+have are counted by their leaves and left, then paragraphs, and only the leaves
+of what differs are compared. From the written forms alone it is exact where both
+sketches are whole, and otherwise an estimate from the smallest hashes of the
+union (standard error of about 0.04 at a Jaccard share of 1/3).
 
 Null texts count as empty (no leaves; alike to another empty text by 1, to any
 other by 0). Ids are numbers; nulls come before all, and rows that repeat an id
@@ -48,13 +52,55 @@ def tree(text: str | None) -> tuple[bytes, list[list[tuple[bytes, list[bytes]]]]
     return _hash(b"r" + b"".join([_hash(b"s" + b"".join([p for p, _ in s])) for s in sections])), sections
 
 
-def fingerprint(text: str | None) -> str:
+class Fingerprint(str):
+    """The written form of a fingerprint, with the sections of its tree."""
+
+    sections: list[list[tuple[bytes, list[bytes]]]]
+
+
+def fingerprint(text: str | None) -> Fingerprint:
     root, sections = tree(text)
     counts = Counter(x for s in sections for _, ls in s for x in ls)
     marks = [int.from_bytes(x[:4], "big") if i == 0 else int.from_bytes(_hash(x + i.to_bytes(4, "big"))[:4], "big")
              for x, n in counts.items() for i in range(n)]
     marks.sort()
-    return f"{root.hex()}:{len(marks)}:" + "".join([f"{m:08x}" for m in marks[:SKETCH]])
+    out = Fingerprint(f"{root.hex()}:{len(marks)}:" + "".join([f"{m:08x}" for m in marks[:SKETCH]]))
+    out.sections = sections
+    return out
+
+
+def _apart(a: dict, b: dict) -> tuple[int, list, list]:
+    """Of the branches (node, times) by hash: the leaves of those that both have,
+    and the others of either side."""
+
+    same, rest = 0, ([], [])
+    for h in a.keys() & b.keys():
+        same += min(a[h][1], b[h][1]) * a[h][2]
+    for mine, other, out in ((a, b, rest[0]), (b, a, rest[1])):
+        for h, (node, n, _) in mine.items():
+            out += [node] * (n - other[h][1] if h in other else n)
+    return same, *rest
+
+
+def _branches(nodes: list, key, size) -> dict:
+    """Branches by hash: (node, times, leaves below)."""
+
+    out: dict = {}
+    for x in nodes:
+        h = key(x)
+        out[h] = (x, out[h][1] + 1, out[h][2]) if h in out else (x, 1, size(x))
+    return out
+
+
+def common_leaves(a: list[list[tuple[bytes, list[bytes]]]], b: list[list[tuple[bytes, list[bytes]]]]) -> int:
+    """Leaves (with repeats) that two trees have in common, by walking down the
+    branches that differ."""
+
+    sections, a, b = _apart(*(_branches(t, lambda s: b"".join([p for p, _ in s]), lambda s: sum(len(ls) for _, ls in s)) for t in (a, b)))
+    paragraphs, a, b = _apart(*(_branches([p for s in t for p in s], lambda p: p[0], lambda p: len(p[1])) for t in (a, b)))
+    x, y = (Counter(h for _, ls in t for h in ls) for t in (a, b))
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    return sections + paragraphs + sum(min(n, y[h]) for h, n in x.items() if h in y)
 
 
 def likeness(a: str, b: str) -> float:
@@ -63,6 +109,8 @@ def likeness(a: str, b: str) -> float:
     (root_a, n_a, marks_a), (root_b, n_b, marks_b) = a.split(":"), b.split(":")
     if root_a == root_b:
         return 1.0
+    if isinstance(a, Fingerprint) and isinstance(b, Fingerprint):
+        return 2.0 * common_leaves(a.sections, b.sections) / max(1, int(n_a) + int(n_b))
     x, y = (Counter(m[i: i + 8] for i in range(0, len(m), 8)) for m in (marks_a, marks_b))
     if int(n_a) <= SKETCH and int(n_b) <= SKETCH:
         both = sum((x & y).values())
@@ -126,7 +174,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                     mine, n = last[1], len(last[1])
                     edited = mine[: n - n // 2] + row[1][: n // 2]
                     changed = fingerprint(edited)
-                    out.append((last[0], n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), last[4], changed,
+                    out.append((last[0], n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), str(last[4]), str(changed),
                                 likeness(last[4], changed), likeness(last[4], mark)))
                 last = (*row, mark)
                 if len(out) >= 512:
