@@ -68,3 +68,22 @@ def test_recall_of_default_margin(spark):
 
 def test_empty(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_links_count_at_both_ends(spark):
+    # pairs in a subspace of 6 of 64 dimensions, where many are found from one end only
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(400, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rnd.normal(size=x.shape)
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    x = np.r_[x, 0.955 * x + np.sqrt(1 - 0.955**2) * u] @ np.linalg.qr(rnd.normal(size=(64, 6)))[0].T
+    table = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = embeddings.near_duplicates(table, cell_rows=20).collect()
+    true = (x @ x.T >= embeddings.COSINE).sum(axis=1) - 1
+    group = {}
+    for r in got:
+        group.setdefault(r.component_id, []).append(r.n_links)
+        assert r.n_links <= true[r.vec_id]
+    assert all(sum(g) % 2 == 0 and (len(g) == 1 or min(g) > 0) for g in group.values())

@@ -16,8 +16,9 @@ force.
 Within a cell the home vectors are compared with all its vectors, in blocks of
 at most about ``BLOCK`` by ``BLOCK``, each a product in double precision; a cell
 with more vectors is dealt into blocks by a hash, and every pair of blocks is a
-group of its own. Every link is counted at the home of either end, so a group
-returns a link count for each home vector and a spanning forest of its links,
+group of its own. Every link is counted at the home of either end; a visitor
+whose own home is not visited by the other end is counted where it visits, so a
+link found at all counts at both ends, once each. A group returns a link count for each home vector and a spanning forest of its links,
 not the links. Components come from contraction; the representative of a group
 is its smallest id.
 
@@ -83,8 +84,8 @@ def _fit(spark: SparkSession, vectors: DataFrame, cells: int) -> dict[int, np.nd
 
 
 def _assign(centroids: dict[int, np.ndarray], cosine: float, margin: float):
-    """Rows (v, dim, n, e) to (dim, cell, v, n, home, e): the home cell and the
-    cells visited."""
+    """Rows (v, dim, n, e) to (dim, cell, v, n, home, base, visits, e): one for
+    the home cell ``base``, with all cells visited, and one for each visited."""
 
     reach = margin * float(np.sqrt(1 - cosine * cosine))
 
@@ -98,6 +99,7 @@ def _assign(centroids: dict[int, np.ndarray], cosine: float, margin: float):
                     part = rows.slice(at, 1024)
                     if c is None:
                         where, cell, own = np.arange(part.num_rows), np.zeros(part.num_rows, dtype=np.int64), np.ones(part.num_rows, dtype=bool)
+                        home, width = cell, np.ones(part.num_rows, dtype=np.int64)
                     else:
                         s = _matrix(part.column("e")) @ c.T
                         home = s.argmax(axis=1)
@@ -107,17 +109,21 @@ def _assign(centroids: dict[int, np.ndarray], cosine: float, margin: float):
                         near[np.arange(len(s)), home] = True
                         where, cell = np.nonzero(near)
                         own = cell == home[where]
+                        width = near.sum(axis=1)
+                    visits = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(width)].astype(np.int32)), pa.array(cell.astype(np.int32)))
+                    visits = visits.take(pa.array(where, mask=~own))
                     part = part.take(pa.array(where))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("dim"), pa.array(cell.astype(np.int32)), part.column("v"), part.column("n"), pa.array(own), part.column("e")],
-                        names=["dim", "cell", "v", "n", "home", "e"])
+                        [part.column("dim"), pa.array(cell.astype(np.int32)), part.column("v"), part.column("n"), pa.array(own),
+                         pa.array(home[where].astype(np.int32)), visits, part.column("e")],
+                        names=["dim", "cell", "v", "n", "home", "base", "visits", "e"])
 
     return run
 
 
 def _compare(cosine: float):
-    """Groups (dim, cell, i, j) of rows (v, n, query, other, e), sorted; emits
-    (a, links, null) for each query and (a, null, b) for a spanning forest."""
+    """Groups (dim, cell, i, j) of rows (v, n, query, other, base, visits, e),
+    sorted; emits (a, links, null) for each query or visitor and (a, null, b) for a spanning forest."""
 
     def links(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
@@ -128,21 +134,32 @@ def _compare(cosine: float):
         x = _matrix(t.column("e").combine_chunks())
         qi, oi = np.flatnonzero(query), np.flatnonzero(other)
         count = np.zeros(len(qi), dtype=np.int64)
+        base, visits = t.column("base").to_numpy(), t.column("visits").combine_chunks()
+        guests = np.flatnonzero(base[oi] != t.column("cell")[0].as_py())
+        extra = np.zeros(len(oi), dtype=np.int64)
+        cells = int(base.max()) + 1
         a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for at in range(0, len(qi), 512):
             q = qi[at: at + 512]
             hit = (x[q] @ x[oi].T >= cosine) & (v[q][:, None] != v[oi][None, :])
             count[at: at + 512] = hit @ n[oi]
+            if len(guests):  # those that do not find the link at their own home
+                seen = np.zeros((len(q), cells), dtype=bool)
+                some = visits.take(pa.array(q))
+                row, cell = pa.compute.list_parent_indices(some).to_numpy(), some.flatten().to_numpy()
+                seen[row[cell < cells], cell[cell < cells]] = True
+                extra[guests] += n[q] @ (hit[:, guests] & ~seen[:, base[oi[guests]]])
             r, c = np.nonzero(hit)
             a, b = spanning(np.concatenate([a, v[q][r]]), np.concatenate([b, v[oi][c]]))
-        some = np.flatnonzero(count)
-        k = len(some) + len(a)
+        ends = np.r_[v[qi][count > 0], v[oi][extra > 0]]
+        counts = np.r_[count[count > 0], extra[extra > 0]]
+        k = len(ends) + len(a)
         if k:
             none = np.zeros(k, dtype=bool)
-            none[: len(some)] = True
+            none[: len(ends)] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[v[qi][some], a]), pa.array(np.r_[count[some], np.zeros(len(a), dtype=np.int64)]),
-                 pa.array(np.r_[np.zeros(len(some), dtype=np.int64), b], mask=none)], names=["a", "links", "b"])
+                [pa.array(np.r_[ends, a]), pa.array(np.r_[counts, np.zeros(len(a), dtype=np.int64)]),
+                 pa.array(np.r_[np.zeros(len(ends), dtype=np.int64), b], mask=none)], names=["a", "links", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -184,7 +201,7 @@ def near_duplicates(
     cells = max(1, min(MAX_CELLS, -(-vectors.count() // cell_rows)))
     centroids = _fit(spark, vectors, cells)
     placed = scratch.write(vectors.select("v", "dim", "n", "e").mapInArrow(
-        _assign(centroids, cosine, margin), "dim int, cell int, v long, n long, home boolean, e array<double>"), "cells")
+        _assign(centroids, cosine, margin), "dim int, cell int, v long, n long, home boolean, base int, visits array<int>, e array<double>"), "cells")
     large = placed.groupBy("dim", "cell").count().filter(F.col("count") > block).select(
         "dim", "cell", F.ceil(F.col("count") / block).alias("m"))
     dealt = placed.join(large, ["dim", "cell"], "left").withColumn("m", F.coalesce("m", F.lit(1))).withColumn(
@@ -192,7 +209,7 @@ def near_duplicates(
             "concat(IF(home, transform(sequence(0L, m - 1), j -> named_struct('i', mine, 'j', j, 'query', true, 'other', j = mine)),"
             " CAST(array() AS ARRAY<STRUCT<i: BIGINT, j: BIGINT, query: BOOLEAN, other: BOOLEAN>>)),"
             " filter(transform(sequence(0L, m - 1), i -> named_struct('i', i, 'j', mine, 'query', false, 'other', true)), s -> NOT (home AND s.i = mine)))")))
-    groups = dealt.select("dim", "cell", "at.i", "at.j", "v", "n", "at.query", "at.other", "e").repartition(
+    groups = dealt.select("dim", "cell", "at.i", "at.j", "v", "n", "at.query", "at.other", "base", "visits", "e").repartition(
         "dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j")
     found = scratch.write(groups.mapInArrow(_compare(cosine), "a long, links long, b long"), "links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("v")).agg(F.sum("links").alias("links"))
