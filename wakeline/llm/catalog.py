@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import embeddings, html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls
+from wakeline.llm import embeddings, html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls, whitening
 from wakeline.llm.oracles import OP1, OP2, OP4, OP7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every sound vector."""
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""
