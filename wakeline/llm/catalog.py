@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import embeddings, html, merkle, mixing, pieces, pii, quality, secrets, simhash, urls, whitening
-from wakeline.llm.oracles import OP1, OP2, OP4, OP7
+from wakeline.llm import embeddings, html, merkle, mixing, negatives, pieces, pii, quality, secrets, simhash, urls, whitening
+from wakeline.llm.oracles import OP1, OP2, OP4, OP7, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,6 +126,18 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; each seventh label shifted."""
+
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return negatives.mine(vectors.withColumn("label", shifted), "vec_id % 50 = 0")
+
+
+SQL["op13_hard_negatives"] = OP13
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""

@@ -168,3 +168,24 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
 SELECT m.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, m.vec_id = component_id AS kept
 FROM m LEFT JOIN n USING (vec_id)
 """
+
+OP13 = """
+WITH r AS (
+  SELECT row_number() OVER () AS u, vec_id, IF(vec_id % 7 = 0, (label + 1) % 10, label) AS label,
+    list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT a.u AS au, a.vec_id AS anchor_id, b.u AS bu, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.u <> b.u AND len(a.x) = len(b.x) WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT au, bu, anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY au ORDER BY score DESC, id, bu) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.au, p.bu ORDER BY s.score DESC, s.id, s.bu) AS INTEGER) AS rank,
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.au = p.au AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
