@@ -172,9 +172,9 @@ FROM m LEFT JOIN n USING (vec_id)
 OP13 = """
 WITH r AS (
   SELECT row_number() OVER () AS u, vec_id, IF(vec_id % 7 = 0, (label + 1) % 10, label) AS label,
-    list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
   FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), s AS (
   SELECT a.u AS au, a.vec_id AS anchor_id, b.u AS bu, b.vec_id AS id, a.label = b.label AS same,
     CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
