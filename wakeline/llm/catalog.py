@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import embeddings, html, merkle, mixing, negatives, pieces, pii, quality, secrets, simhash, urls, whitening
-from wakeline.llm.oracles import OP1, OP2, OP4, OP7, OP13
+from wakeline.llm import embeddings, html, licenses, merkle, mixing, negatives, pieces, pii, quality, secrets, simhash, urls, whitening
+from wakeline.llm.oracles import OP1, OP2, OP4, OP7, OP12, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,6 +126,16 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, base phrases and license labels of every document."""
+
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_license_scan"] = OP12
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor and positive; each seventh label shifted."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from wakeline.llm import licenses
+from wakeline.llm.license_rules import read_rules, spaced
+
 # Targets from the closed form: sorted by size / weight, the first sources are
 # full, and the first one that is not gives the share of a unit of weight.
 _SEGMENTS = {0: (1.5, 1.25, 0.25), 1: (1.0, 1.0, 1.0), 2: (0.25, 1.25, 1.5)}
@@ -189,3 +192,51 @@ SELECT p.anchor_id, positive_id,
 FROM p JOIN s ON s.au = p.au AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
 QUALIFY rank <= 3
 """
+
+
+def _op12() -> str:
+    rules = ", ".join(f"({r.rank}, {r.level}, '{r.label}', '{r.pattern}')" for r in read_rules())
+    base = ", ".join(f"('{label}', '{spaced(phrase)}')" for phrase, label in licenses.BASE.items())
+    points = " ".join(f"WHEN {k} THEN {v}" for k, v in licenses.POINTS.items())
+    count = "((length({0}) - length(replace({0}, ' ', ''))) // 2)"
+    return f"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS u,
+    trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{licenses.SEPARATORS}', '  ', 'g'), ' ') AS t
+  FROM documents
+), d AS (
+  SELECT doc_id, u, CASE WHEN t = '' THEN '' ELSE ' ' || t || ' ' END AS words, {count.format("words")} AS n_words FROM t
+), rule(rank, level, label, pattern) AS (VALUES {rules}
+), phrase(label, pattern) AS (VALUES {base}
+), found AS (
+  SELECT u, rank, level, label, regexp_extract_all(words, pattern) AS ms, string_split_regex(words, pattern) AS parts
+  FROM d, rule WHERE regexp_matches(words, pattern)
+  UNION ALL
+  SELECT u, -1, -1, label, regexp_extract_all(words, pattern), string_split_regex(words, pattern)
+  FROM d, phrase WHERE regexp_matches(words, pattern)
+), each_ AS (
+  SELECT u, rank, level, label, ms, parts, unnest(ms) AS m, generate_subscripts(ms, 1) AS i FROM found
+), h AS (
+  SELECT u, rank, level, label,
+    CAST(list_sum(list_transform(parts[1:i], lambda p: {count.format("p")})) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda p: {count.format("p")})), 0) AS BIGINT) AS s,
+    s + {count.format("m")} AS e
+  FROM each_
+), kept AS (
+  SELECT * FROM h WHERE rank >= 0 AND NOT EXISTS (
+    SELECT 1 FROM h g WHERE g.rank >= 0 AND g.u = h.u AND g.s <= h.s AND g.e >= h.e
+      AND (g.level < h.level OR (g.level = h.level AND (g.e - g.s > h.e - h.s OR (g.e - g.s = h.e - h.s AND g.rank < h.rank)))))
+), strongest AS (
+  SELECT u, sum(CASE level {points} END) AS points FROM (SELECT u, label, min(level) AS level FROM kept GROUP BY ALL) GROUP BY u
+), base AS (
+  SELECT u, count(*) AS n, min(s) AS first_word, max(s) AS last_word, list_sort(list_distinct(list(label))) AS labels FROM h WHERE rank < 0 GROUP BY u
+), spans AS (
+  SELECT u, list(label) AS labels, string_agg(label || ':' || s || ':' || e, ',' ORDER BY s, e DESC, level, rank) AS detections FROM kept GROUP BY u
+)
+SELECT doc_id, n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(spans.labels, [])))), ',') AS labels,
+  1 - pow(2.0, -least({licenses.MOST_POINTS}, coalesce(points, 0))) AS score, coalesce(detections, '') AS detections
+FROM d LEFT JOIN base USING (u) LEFT JOIN spans USING (u) LEFT JOIN strongest USING (u)
+"""
+
+
+OP12 = _op12()
