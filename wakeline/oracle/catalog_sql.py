@@ -1036,6 +1036,55 @@ SELECT rid, sin(radians(coalesce(cog, 0.0))) AS cog_sin, cos(radians(coalesce(co
   sin(radians(coalesce(heading, 0.0))) AS heading_sin, cos(radians(coalesce(heading, 0.0))) AS heading_cos
 FROM type_rows""", ("rid", "cog_sin", "cog_cos", "heading_sin", "heading_cos"))
 SQL["type_class_counts"] = W(TYPE_ROWS) + "\nSELECT shiptype AS class, count(*) AS rows FROM type_rows GROUP BY 1"
+_NUM = ("sog", "cog", "heading", "width", "length", "draught", "cog_sin", "cog_cos", "heading_sin", "heading_cos")
+KNN = TYPE_ROWS + f""",
+kn_src AS (
+  SELECT *, sin(radians(coalesce(cog, 0.0))) AS cog_sin, cos(radians(coalesce(cog, 0.0))) AS cog_cos,
+    sin(radians(coalesce(heading, 0.0))) AS heading_sin, cos(radians(coalesce(heading, 0.0))) AS heading_cos
+  FROM type_rows WHERE mmsi IS NOT NULL
+),
+kn_groups AS (SELECT DISTINCT mmsi FROM kn_src),
+kn_test AS (
+  SELECT mmsi FROM (SELECT mmsi, row_number() OVER (ORDER BY {h31('mmsi')}, mmsi) AS r FROM kn_groups)
+  WHERE r <= CAST(ceil(0.2 * (SELECT count(*) FROM kn_groups)) AS BIGINT)
+),
+kn_split AS (SELECT s.*, s.mmsi IN (SELECT mmsi FROM kn_test) AS is_test FROM kn_src s),
+kn_med AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS {c}" for c in _NUM)} FROM kn_split WHERE NOT is_test),
+kn_fill AS (
+  SELECT s.rid, s.is_test, s.shiptype, s.navigationalstatus, {', '.join(f"coalesce(s.{c}, m.{c}, 0.0) AS {c}" for c in _NUM)}
+  FROM kn_split s CROSS JOIN kn_med m
+),
+kn_mode AS (
+  SELECT navigationalstatus AS usual FROM kn_fill WHERE NOT is_test AND navigationalstatus IS NOT NULL
+  GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1
+),
+kn_scale AS (
+  SELECT {', '.join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS sd_{c}" for c in _NUM)}
+  FROM kn_fill WHERE NOT is_test
+),
+kn_x AS (
+  SELECT rid, is_test, shiptype, coalesce(navigationalstatus, usual) AS st,
+    coalesce(navigationalstatus, usual) IN (SELECT navigationalstatus FROM kn_fill WHERE NOT is_test) AS known,
+    {', '.join(f"CAST(floor((({c}) - mu_{c}) / sd_{c} * 1000000.0 + 0.4999847) AS DOUBLE) AS {c}" for c in _NUM)}
+  FROM kn_fill CROSS JOIN kn_scale LEFT JOIN kn_mode ON true
+),
+kn_d AS (
+  SELECT q.rid, min({{'d2': {' + '.join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in _NUM)}
+      + CASE WHEN q.st = t.st THEN 0.0 WHEN q.known THEN 2e12 ELSE 1e12 END, 't': t.rid, 'label': t.shiptype}}, 7) AS n
+  FROM kn_x q JOIN kn_x t ON q.is_test AND NOT t.is_test GROUP BY q.rid
+),
+kn_w AS (
+  SELECT rid, s.label AS label, CASE WHEN list_min(list_transform(n, lambda v: v.d2)) = 0 THEN CASE WHEN s.d2 = 0 THEN 1.0 ELSE 0.0 END
+    ELSE 1.0 / sqrt(s.d2) END AS w
+  FROM (SELECT rid, n, unnest(n) AS s FROM kn_d)
+),
+kn_vote AS (
+  SELECT rid, label, round(sum(w) / sum(sum(w)) OVER (PARTITION BY rid), 9) AS p FROM kn_w GROUP BY rid, label
+)"""
+SQL["knn_vote"] = rounded(W(KNN) + """
+SELECT v.rid, v.label AS predicted_shiptype, v.p AS probability, x.shiptype
+FROM kn_vote v JOIN kn_x x USING (rid) QUALIFY row_number() OVER (PARTITION BY v.rid ORDER BY v.p DESC, v.label) = 1""",
+                         ("rid", "probability"))
 _B = bearing("start_lat", "start_lon", "end_lat", "end_lon")
 SQL["route_to_type_features"] = rounded(FEAT + f"""
 SELECT mmsi, 'Under way using engine' AS navigationalstatus, mean_sog AS sog, coalesce({_B}, 0.0) AS cog,

@@ -994,6 +994,14 @@ def q_type_boost(spark, sf_dir):
     return round_doubles(type_eval(spark, sf_dir, "xgboost"))
 
 
+@query("knn_vote")
+def q_knn_vote(spark, sf_dir):
+    """Distance-weighted 7-nearest-neighbour vote for every held-out row."""
+
+    train, test = type_split(spark, sf_dir)
+    return round_doubles(ML.knn_vote(train, test).join(test.select("rid", "shiptype"), "rid"))
+
+
 def type_vote_scored(spark: SparkSession, sf_dir: str):
     rf, _, test = type_model(spark, sf_dir, "random_forest")
     lr, _, te_s = type_model(spark, sf_dir, "logistic_regression")

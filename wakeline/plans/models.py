@@ -26,7 +26,9 @@ from pyspark.ml.regression import IsotonicRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.functions.numeric import ROUND_OFFSET
 from wakeline.operators.clean import column_medians
+from wakeline.operators.knn import nearest_rows, weighted_vote
 from wakeline.operators.track import wide_signature
 
 SEED = 42
@@ -42,6 +44,7 @@ EARLY_BASE = (
 )
 FORECAST_FEATURES = ("lat", "lon", "sog", "cog", "cog_sin", "cog_cos", "width", "length", "draught", "delta_lat",
                      "delta_lon", "delta_hours")
+NEIGHBOURS = 7
 TYPE_NUMERIC = ("sog", "cog", "heading", "width", "length", "draught", "cog_sin", "cog_cos", "heading_sin",
                 "heading_cos")
 
@@ -266,6 +269,33 @@ def predict_type(model: PipelineModel, calibration: list, medians: DataFrame, ro
     return best.join(F.broadcast(names), "prediction").select(key, "predicted_shiptype", "confidence")
 
 
+def neighbour_vectors(train: DataFrame, rows: DataFrame, key: str = "rid") -> tuple[DataFrame, DataFrame]:
+    """(key, label, x) of prepared training rows and (key, x) of other prepared
+    rows: numbers standardised by the training rows, then one place per
+    navigational status of theirs. Values are whole millionths, so that equal
+    rows stay equal in whatever order the means were summed up. A missing status
+    counts as the most frequent one; one that training lacks has no place."""
+
+    status = train.groupBy("navigationalstatus").count().where("navigationalstatus IS NOT NULL")
+    names = [r[0] for r in status.orderBy(F.desc("count"), "navigationalstatus").select("navigationalstatus").collect()]
+    usual = F.lit(names[0] if names else None)
+    filled = F.coalesce("navigationalstatus", usual)
+    places = [F.coalesce(F.when(filled == n, 1e6), F.lit(0.0)) for n in sorted(names)]
+    known, stats = standardise(train, TYPE_NUMERIC)
+    other, _ = standardise(rows, TYPE_NUMERIC, stats)
+    x = F.array(*[F.expr(f"CAST(floor({c} * 1000000.0D + {ROUND_OFFSET}D) AS DOUBLE)") for c in TYPE_NUMERIC], *places).alias("x")
+    return known.select(key, F.col("shiptype").alias("label"), x), other.select(key, x)
+
+
+def knn_vote(train: DataFrame, rows: DataFrame, key: str = "rid", k: int = NEIGHBOURS) -> DataFrame:
+    """(key, predicted_shiptype, probability) by the distance-weighted vote of
+    the ``k`` nearest training rows."""
+
+    known, asked = neighbour_vectors(train, rows, key)
+    near = nearest_rows(known, asked, k, key, key)
+    return weighted_vote(near).selectExpr(f"query AS {key}", "prediction AS predicted_shiptype", "probability")
+
+
 def vote_probabilities(scored: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     """Soft vote: mean of the members' class-probability arrays (same class
     order), prediction = argmax."""
