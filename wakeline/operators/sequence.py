@@ -175,6 +175,69 @@ def track_scan(
     return joined.selectExpr(*out)
 
 
+def mark_scan(
+    df: DataFrame,
+    mark: str,
+    *,
+    prev: Sequence[str],
+    first: bool,
+    key: str | Sequence[str] = "mmsi",
+    order: Sequence[str] = ("ts", "lat", "lon"),
+    ts: str = "ts",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """Compare each row with the one before it in its track and count, in one
+    pass: what takes ``track_scan`` a scan for the previous row and another one
+    for the running sum.
+
+    ``mark`` is a condition on the row's columns and ``prev_<column>`` of the
+    columns ``prev``; null counts as false, and a track's first row has ``first``.
+    Adds ``_mark`` (does it hold), ``_run`` (marks up to and with this row),
+    ``_next`` (does it hold for the next row; null for the track's last),
+    ``_head`` (is this the track's first row), ``_marks`` and ``_rows`` (of the
+    whole track).
+
+    The rows are shuffled once, on (key, bucket). A bucket is summed up by its
+    first and last row, its number of rows and of marks between them; these
+    summaries, one row per bucket, are put together in time order and joined
+    back. They hold whole rows, so both uses of the shuffle need the same columns
+    and Spark reads it twice instead of making it twice. Rows without a key or a
+    time belong to no track and are dropped.
+    """
+
+    keys = [key] if isinstance(key, str) else list(key)
+    ks = ", ".join(f"`{k}`" for k in keys)
+    order_s = ", ".join(f"`{c}`" for c in order)
+    row = "struct(" + ", ".join(f"`{c}`" for c in df.columns) + ")"
+    base = df.selectExpr("*", f"CAST(floor(unix_seconds(CAST(`{ts}` AS TIMESTAMP)) / {int(bucket_seconds)}) AS BIGINT) AS {_B}").where(
+        " AND ".join(f"{c} IS NOT NULL" for c in [*(f"`{k}`" for k in keys), _B]))
+    w = f"(PARTITION BY {ks}, {_B} ORDER BY {order_s})"
+    lagged = base.selectExpr("*", *[f"lag(`{c}`) OVER {w} AS `prev_{c}`" for c in prev], f"row_number() OVER {w} AS _wl_at")
+    marked = lagged.selectExpr(*[f"`{c}`" for c in df.columns], _B, "_wl_at", f"_wl_at > 1 AND coalesce({mark}, false) AS _wl_in")
+    rows = marked.selectExpr(
+        "*", f"sum(CAST(_wl_in AS BIGINT)) OVER (PARTITION BY {ks}, {_B} ORDER BY {order_s} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _wl_run",
+        f"lead(_wl_in) OVER {w} AS _wl_next")
+
+    ends = marked.groupBy(*keys, _B).agg(
+        F.expr(f"min_by({row}, struct({order_s})) AS _wl_first"), F.expr(f"max_by({row}, struct({order_s})) AS _wl_last"),
+        F.expr("count(1) AS _wl_n"), F.expr("sum(CAST(_wl_in AS BIGINT)) AS _wl_tot"))
+    by = f"PARTITION BY {ks} ORDER BY {_B}"
+    before = f"OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    known = ends.selectExpr(*[f"`{k}` AS `_wl_k_{k}`" for k in keys], f"{_B} AS _wl_k_b", "_wl_n", "_wl_tot", f"lag(_wl_last) OVER ({by}) AS _wl_prev", "_wl_first")
+    known = known.selectExpr(
+        "_wl_first.*", *[f"`_wl_k_{k}`" for k in keys], "_wl_k_b", "_wl_n", "_wl_tot", "_wl_prev IS NULL AS _wl_head",
+        *[f"_wl_prev.`{c}` AS `prev_{c}`" for c in prev])
+    known = known.selectExpr(
+        *[f"`_wl_k_{k}` AS `{k}`" for k in keys], f"_wl_k_b AS {_B}", "_wl_n", "_wl_tot", "_wl_head",
+        f"IF(_wl_head, {str(first).lower()}, coalesce({mark}, false)) AS _wl_fm")
+    known = known.selectExpr("*", "_wl_tot + CAST(_wl_fm AS BIGINT) AS _wl_all").selectExpr(
+        *[f"`{k}`" for k in keys], _B, "_wl_head", "_wl_fm", f"coalesce(sum(_wl_all) {before}, 0) + CAST(_wl_fm AS BIGINT) AS _wl_off",
+        f"lead(_wl_fm) OVER ({by}) AS _wl_nfm", f"sum(_wl_all) OVER (PARTITION BY {ks}) AS _wl_marks", f"sum(_wl_n) OVER (PARTITION BY {ks}) AS _wl_rows")
+    return rows.join(known.repartition(*[F.col(k) for k in keys], F.col(_B)), [*keys, _B]).selectExpr(
+        *[f"`{c}`" for c in df.columns], "IF(_wl_at = 1, _wl_fm, _wl_in) AS _mark", "_wl_off + _wl_run AS _run",
+        "coalesce(_wl_next, _wl_nfm) AS _next", "_wl_at = 1 AND _wl_head AS _head", "_wl_marks AS _marks", "_wl_rows AS _rows")
+
+
 def _sql(v) -> str:
     if isinstance(v, str):
         return v

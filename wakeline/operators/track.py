@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import bearing_sql, haversine_sql
-from wakeline.operators.sequence import order_for, track_scan
+from wakeline.operators.sequence import mark_scan, order_for, track_scan
 
 ORDER = ("ts", "lat", "lon")
 # Fixed values of the reference.
@@ -23,6 +23,7 @@ SIGNATURE_POINTS = 24
 TRACK_POINTS = 90
 PATTERN_POINTS = 140
 MAX_HOP_KM = 80.0
+MOVED = "NOT (prev_lat = lat AND prev_lon = lon)"
 
 
 # ------------------------------------------------------------- stops --
@@ -66,19 +67,14 @@ def stop_event_points(points: DataFrame, slow_sog: float = SLOW_SOG_KN, gap_hour
                       key: str = "mmsi") -> DataFrame:
     """Slow points labelled with their stop event number (1-based per vessel).
 
-    Two bucketed scans: the previous slow point's time decides a new event
-    (gap > ``gap_hours``), a running sum numbers the events.
+    One bucketed scan: a slow point whose gap to the previous one exceeds
+    ``gap_hours`` is marked, and the running count of marks numbers the events.
     """
 
     slow = points.where(F.col("sog") <= F.lit(float(slow_sog)))
-    p = track_scan(slow, key=key, order=order_for(slow), prev=["ts"])
     gap_us = int(round(gap_hours * 3600 * 1e6))
-    p = p.selectExpr(
-        *slow.columns,
-        f"CASE WHEN prev_ts IS NULL OR unix_micros(ts) - unix_micros(prev_ts) > {gap_us} THEN 1 ELSE 0 END AS _new",
-    )
-    p = track_scan(p, key=key, order=order_for(slow), cumsum={"stop_event_no": "_new"})
-    return p.selectExpr(*slow.columns, "CAST(stop_event_no AS BIGINT) AS stop_event_no")
+    p = mark_scan(slow, f"unix_micros(ts) - unix_micros(prev_ts) > {gap_us}", prev=["ts"], first=True, key=key, order=order_for(slow))
+    return p.selectExpr(*[f"`{c}`" for c in slow.columns], "_run AS stop_event_no")
 
 
 # ---------------------------------------------------------- motion --
@@ -116,21 +112,18 @@ def latest_position(points: DataFrame, key: str = "mmsi", cols: Sequence[str] |
 def track_line_points(points: DataFrame, max_points: int = TRACK_POINTS, key: str = "mmsi") -> DataFrame:
     """The points a map line is drawn from: valid coordinates in time order,
     consecutive duplicates dropped, then down-sampled to at most
-    ``max_points`` at half-even rounded even indexes.
+    ``max_points`` at half-even rounded even indexes, in one scan.
 
-    Columns: key, ts, lat, lon, cog, idx (position in the deduped track), n
-    (deduped length), keep_idx (position in the output line).
+    Columns: key, ts, lat, lon, idx (position in the deduped track), n
+    (deduped length), keep_idx (position in the output line), kept (its length).
     """
 
     valid = points.where(
         "lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)"
         " AND lon BETWEEN -180.0D AND 180.0D AND lat BETWEEN -90.0D AND 90.0D"
-    )
-    cog = "cog" if "cog" in points.columns else "CAST(NULL AS DOUBLE)"
-    valid = valid.selectExpr(key, "ts", "lat", "lon", f"{cog} AS cog")
-    p = track_scan(valid, key=key, order=ORDER, prev=["lat", "lon"])
-    dedup = p.where("prev_lat IS NULL OR NOT (prev_lat = lat AND prev_lon = lon)").drop("prev_lat", "prev_lon")
-    return downsample_track(dedup, max_points, key)
+    ).select(key, "ts", "lat", "lon")
+    p = mark_scan(valid, MOVED, prev=["lat", "lon"], first=True, key=key, order=ORDER)
+    return _evenly(p.where("_mark").selectExpr(key, "ts", "lat", "lon", "_run - 1 AS idx", "_marks AS n"), max_points)
 
 
 def dedupe_track(points: DataFrame, key: str = "mmsi") -> DataFrame:
@@ -140,66 +133,60 @@ def dedupe_track(points: DataFrame, key: str = "mmsi") -> DataFrame:
     return p.where("prev_lat IS NULL OR NOT (prev_lat = lat AND prev_lon = lon)").select(points.columns)
 
 
-def downsample_track(points: DataFrame, max_points: int, key: str = "mmsi") -> DataFrame:
-    """Keep at most ``max_points`` per track: index j survives iff
-    ``j = round_half_even(i * (n - 1) / (N - 1))`` for some i < N. Decided per
-    row from its index and the track length (no per-track list)."""
+def _evenly(numbered: DataFrame, max_points: int) -> DataFrame:
+    """Of rows with ``idx`` (0-based) of ``n``, at most ``max_points`` a track:
+    index j survives iff ``j = round_half_even(i * (n - 1) / (N - 1))`` for some
+    i < N, and i is its place ``keep_idx``. With n > N the steps are longer than
+    one, so no j has two i; one of the four next to ``idx * (N - 1) / (n - 1)``
+    it must be. Adds ``kept``, the number of rows left."""
 
-    p = track_scan(points, key=key, order=ORDER, index="idx", track_count="n")
     N = int(max_points)
     if N <= 1:
-        return p.withColumn("keep_idx", F.col("idx"))
-    hit = " OR ".join(
-        f"(i{d} BETWEEN 0 AND {N - 1} AND CAST(bround(i{d} * (n - 1) / {N - 1}, 0) AS BIGINT) = idx)"
-        for d in range(4)
-    )
-    # candidates i0-1 .. i0+2 (renamed to avoid clobbering i0)
-    out = p.selectExpr(
-        "*",
-        f"CAST(floor(idx * {N - 1} / greatest(n - 1, 1)) AS BIGINT) AS _c",
-    ).selectExpr("*", *[f"_c + {d - 1} AS i{d}" for d in range(4)])
-    kept = out.where(f"n <= {N} OR {hit}")
-    return track_scan(
-        kept.drop("_c", "i0", "i1", "i2", "i3"), key=key, order=ORDER, index="keep_idx"
-    )
+        return numbered.selectExpr("*", "idx AS keep_idx", "n AS kept")
+    near = f"CAST(floor(idx * {N - 1} / greatest(n - 1, 1)) AS BIGINT)"
+    hit = f"i BETWEEN 0 AND {N - 1} AND CAST(bround(i * (n - 1) / {N - 1}, 0) AS BIGINT) = idx"
+    place = f"IF(n <= {N}, idx, try_element_at(filter(sequence({near} - 1, {near} + 2), i -> {hit}), 1))"
+    return numbered.selectExpr("*", f"{place} AS keep_idx", f"least(n, {N}) AS kept").where("keep_idx IS NOT NULL")
+
+
+def downsample_track(points: DataFrame, max_points: int, key: str = "mmsi") -> DataFrame:
+    """Keep at most ``max_points`` per track at even indexes (``_evenly``),
+    decided per row from its index and the track length (no per-track list).
+    Adds idx, n, keep_idx, kept."""
+
+    return _evenly(track_scan(points, key=key, order=ORDER, index="idx", track_count="n"), max_points)
 
 
 def split_gaps(line_points: DataFrame, max_hop_km: float = MAX_HOP_KM, key: str = "mmsi") -> DataFrame:
     """Break a line where a hop exceeds ``max_hop_km``; pieces of one point are
     dropped; a track left with no piece keeps its whole line as piece 0.
 
+    One scan: a point is alone if the hops before and after it both break (or
+    are missing at the track's end), and no piece is left if every hop breaks.
     Input: ordered line points (``key, ts, lat, lon``). Output adds ``piece``.
     """
 
-    p = track_scan(line_points, key=key, order=ORDER, prev=["lat", "lon"])
     hop = haversine_sql("prev_lat", "prev_lon", "lat", "lon")
-    p = p.selectExpr(*line_points.columns, f"CASE WHEN prev_lat IS NOT NULL AND {hop} > {float(max_hop_km)}D THEN 1 ELSE 0 END AS _brk")
-    p = track_scan(p, key=key, order=ORDER, cumsum={"piece": "_brk"})
-    sizes = p.groupBy(key, "piece").agg(F.expr("count(1) AS _ps"))
-    good = sizes.where("_ps >= 2").groupBy(key).agg(F.expr("count(1) AS _np"))
-    j = p.join(sizes, [key, "piece"]).join(good, key, "left")
-    return j.where("_np IS NULL OR _ps >= 2").selectExpr(
-        *line_points.columns, "CASE WHEN _np IS NULL THEN 0 ELSE piece END AS piece"
-    )
+    p = mark_scan(line_points, f"{hop} > {float(max_hop_km)}D", prev=["lat", "lon"], first=False, key=key, order=ORDER)
+    broken, alone = "_marks = _rows - 1", "(_head OR _mark) AND coalesce(_next, true)"
+    return p.where(f"{broken} OR NOT ({alone})").selectExpr(
+        *[f"`{c}`" for c in line_points.columns], f"IF({broken}, 0, _run) AS piece")
 
 
 def latest_bearing(points: DataFrame, line_points: DataFrame, key: str = "mmsi") -> DataFrame:
     """Last valid course (0..360) of the track, else the bearing between the
-    line's last two points, else 0."""
+    line's last two points, else 0. ``line_points`` as from ``track_line_points``."""
 
     last_cog = points.where("cog IS NOT NULL AND NOT isnan(cog)").groupBy(key).agg(
         F.expr(f"max_by(cog, struct({', '.join(ORDER)})) AS _cog")
     )
-    lp = line_points.where("keep_idx >= 0").groupBy(key).agg(
-        F.expr("max_by(struct(lat, lon, keep_idx), keep_idx) AS _b"),
+    ends = line_points.where("keep_idx >= kept - 2").groupBy(key).agg(
+        F.expr("min_by(struct(lat, lon), keep_idx) AS _a"),
+        F.expr("max_by(struct(lat, lon), keep_idx) AS _b"),
         F.expr("count(1) AS _m"),
     )
-    prev_pt = line_points.join(lp.select(key, F.expr("_b.keep_idx - 1 AS keep_idx")), [key, "keep_idx"]).selectExpr(
-        key, "lat AS _plat", "lon AS _plon"
-    )
-    brg = bearing_sql("_plat", "_plon", "_b.lat", "_b.lon")
-    out = lp.join(prev_pt, key, "left").join(last_cog, key, "full_outer")
-    return out.selectExpr(
+    brg = bearing_sql("_a.lat", "_a.lon", "_b.lat", "_b.lon")
+    return ends.join(last_cog, key, "full_outer").selectExpr(
         key,
         f"CASE WHEN _cog BETWEEN 0.0D AND 360.0D THEN _cog WHEN _m >= 2 THEN {brg} ELSE 0.0D END AS bearing",
     )
