@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.operators.components import connected_components as contract_components
-from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
+from wakeline.functions.geo import haversine_sql
 from wakeline.operators.joins import grid_pairs
+from wakeline.operators.range_count import grid_cell_sql, range_counts
 from wakeline.operators.ranking import global_row_number
 from wakeline.scratch import Scratch
 
@@ -36,13 +37,7 @@ def _cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str, str]:
     whose cells have a diagonal of less than ``eps_km``: sides of at most 0.7
     eps. No point is further than half a diagonal from the middle of its cell."""
 
-    side = 0.7 * math.degrees(eps_km / EARTH_RADIUS_KM)
-    bands = int(math.ceil(180.0 / side))
-    band = f"least(CAST(floor(({lat} + 90.0D) / {side!r}D) AS INT), {bands - 1})"
-    low = f"least(abs({band} * {side!r}D - 90.0D), abs(({band} + 1) * {side!r}D - 90.0D))"  # nearest the equator
-    near = f"IF({band} * {side!r}D <= 90.0D AND ({band} + 1) * {side!r}D >= 90.0D, 0.0D, {low})"
-    cells = f"greatest(1, CAST(ceil(360.0D * cos(radians({near})) / {side!r}D) AS INT))"
-    cell = f"pmod(CAST(floor(({lon} + 180.0D) / 360.0D * {cells}) AS INT), {cells})"
+    band, cells, cell, side = grid_cell_sql(lat, lon, eps_km)
     return band, cells, cell, f"least(90.0D, ({band} + 0.5D) * {side!r}D - 90.0D)"
 
 
@@ -133,14 +128,14 @@ def anchorage_dbscan(
 
 
 def neighbour_counts(stop_events: DataFrame, eps_km: float = ANCHORAGE_EPS_KM) -> DataFrame:
-    """Events within ``eps_km`` of each stop event (self included). Identical
-    centres are compared once and weighted by their copies."""
+    """Events within ``eps_km`` of each stop event (self included), counted
+    over a cell tree (``range_counts``). Identical centres are one point, weighted
+    by their copies."""
 
     centres = stop_events.groupBy("center_lat", "center_lon").agg(F.expr("count(1) AS w")).selectExpr(
         "named_struct('lat', center_lat, 'lon', center_lon) AS pid", "center_lat AS lat", "center_lon AS lon", "w")
-    pairs = grid_pairs(centres, max(float(eps_km), 0.1))
-    counts = pairs.join(centres.selectExpr("pid AS b", "w"), "b").groupBy("a").agg(F.expr("sum(w) AS neighbours"))
-    return stop_events.join(counts, F.expr("a = named_struct('lat', center_lat, 'lon', center_lon)")).select("mmsi", "stop_event_no", "neighbours")
+    counts = range_counts(centres, max(float(eps_km), 0.1)).selectExpr("pid.lat AS center_lat", "pid.lon AS center_lon", "n AS neighbours")
+    return stop_events.join(counts, ["center_lat", "center_lon"]).select("mmsi", "stop_event_no", "neighbours")
 
 
 def anchorage_summary(clustered: DataFrame) -> DataFrame:
