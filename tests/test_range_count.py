@@ -6,7 +6,8 @@ import random
 import pytest
 
 from wakeline.functions.geo import EARTH_RADIUS_KM
-from wakeline.operators.range_count import _settle, _Tree, range_counts
+from wakeline.operators.celltree import CellTree
+from wakeline.operators.range_count import _settle, range_counts
 from wakeline.scratch import Scratch
 
 SCHEMA = "pid long, lat double, lon double, w long"
@@ -53,7 +54,7 @@ def test_a_dense_port_compares_few_points(spark):
     for n in (300, 1200):
         rows = points([(rng.gauss(54, 0.01), rng.gauss(8, 0.015)) for _ in range(n)], rng)
         scratch = Scratch(spark, "test")
-        tree = _Tree(scratch, spark.createDataFrame(rows, SCHEMA), 2.0, 8)
+        tree = CellTree(scratch, spark.createDataFrame(rows, SCHEMA), 2.0, 8)
         _, open_ = _settle(scratch, tree, 2.0)
         size = tree.nodes.select("node", "n")
         pairs = open_.join(size.withColumnRenamed("node", "a").withColumnRenamed("n", "na"), "a").join(size.withColumnRenamed("node", "b"), "b")

@@ -9,10 +9,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.celltree import grid_cell_sql
 from wakeline.operators.components import connected_components as contract_components
 from wakeline.functions.geo import haversine_sql
 from wakeline.operators.joins import grid_pairs
-from wakeline.operators.range_count import grid_cell_sql, range_counts
+from wakeline.operators.range_count import range_counts
 from wakeline.operators.ranking import global_row_number
 from wakeline.scratch import Scratch
 

@@ -3,7 +3,7 @@
 * ``future_targets``: nearest as-of join with tolerance (per vessel, per
   horizon) as one bucketed scan over the union of points and shifted targets.
 * ``nearest_centre``: nearest-neighbour join of points to a centre table by
-  a multi-level grid search with a certified stopping rule (no cross join).
+  branch and bound over two cell trees (no cross join).
 * ``grid_pairs``: fixed-radius self join on a latitude-band / longitude-cell
   grid (inside DBSCAN).
 """
@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
+from wakeline.operators.celltree import LEAF, SLACK_KM, CellTree, split
 from wakeline.operators.sequence import track_scan
-from wakeline.session import checkpoint_dir
+from wakeline.scratch import Scratch
 
 # Fixed values of the reference.
 HORIZONS_H = (1, 2, 3)
@@ -105,92 +106,55 @@ def nearest_centre(
     lon: str = "end_lon",
     centre_id: str = "anchorage_id",
     centre_rank: str = "rank",
-    finest_level: int = 13,
+    leaf: int = LEAF,
 ) -> DataFrame:
-    """Nearest centre for every point (first in ``centre_rank`` on a tie).
-
-    Multi-level grid search: at level k (cell size ``360 / 2^k`` degrees, k
-    from ``finest_level`` down to 1)
-    every still-open point meets the centres of its 3x3 block of cells by an
-    equi-join on the cell id; the best candidate is *certified* when its
-    distance is at most the great-circle distance from the point to the
-    block's border (nothing outside the block can be nearer). Certified
-    points leave; the rest go up a level, until one block spans the globe.
-    Each level is an equi-join, never a cross product.
-
-    Returns key, centre_id, centre_lat, centre_lon, distance_km (rows whose
-    point has no centre at all are absent).
+    """Nearest centre for every point (first in ``centre_rank`` on a tie), by
+    branch and bound over two cell trees.
+
+    Points and centres each form a tree of cells with circles around their points.
+    Beginning at the roots, a cell of points holds the cells of centres that may
+    have the nearest one of any of its points: those whose least distance is not
+    above the smallest greatest distance known for it. Each round cuts both sides
+    into their children; a cell far away from all centres thus meets a few large
+    cells, whatever their number of centres. Points are compared with centres only
+    in the pairs of leaves that are left. Points at one place, and centres at one
+    place (the first in rank stands for them), count once.
+
+    Returns key, centre_id, centre_lat, centre_lon, distance_km: a row for every
+    point, null where it has no valid position or no centre has one.
     """
 
-    pts = points.selectExpr(key, f"{lat} AS _plat", f"{lon} AS _plon").where("_plat IS NOT NULL AND _plon IS NOT NULL")
-    cen = centres.selectExpr(f"{centre_id} AS _cid", f"{centre_rank} AS _crank", "center_lat AS _clat",
-                             "center_lon AS _clon")
-    checkpoint_dir(points.sparkSession)  # lineage is cut after every level
-    results = []
-    open_pts = pts
-    for level in range(int(finest_level), 0, -1):
-        n_lon = 2 ** level
-        n_lat = max(1, n_lon // 2)
-        size = 360.0 / n_lon
-        top = level == 1
-        cell_p = f"CAST(floor((_plat + 90.0D) / {size}D) AS INT)"
-        cell_q = f"CAST(floor((_plon + 180.0D) / {size}D) AS INT)"
-        p = open_pts.selectExpr("*", f"least({cell_p}, {n_lat - 1}) AS _cy", f"least({cell_q}, {n_lon - 1}) AS _cx")
-        # each centre is offered to the 3x3 block around its own cell (lon wraps)
-        c = cen.selectExpr(
-            "*",
-            f"least(CAST(floor((_clat + 90.0D) / {size}D) AS INT), {n_lat - 1}) AS _qy",
-            f"least(CAST(floor((_clon + 180.0D) / {size}D) AS INT), {n_lon - 1}) AS _qx",
-        ).selectExpr(
-            "*",
-            "explode(array(-1, 0, 1)) AS _dy",
-        ).selectExpr(
-            "*",
-            "explode(array(-1, 0, 1)) AS _dx",
-        ).selectExpr(
-            "_cid", "_crank", "_clat", "_clon",
-            "_qy + _dy AS _cy",
-            f"pmod(_qx + _dx, {n_lon}) AS _cx",
-        ).dropDuplicates(["_cid", "_cy", "_cx"])
-        cand = p.join(c, ["_cy", "_cx"]).selectExpr(
-            "*", f"{haversine_sql('_plat', '_plon', '_clat', '_clon')} AS _d"
-        )
-        best = cand.groupBy(key, "_plat", "_plon", "_cy", "_cx").agg(
-            F.expr("min_by(struct(_cid, _clat, _clon, _d), struct(_d, _crank)) AS _b")
-        )
-        if top:
-            bound = "1.0E300D"
-        else:
-            # distance to the block border: latitude edges (meridian arcs) and
-            # longitude edges (distance to a meridian great circle)
-            lo_y, hi_y = f"((_cy - 1) * {size}D - 90.0D)", f"((_cy + 2) * {size}D - 90.0D)"
-            lo_x, hi_x = f"((_cx - 1) * {size}D - 180.0D)", f"((_cx + 2) * {size}D - 180.0D)"
-            # no points lie beyond a pole, so that side never limits the bound
-            south = f"CASE WHEN {lo_y} <= -90.0D THEN 1.0E300D ELSE radians(_plat - {lo_y}) * {EARTH_RADIUS_KM}D END"
-            north = f"CASE WHEN {hi_y} >= 90.0D THEN 1.0E300D ELSE radians({hi_y} - _plat) * {EARTH_RADIUS_KM}D END"
-            dlon = f"least(_plon - {lo_x}, {hi_x} - _plon)"
-            lon_km = (
-                f"CASE WHEN {dlon} >= 90.0D THEN 1.0E300D ELSE "
-                f"asin(least(1.0D, cos(radians(_plat)) * sin(radians({dlon})))) * {EARTH_RADIUS_KM}D END"
-            )
-            bound = f"least({south}, {north}, {lon_km})"
-        judged = best.selectExpr("*", f"_b._d <= {bound} AS _ok")
-        judged = judged.checkpoint()
-        done = judged.where("_ok").selectExpr(
-            key, "_b._cid AS centre_id", "_b._clat AS centre_lat", "_b._clon AS centre_lon", "_b._d AS distance_km"
-        )
-        results.append(done)
-        if top:
-            break
-        # points whose block held no centre at all stay open as well
-        ok_keys = judged.where("_ok").select(key, "_plat", "_plon")
-        open_pts = open_pts.join(ok_keys, [key, "_plat", "_plon"], "left_anti").checkpoint()
-        if open_pts.isEmpty():
+    scratch = Scratch(points.sparkSession, "nearest")
+    sound = "lat BETWEEN -90.0D AND 90.0D AND lon BETWEEN -180.0D AND 180.0D"
+    asked = points.selectExpr(key, f"CAST({lat} AS DOUBLE) AS lat", f"CAST({lon} AS DOUBLE) AS lon")
+    places = asked.where(sound).groupBy("lat", "lon").agg(F.expr("count(1) AS w")).selectExpr("named_struct('lat', lat, 'lon', lon) AS pid", "lat", "lon", "w")
+    known = centres.selectExpr(f"{centre_id} AS id", f"{centre_rank} AS rank", "CAST(center_lat AS DOUBLE) AS lat", "CAST(center_lon AS DOUBLE) AS lon").where(sound)
+    first = known.groupBy("lat", "lon").agg(F.expr("min_by(struct(rank, id), struct(rank, id)) AS pid")).selectExpr("pid", "lat", "lon", "1L AS w")
+    globe = math.pi * EARTH_RADIUS_KM / 0.7  # two cells, the hemispheres
+    a_tree, b_tree = CellTree(scratch, places, globe, leaf), CellTree(scratch, first, globe, leaf)
+    a, b = (t.nodes.selectExpr(f"node AS {s}", f"lat AS lat_{s}", f"lon AS lon_{s}", f"r AS r_{s}", f"open AS open_{s}") for t, s in ((a_tree, "a"), (b_tree, "b")))
+    kids_a, kids_b = a_tree.kids(), b_tree.kids()
+    pairs = a.where("a.l = 0").select("a", F.lit(1e300).alias("most")).crossJoin(b.where("b.l = 0").select("b"))  # two by two at most
+    leaves = []
+    while True:
+        d = haversine_sql("lat_a", "lon_a", "lat_b", "lon_b")
+        judged = pairs.join(a, "a").join(b, "b").selectExpr("a", "b", "most", "open_a", "open_b", f"{d} AS d", "r_a + r_b AS r")
+        bound = judged.groupBy("a").agg(F.expr(f"min(least(most, d + r)) + {SLACK_KM!r}D AS bound"))
+        kept = scratch.write(judged.join(bound, "a").where("d - r <= bound").selectExpr("a", "b", "bound AS most", "open_a OR open_b AS open"), "pairs")
+        leaves.append(kept.where("NOT open").select("a", "b"))
+        rest = kept.where("open").select("a", "b", "most")
+        if rest.isEmpty():
             break
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out.withColumnRenamed("centre_id", centre_id)
+        pairs = split(split(rest, "a", kids_a), "b", kids_b)
+    last = leaves[0]
+    for more in leaves[1:]:
+        last = last.unionByName(more)
+    compared = last.join(a_tree.packed().selectExpr("node AS a", "p AS pa"), "a").join(b_tree.packed().selectExpr("node AS b", "p AS pb"), "b")
+    each = compared.selectExpr("pb", "inline(pa) AS (pid, lat, lon, w)").selectExpr("pid", "lat", "lon", "inline(pb) AS (c, clat, clon, cw)")
+    best = each.selectExpr("pid", "c", "clat", "clon", f"{haversine_sql('lat', 'lon', 'clat', 'clon')} AS d").groupBy("pid").agg(
+        F.expr("min_by(struct(c.id AS id, clat, clon, d), struct(d, c.rank)) AS n")).selectExpr("pid.lat AS lat", "pid.lon AS lon", "n")
+    return asked.join(best, ["lat", "lon"], "left").selectExpr(
+        key, f"n.id AS {centre_id}", "n.clat AS centre_lat", "n.clon AS centre_lon", "n.d AS distance_km")
 
 
 # --------------------------------------------------------- range pairs --

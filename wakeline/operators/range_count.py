@@ -1,8 +1,7 @@
 """How many points lie within a radius of each point, without forming the pairs.
 
-Points are dealt into the cells of a grid, and a cell with more than ``LEAF``
-points is cut into four, again and again, down to leaves. A node of this tree
-knows its weight and a circle around its points. Two nodes whose circles lie
+The points form a cell tree (``celltree.py``) whose nodes know their weight and a
+circle around their points. Two nodes whose circles lie
 wholly within the radius of each other add the weight of one to all points of the
 other at once; two wholly apart are dropped; only for the others are the
 children looked at, and only between leaves at the border are points compared.
@@ -15,76 +14,20 @@ is an equi-join on node ids. Points at one place are merged first.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
+from wakeline.functions.geo import haversine_sql
+from wakeline.operators.celltree import LEAF, SLACK_KM, CellTree, split
 from wakeline.operators.joins import grid_pairs
 from wakeline.scratch import Scratch
 
-LEAF = 32
-DEPTH = 24  # cells of the last level are a fraction of a millimetre wide
-_SLACK = 1e-7  # km: what rounding may do to a distance, by far
-
-
-def grid_cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str, float]:
-    """(band, cells in the band, cell, side in degrees) of a grid whose cells
-    have a diagonal of less than ``eps_km``: sides of at most 0.7 of it."""
-
-    side = 0.7 * math.degrees(eps_km / EARTH_RADIUS_KM)
-    bands = int(math.ceil(180.0 / side))
-    band = f"least(CAST(floor(({lat} + 90.0D) / {side!r}D) AS INT), {bands - 1})"
-    low = f"least(abs({band} * {side!r}D - 90.0D), abs(({band} + 1) * {side!r}D - 90.0D))"  # nearest the equator
-    near = f"IF({band} * {side!r}D <= 90.0D AND ({band} + 1) * {side!r}D >= 90.0D, 0.0D, {low})"
-    cells = f"greatest(1, CAST(ceil(360.0D * cos(radians({near})) / {side!r}D) AS INT))"
-    return band, cells, f"pmod(CAST(floor(({lon} + 180.0D) / 360.0D * {cells}) AS INT), {cells})", side
-
-
-class _Tree:
-    """The nodes of all levels (node, level, parent, n, w, r, lat, lon) and the
-    leaves' points (node, pid, lat, lon, w)."""
-
-    def __init__(self, scratch: Scratch, points: DataFrame, eps_km: float, leaf: int):
-        band, cells, cell, side = grid_cell_sql("lat", "lon", eps_km)
-        top = 1 << DEPTH
-        open_ = scratch.write(points.selectExpr("pid", "lat", "lon", "w", f"{band} AS b", f"{cells} AS k", f"{cell} AS c").selectExpr(
-            "*", f"CAST(least(greatest(floor(((lat + 90.0D) / {side!r}D - b) * {top}), 0), {top - 1}) AS BIGINT) AS iy",
-            f"CAST(least(floor(((lon + 180.0D) / 360.0D * k - floor((lon + 180.0D) / 360.0D * k)) * {top}), {top - 1}) AS BIGINT) AS ix"), "points")
-        levels, leaves = [], []
-        for level in range(DEPTH + 1):
-            cut, parts = DEPTH - level, float(1 << level)
-            mid_lat = f"least(90.0D, (b + (shiftright(iy, {cut}) + 0.5D) / {parts}D) * {side!r}D - 90.0D)"
-            mid_lon = f"((c + (shiftright(ix, {cut}) + 0.5D) / {parts}D) * 360.0D / k - 180.0D)"
-            at = open_.selectExpr(
-                "*", f"named_struct('l', {level}, 'b', b, 'c', c, 'y', shiftright(iy, {cut}), 'x', shiftright(ix, {cut})) AS node",
-                f"{mid_lat} AS mlat", f"{mid_lon} AS mlon").selectExpr("*", f"{haversine_sql('lat', 'lon', 'mlat', 'mlon')} AS r")
-            nodes = scratch.write(at.groupBy("node").agg(
-                F.expr("count(1) AS n"), F.expr("sum(w) AS w"), F.expr("max(r) AS r"), F.expr("min(mlat) AS lat"), F.expr("min(mlon) AS lon")), "nodes")
-            levels.append(nodes)
-            more = nodes.where(f"n > {leaf}").select("node")
-            last = level == DEPTH or more.isEmpty()
-            here = at if last else at.join(nodes.where(f"n <= {leaf}").select("node"), "node", "left_semi")
-            leaves.append(here.select("node", "pid", "lat", "lon", "w"))
-            if last:
-                break
-            open_ = scratch.write(at.join(more, "node", "left_semi").select("pid", "lat", "lon", "w", "b", "k", "c", "iy", "ix"), "points")
-        self.depth = len(levels) - 1
-        nodes, points = levels[0], leaves[0]
-        for n, p in zip(levels[1:], leaves[1:], strict=True):
-            nodes, points = nodes.unionByName(n), points.unionByName(p)
-        up = "IF(node.l = 0, NULL, named_struct('l', node.l - 1, 'b', node.b, 'c', node.c, 'y', shiftright(node.y, 1), 'x', shiftright(node.x, 1)))"
-        self.nodes = scratch.write(nodes.selectExpr("*", f"{up} AS parent", f"n > {leaf} AND node.l < {self.depth} AS open"), "tree")
-        self.points = scratch.write(points, "leaves")
-
-
-def _settle(scratch: Scratch, tree: _Tree, eps_km: float) -> tuple[DataFrame, DataFrame]:
+def _settle(scratch: Scratch, tree: CellTree, eps_km: float) -> tuple[DataFrame, DataFrame]:
     """(adds, open): the weight that every node gets as a whole (a, w), and the
     pairs of leaves (a, b) whose points have to be compared."""
 
     nodes = tree.nodes.select("node", "w", "r", "lat", "lon", "open")
-    kids = tree.nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.collect_list("node").alias("kids"))  # four at most
+    kids = tree.kids()
     pairs = grid_pairs(nodes.where("node.l = 0"), 2.0 * eps_km, pid="node")
     adds, leaves = [], []
     a, b = (nodes.select(*[F.col(c).alias(f"{c}_{s}") for c in nodes.columns]) for s in "ab")
@@ -92,19 +35,14 @@ def _settle(scratch: Scratch, tree: _Tree, eps_km: float) -> tuple[DataFrame, Da
     while True:
         judged = pairs.join(a, pairs["a"] == a["node_a"]).join(b, F.col("b") == F.col("node_b")).selectExpr(
             "a", "b", "w_b AS w", "open_a", "open_b", f"{apart} AS d", "r_a + r_b AS reach").selectExpr(
-            "a", "b", "w", "open_a", "open_b", f"d + reach <= {eps_km - _SLACK!r}D AS inside").where(f"d - reach <= {eps_km + _SLACK!r}D")
+            "a", "b", "w", "open_a", "open_b", f"d + reach <= {eps_km - SLACK_KM!r}D AS inside").where(f"d - reach <= {eps_km + SLACK_KM!r}D")
         judged = scratch.write(judged, "pairs")
         adds.append(judged.where("inside").groupBy("a").agg(F.sum("w").alias("w")))
         leaves.append(judged.where("NOT inside AND NOT open_a AND NOT open_b").select("a", "b"))
         rest = judged.where("NOT inside AND (open_a OR open_b)").select("a", "b")
         if rest.isEmpty():
             break
-        split = rest
-        for side in "ab":
-            found = kids.select(F.col("parent").alias(side), F.col("kids").alias("k"))
-            other = "b" if side == "a" else "a"
-            split = split.join(found, side, "left").selectExpr(other, f"explode(coalesce(k, array({side}))) AS {side}")
-        pairs = split.select("a", "b")
+        pairs = split(split(rest, "a", kids), "b", kids)
     every, open_ = adds[0], leaves[0]
     for x, y in zip(adds[1:], leaves[1:], strict=True):
         every, open_ = every.unionByName(x), open_.unionByName(y)
@@ -117,11 +55,11 @@ def range_counts(points: DataFrame, eps_km: float, leaf: int = LEAF) -> DataFram
     points share a place, and coordinates are valid."""
 
     scratch = Scratch(points.sparkSession, "range-count")
-    tree = _Tree(scratch, points, eps_km, leaf)
+    tree = CellTree(scratch, points, eps_km, leaf)
     adds, open_ = _settle(scratch, tree, eps_km)
     up = "transform(sequence(0, node.l), j -> named_struct('l', j, 'b', node.b, 'c', node.c, 'y', shiftright(node.y, node.l - j), 'x', shiftright(node.x, node.l - j)))"
     whole = tree.nodes.where("NOT open").selectExpr("node", f"explode({up}) AS a").join(adds, "a").groupBy("node").agg(F.sum("w").alias("n"))
-    packed = tree.points.groupBy("node").agg(F.collect_list(F.struct("pid", "lat", "lon", "w")).alias("p"))  # LEAF at most
+    packed = tree.packed()
     compared = open_.join(packed.selectExpr("node AS a", "p AS pa"), "a").join(packed.selectExpr("node AS b", "p AS pb"), "b")
     near = compared.selectExpr("pb", "inline(pa) AS (pid, lat, lon, wa)").selectExpr("pid", "lat", "lon", "inline(pb) AS (pid_b, lat_b, lon_b, w)").where(
         f"{haversine_sql('lat', 'lon', 'lat_b', 'lon_b')} <= {float(eps_km)!r}D").groupBy("pid").agg(F.sum("w").alias("n"))
