@@ -1,11 +1,12 @@
 """Points on the globe as a tree of cells with circles around their points.
 
 Points are dealt into the cells of a latitude-longitude grid, and a cell with
-more points than a leaf may hold is cut into four, again and again. A node knows
-its number of points, its weight and a circle: the middle of its cell and the
-distance of its furthest point. By the triangle inequality two nodes' circles
-bound the distances between all their points. Every level is a written table
-made by a map-side combined aggregate, so no task holds a cell's points.
+more points than a leaf may hold is cut into smaller ones, again and again. A
+node knows its number of points, its weight and a circle: the middle of its cell
+and the distance of its furthest point. By the triangle inequality two nodes'
+circles bound the distances between all their points. One map-side combined
+aggregate makes the cells of all levels (so no task holds a cell's points), and
+those below a leaf are dropped.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
 from wakeline.scratch import Scratch
 
 LEAF = 32
-DEPTH = 24  # cells of the last level are 2^24 times narrower than those of the first
+#: Halvings of a first cell's side at each level: sixteen children at most, or
+#: sixty-four in the first two steps down from the globe.
+FINE = tuple(range(0, 25, 2))
+GLOBE = (0, 3, 6, *range(8, 25, 2))
 SLACK_KM = 1e-7  # what rounding may do to a distance, by far
 
 
@@ -39,43 +43,52 @@ def grid_cell_sql(lat: str, lon: str, eps_km: float) -> tuple[str, str, str, flo
 class CellTree:
     """``nodes`` of all levels (node, n, w, r, lat, lon, parent, open: has it
     children) and the leaves' ``points`` (node, pid, lat, lon, w). The cells of
-    the first level have a diagonal below ``eps_km``. ``points``: pid, lat, lon,
-    w, of valid coordinates, no two at one place."""
+    the first level have a diagonal below ``eps_km``; a leaf holds ``leaf`` points
+    at most, unless they lie in one cell of the last level. ``points``: pid, lat,
+    lon, w, of valid coordinates, no two at one place."""
 
-    def __init__(self, scratch: Scratch, points: DataFrame, eps_km: float, leaf: int = LEAF):
+    def __init__(self, scratch: Scratch, points: DataFrame, eps_km: float, leaf: int = LEAF, levels: tuple[int, ...] = FINE):
+        self.levels = levels
         band, cells, cell, side = grid_cell_sql("lat", "lon", eps_km)
-        top = 1 << DEPTH
-        open_ = scratch.write(points.selectExpr("pid", "lat", "lon", "w", f"{band} AS b", f"{cells} AS k", f"{cell} AS c").selectExpr(
+        last = levels[-1]
+        top = 1 << last
+        base = points.selectExpr("pid", "lat", "lon", "w", f"{band} AS b", f"{cells} AS k", f"{cell} AS c").selectExpr(
             "*", f"CAST(least(greatest(floor(((lat + 90.0D) / {side!r}D - b) * {top}), 0), {top - 1}) AS BIGINT) AS iy",
-            f"CAST(least(floor(((lon + 180.0D) / 360.0D * k - floor((lon + 180.0D) / 360.0D * k)) * {top}), {top - 1}) AS BIGINT) AS ix"), "points")
-        levels, leaves = [], []
-        for level in range(DEPTH + 1):
-            cut, parts = DEPTH - level, float(1 << level)
-            mid_lat = f"least(90.0D, (b + (shiftright(iy, {cut}) + 0.5D) / {parts}D) * {side!r}D - 90.0D)"
-            mid_lon = f"((c + (shiftright(ix, {cut}) + 0.5D) / {parts}D) * 360.0D / k - 180.0D)"
-            at = open_.selectExpr(
-                "*", f"named_struct('l', {level}, 'b', b, 'c', c, 'y', shiftright(iy, {cut}), 'x', shiftright(ix, {cut})) AS node",
-                f"{mid_lat} AS mlat", f"{mid_lon} AS mlon").selectExpr("*", f"{haversine_sql('lat', 'lon', 'mlat', 'mlon')} AS r")
-            nodes = scratch.write(at.groupBy("node").agg(
-                F.expr("count(1) AS n"), F.expr("sum(w) AS w"), F.expr("max(r) AS r"), F.expr("min(mlat) AS lat"), F.expr("min(mlon) AS lon")), "nodes")
-            levels.append(nodes)
-            more = nodes.where(f"n > {leaf}").select("node")
-            last = level == DEPTH or more.isEmpty()
-            here = at if last else at.join(nodes.where(f"n <= {leaf}").select("node"), "node", "left_semi")
-            leaves.append(here.select("node", "pid", "lat", "lon", "w"))
-            if last:
-                break
-            open_ = scratch.write(at.join(more, "node", "left_semi").select("pid", "lat", "lon", "w", "b", "k", "c", "iy", "ix"), "points")
-        self.depth = len(levels) - 1
-        nodes, points = levels[0], leaves[0]
-        for n, p in zip(levels[1:], leaves[1:], strict=True):
-            nodes, points = nodes.unionByName(n), points.unionByName(p)
-        up = "IF(node.l = 0, NULL, named_struct('l', node.l - 1, 'b', node.b, 'c', node.c, 'y', shiftright(node.y, 1), 'x', shiftright(node.x, 1)))"
-        self.nodes = scratch.write(nodes.selectExpr("*", f"{up} AS parent", f"n > {leaf} AND node.l < {self.depth} AS open"), "tree")
-        self.points = scratch.write(points, "leaves")
+            f"CAST(least(floor(((lon + 180.0D) / 360.0D * k - floor((lon + 180.0D) / 360.0D * k)) * {top}), {top - 1}) AS BIGINT) AS ix")
+        base = scratch.write(base, "points")
+
+        def node(level: int) -> str:
+            return f"named_struct('l', {level}, 'b', b, 'c', c, 'y', shiftright(iy, {last - level}), 'x', shiftright(ix, {last - level}))"
+
+        def place(level: int) -> str:
+            parts = float(1 << level)
+            mid_lat = f"least(90.0D, (b + (shiftright(iy, {last - level}) + 0.5D) / {parts}D) * {side!r}D - 90.0D)"
+            return f"{mid_lat}, 'mlon', (c + (shiftright(ix, {last - level}) + 0.5D) / {parts}D) * 360.0D / k - 180.0D"
+
+        none = "CAST(NULL AS STRUCT<l: INT, b: INT, c: INT, y: BIGINT, x: BIGINT>)"
+        each = ", ".join(
+            f"named_struct('node', {node(level)}, 'parent', {node(up) if up is not None else none}, 'mlat', {place(level)})"
+            for up, level in zip((None, *levels), levels, strict=False))
+        cells_ = base.selectExpr("lat", "lon", "w", f"inline(array({each}))").groupBy("node").agg(
+            F.expr("count(1) AS n"), F.expr("sum(w) AS w"), F.expr(f"max({haversine_sql('lat', 'lon', 'mlat', 'mlon')}) AS r"),
+            F.expr("min(mlat) AS lat"), F.expr("min(mlon) AS lon"), F.expr("first(parent) AS parent"))
+        cells_ = scratch.write(cells_, "cells")
+        full = cells_.where(f"n > {leaf}").selectExpr("node AS parent")
+        kept = cells_.join(full, "parent", "left_semi").unionByName(cells_.where("parent IS NULL"))
+        self.nodes = scratch.write(kept.selectExpr("node", "n", "w", "r", "lat", "lon", "parent", f"n > {leaf} AND node.l < {last} AS open"), "tree")
+        ends = self.nodes.where("NOT open").select("node")
+        self.points = scratch.write(base.selectExpr("pid", "lat", "lon", "w", f"explode(array({', '.join(node(v) for v in levels)})) AS node").join(
+            ends, "node").select("node", "pid", "lat", "lon", "w"), "leaves")
+
+    def ancestors(self, node: str) -> str:
+        """``node`` and the nodes above it, as an array."""
+
+        return (
+            f"transform(filter(array({', '.join(map(str, self.levels))}), j -> j <= {node}.l), j -> named_struct('l', j, 'b', {node}.b, 'c', {node}.c,"
+            f" 'y', shiftright({node}.y, {node}.l - j), 'x', shiftright({node}.x, {node}.l - j)))")
 
     def kids(self) -> DataFrame:
-        """(parent, kids): the children of every node that has some, four at most."""
+        """(parent, kids): the children of every node that has some, sixty-four at most."""
 
         return self.nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.collect_list("node").alias("kids"))
 

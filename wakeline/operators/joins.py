@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_sql
-from wakeline.operators.celltree import LEAF, SLACK_KM, CellTree, split
+from wakeline.operators.celltree import GLOBE, LEAF, SLACK_KM, CellTree, split
 from wakeline.operators.sequence import track_scan
 from wakeline.scratch import Scratch
 
@@ -131,7 +131,7 @@ def nearest_centre(
     known = centres.selectExpr(f"{centre_id} AS id", f"{centre_rank} AS rank", "CAST(center_lat AS DOUBLE) AS lat", "CAST(center_lon AS DOUBLE) AS lon").where(sound)
     first = known.groupBy("lat", "lon").agg(F.expr("min_by(struct(rank, id), struct(rank, id)) AS pid")).selectExpr("pid", "lat", "lon", "1L AS w")
     globe = math.pi * EARTH_RADIUS_KM / 0.7  # two cells, the hemispheres
-    a_tree, b_tree = CellTree(scratch, places, globe, leaf), CellTree(scratch, first, globe, leaf)
+    a_tree, b_tree = (CellTree(scratch, t, globe, leaf, GLOBE) for t in (places, first))
     a, b = (t.nodes.selectExpr(f"node AS {s}", f"lat AS lat_{s}", f"lon AS lon_{s}", f"r AS r_{s}", f"open AS open_{s}") for t, s in ((a_tree, "a"), (b_tree, "b")))
     kids_a, kids_b = a_tree.kids(), b_tree.kids()
     pairs = a.where("a.l = 0").select("a", F.lit(1e300).alias("most")).crossJoin(b.where("b.l = 0").select("b"))  # two by two at most

@@ -8,8 +8,7 @@ children looked at, and only between leaves at the border are points compared.
 For n points spread evenly over one radius that is about n^1.5 steps at worst,
 where all pairs are n^2; points in tight groups settle near the top.
 
-Each level of the tree and each round over pairs is a written table; everything
-is an equi-join on node ids. Points at one place are merged first.
+Each round over pairs is a written table; everything is an equi-join on node ids. Points at one place are merged first.
 """
 
 from __future__ import annotations
@@ -57,8 +56,7 @@ def range_counts(points: DataFrame, eps_km: float, leaf: int = LEAF) -> DataFram
     scratch = Scratch(points.sparkSession, "range-count")
     tree = CellTree(scratch, points, eps_km, leaf)
     adds, open_ = _settle(scratch, tree, eps_km)
-    up = "transform(sequence(0, node.l), j -> named_struct('l', j, 'b', node.b, 'c', node.c, 'y', shiftright(node.y, node.l - j), 'x', shiftright(node.x, node.l - j)))"
-    whole = tree.nodes.where("NOT open").selectExpr("node", f"explode({up}) AS a").join(adds, "a").groupBy("node").agg(F.sum("w").alias("n"))
+    whole = tree.nodes.where("NOT open").selectExpr("node", f"explode({tree.ancestors('node')}) AS a").join(adds, "a").groupBy("node").agg(F.sum("w").alias("n"))
     packed = tree.packed()
     compared = open_.join(packed.selectExpr("node AS a", "p AS pa"), "a").join(packed.selectExpr("node AS b", "p AS pb"), "b")
     near = compared.selectExpr("pb", "inline(pa) AS (pid, lat, lon, wa)").selectExpr("pid", "lat", "lon", "inline(pb) AS (pid_b, lat_b, lon_b, w)").where(
