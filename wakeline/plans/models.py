@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, RandomForestRegressor
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +30,7 @@ from wakeline.functions.numeric import ROUND_OFFSET
 from wakeline.operators.clean import column_medians
 from wakeline.operators.knn import nearest_rows, weighted_vote
 from wakeline.operators.track import wide_signature
+from wakeline.plans.trees import fit_forest
 
 SEED = 42
 MAX_DEPTH = 12  # of the forests' trees; the reference's grow without limit, Spark allows 30
@@ -361,33 +362,24 @@ def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def position_forest(train: DataFrame, horizons: Sequence[int], num_trees: int = 80, max_depth: int = 18,
                     min_leaf: int = 5) -> dict:
-    """One random-forest regressor per target column (Spark trees are
-    single-output); features median-imputed."""
+    """One forest for the latitude and longitude of all horizons; features
+    filled with their medians."""
 
     filled, med = impute_median(train, FORECAST_FEATURES)
-    va = VectorAssembler(inputCols=list(FORECAST_FEATURES), outputCol="features", handleInvalid="keep")
-    data = va.transform(filled).cache()
-    models = {}
-    for h in horizons:
-        for a in ("lat", "lon"):
-            t = f"target_{a}_{h}h"
-            models[t] = RandomForestRegressor(labelCol=t, numTrees=num_trees, maxDepth=min(max_depth, 30),
-                                              minInstancesPerNode=min_leaf, seed=SEED).fit(data)
-    data.unpersist()
-    return {"models": models, "medians": med}
+    targets = [f"target_{a}_{h}h" for h in horizons for a in ("lat", "lon")]
+    return {"forest": fit_forest(filled, FORECAST_FEATURES, targets, num_trees, max_depth, min_leaf, SEED), "medians": med}
 
 
 def predict_positions(bundle: dict, rows: DataFrame, prefix: str = "rf_") -> DataFrame:
-    med = bundle["medians"]
+    """``rows`` with ``<prefix>lat_<h>h`` and ``<prefix>lon_<h>h`` of every horizon."""
+
+    med, forest = bundle["medians"], bundle["forest"]
     filled = rows.crossJoin(F.broadcast(med.select(*[F.col(c).alias(f"_m_{c}") for c in FORECAST_FEATURES]))).selectExpr(
         *[c for c in rows.columns],
         *[f"coalesce(CAST({c} AS DOUBLE), _m_{c}, 0.0D) AS _f_{c}" for c in FORECAST_FEATURES],
     )
-    va = VectorAssembler(inputCols=[f"_f_{c}" for c in FORECAST_FEATURES], outputCol="features", handleInvalid="keep")
-    out = va.transform(filled)
-    for t, m in bundle["models"].items():
-        out = m.setPredictionCol(prefix + t.replace("target_", "")).transform(out)
-    return out.drop("features", *[f"_f_{c}" for c in FORECAST_FEATURES])
+    out = forest.predict(filled, [f"_f_{c}" for c in FORECAST_FEATURES], [prefix + t.removeprefix("target_") for t in forest.targets])
+    return out.drop(*[f"_f_{c}" for c in FORECAST_FEATURES])
 
 
 def random_search(train: DataFrame, n_iter: int = 12, cv_folds: int = 3, seed: int = SEED) -> DataFrame:
