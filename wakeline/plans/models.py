@@ -13,12 +13,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +25,7 @@ from wakeline.functions.numeric import ROUND_OFFSET
 from wakeline.operators.clean import column_medians
 from wakeline.operators.knn import nearest_rows, weighted_vote
 from wakeline.operators.track import wide_signature
+from wakeline.plans.boosting import fit_boosted
 from wakeline.plans.trees import fit_forest
 
 SEED = 42
@@ -195,8 +191,7 @@ def temporal_holdout(features: DataFrame, labels: DataFrame, first_ts: DataFrame
 
 # --------------------------------------------------------- ship types --
 
-def type_pipeline(kind: str, num_trees: int = 200, boost_iter: int = 300, boost_depth: int = 8,
-                  lr_iter: int = 2000, max_depth: int = MAX_DEPTH) -> Pipeline:
+def type_pipeline(kind: str, num_trees: int = 200, lr_iter: int = 2000, max_depth: int = MAX_DEPTH) -> Pipeline:
     """Preprocess + classifier. Numeric features are already imputed (exact
     medians) and, for logistic regression, standardised by the caller;
     categories are indexed (unknown kept) and one-hot encoded."""
@@ -210,8 +205,6 @@ def type_pipeline(kind: str, num_trees: int = 200, boost_iter: int = 300, boost_
         clf = LogisticRegression(maxIter=lr_iter, family="multinomial", weightCol="weight")
     elif kind == "random_forest":
         clf = RandomForestClassifier(numTrees=num_trees, weightCol="weight", seed=SEED, maxBins=64, maxDepth=max_depth)
-    elif kind == "xgboost":
-        clf = OneVsRest(classifier=GBTClassifier(maxIter=boost_iter, maxDepth=boost_depth, seed=SEED))
     else:
         raise ValueError(f"unknown model {kind!r}")
     return Pipeline(stages=[idx, ohe, lab, va, clf])
@@ -235,6 +228,37 @@ def prepare_type_rows(rows: DataFrame, medians: DataFrame | None = None, weighte
     return (balanced_weights(r, "shiptype") if weighted else r), medians
 
 
+def boost_columns(train: DataFrame) -> list[str]:
+    """The navigational statuses of the training rows, in order: one 0/1 feature each."""
+
+    found = train.select("navigationalstatus").where("navigationalstatus IS NOT NULL").distinct().orderBy("navigationalstatus")
+    return [r[0] for r in found.collect()]
+
+
+def boost_features(rows: DataFrame, status: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    flags = [F.coalesce((F.col("navigationalstatus") == s).cast("double"), F.lit(0.0)).alias(f"_st{i}") for i, s in enumerate(status)]
+    return rows.select("*", *flags), [*TYPE_NUMERIC, *(f"_st{i}" for i in range(len(status)))]
+
+
+def type_boost(train: DataFrame, rounds: int = 300, max_depth: int = 8) -> dict:
+    """Gradient boosting over prepared training rows: rate 0.1, four of five
+    rows for each tree."""
+
+    status = boost_columns(train)
+    ready, names = boost_features(train, status)
+    return {"model": fit_boosted(ready, names, "shiptype", rounds, max_depth, seed=SEED), "status": status}
+
+
+def boosted_types(bundle: dict, rows: DataFrame) -> DataFrame:
+    """Prepared rows with ``prob``, ``prediction`` and ``predicted_shiptype``."""
+
+    ready, names = boost_features(rows, bundle["status"])
+    scored = bundle["model"].predict(ready, names, "prob").drop(*[c for c in names if c.startswith("_st")])
+    classes = F.array(*[F.lit(c) for c in bundle["model"].classes])
+    best = F.array_position("prob", F.array_max("prob"))
+    return scored.withColumn("prediction", (best - 1).cast("double")).withColumn("predicted_shiptype", F.element_at(classes, best.cast("int")))
+
+
 def fit_type_model(train: DataFrame, kind: str, **kw) -> PipelineModel:
     return type_pipeline(kind, **kw).fit(train)
 

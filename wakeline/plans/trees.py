@@ -71,9 +71,13 @@ def _best_splits(sums: np.ndarray, total: np.ndarray, min_leaf: float) -> tuple[
     return np.where(best > 1e-12 * np.maximum(1.0, np.abs(base)), best, 0.0), at
 
 
-def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, width: int, depth: int, min_leaf: float, code: int = 1) -> list[tuple]:
+def grow(
+    bins: np.ndarray, y: np.ndarray, w: np.ndarray, width: int, depth: int, min_leaf: float, code: int = 1, newton: bool = False,
+) -> list[tuple]:
     """The nodes (code, feature, bin, value) of the tree below ``code`` over all
-    rows given; leaves have feature -1. The children of c are 2c and 2c + 1."""
+    rows given; leaves have feature -1. The children of c are 2c and 2c + 1. A
+    value is the mean of y, or with ``newton`` (y: indicator minus probability)
+    the sum of y over that of its curvature plus one."""
 
     out: list[tuple] = []
     centre = (y * w[:, None]).sum(axis=0) / w.sum()
@@ -88,7 +92,11 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, width: int, depth: int,
                 g, b = _best_splits(_sums(at[rows], bins[rows, f], stats[:, rows], len(codes), width), total, min_leaf)
                 better = g > gain
                 gain[better], feature[better], cut[better] = g[better], f, b[better]
-        value = total[:, 1:] / total[:, :1] + centre
+        if newton:
+            curve = np.stack([np.bincount(at[rows], weights=c[rows], minlength=len(codes)) for c in (np.abs(y) * (1 - np.abs(y)) * w[:, None]).T], axis=1)
+            value = (total[:, 1:] + centre * total[:, :1]) / (curve + 1.0)
+        else:
+            value = total[:, 1:] / total[:, :1] + centre
         out += [(int(c), int(f), int(b), v) for c, f, b, v in zip(codes, feature, cut, value, strict=True)]
         split = feature >= 0
         if not split.any():
@@ -102,6 +110,20 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, width: int, depth: int,
     return out
 
 
+def add_trees(bins: np.ndarray, trees: Sequence[tuple], total: np.ndarray) -> np.ndarray:
+    """``total`` plus every tree's value for each row."""
+
+    for feature, cut, child, value in trees:
+        at = np.zeros(len(bins), dtype=np.int64)
+        rows = np.arange(len(bins))
+        while len(rows):
+            rows = rows[feature[at[rows]] >= 0]
+            node = at[rows]
+            at[rows] = child[node] + (bins[rows, feature[node]] > cut[node])
+        total = total + value[at]
+    return total
+
+
 class _Top:
     """The splits of one tree's large nodes, as sorted arrays."""
 
@@ -129,6 +151,41 @@ def _read(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray,
     return batch.column("u").to_numpy(), bins, y
 
 
+class Plain:
+    """Rows as they are, drawn by Poisson weights."""
+
+    newton = False
+
+    def __init__(self, features: int, seed: int):
+        self.features, self.seed = features, seed
+
+    def rows(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _read(batch, self.features)
+
+    def draw(self, ids: np.ndarray, tree: int) -> np.ndarray:
+        return _weights(ids, tree, self.seed)
+
+
+def read_bins(rows: DataFrame, features: Sequence[str], scratch: Scratch, extra: Sequence = ()) -> tuple[DataFrame, list[np.ndarray], int]:
+    """(table, edges, width): rows (u, bins and the columns ``extra``) with one
+    byte per feature, the bin edges, and the largest number of bins."""
+
+    edges = [np.unique(q) for q in rows.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 1 / (8 * BINS))]
+    dim, width = len(features), max(len(e) for e in edges) + 1
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, dim)
+            bins = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1).astype(np.uint8)
+            rest = [c for c in batch.schema.names if c not in ("u", "x")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u"), pa.array([b.tobytes() for b in bins], pa.binary()), *(batch.column(c) for c in rest)], names=["u", "bins", *rest])
+
+    plain = scratch.write(rows.select(F.monotonically_increasing_id().alias("u"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"), *extra), "rows")
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in plain.schema.fields if f.name not in ("u", "x"))
+    return scratch.write(plain.mapInArrow(pack, f"u long, bins binary{kinds}"), "binned"), edges, width
+
+
 class Forest:
     """Bin edges by feature, and trees as arrays: node 0 is the root, a leaf's
     feature is -1."""
@@ -138,16 +195,7 @@ class Forest:
 
     def _values(self, x: np.ndarray) -> np.ndarray:
         bins = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(self.edges)], axis=1)
-        total = np.zeros((len(x), len(self.targets)))
-        for feature, cut, child, value in self.trees:
-            at = np.zeros(len(x), dtype=np.int64)
-            rows = np.arange(len(x))
-            while len(rows):
-                rows = rows[feature[at[rows]] >= 0]
-                node = at[rows]
-                at[rows] = child[node] + (bins[rows, feature[node]] > cut[node])
-            total += value[at]
-        return total / len(self.trees)
+        return add_trees(bins, self.trees, np.zeros((len(x), len(self.targets)))) / len(self.trees)
 
     def predict(self, rows: DataFrame, features: Sequence[str], outputs: Sequence[str]) -> DataFrame:
         """``rows`` with a column for each target; no feature is null. The
@@ -175,32 +223,27 @@ def fit_forest(
     targets are doubles without nulls, and there is at least one row."""
 
     scratch = Scratch(rows.sparkSession, "trees")
-    edges = [np.unique(q) for q in rows.approxQuantile(list(features), [i / BINS for i in range(1, BINS)], 1 / (8 * BINS))]
-    dim, width = len(features), max(len(e) for e in edges) + 1
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, dim)
-            bins = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column("u"), pa.array([b.tobytes() for b in bins], pa.binary()), batch.column("y")], names=["u", "bins", "y"])
-
-    def doubles(names: Sequence[str]):
-        return F.array(*[F.col(c).cast("double") for c in names])
-
-    plain = scratch.write(rows.select(F.monotonically_increasing_id().alias("u"), doubles(features).alias("x"), doubles(targets).alias("y")), "rows")
-    table = scratch.write(plain.mapInArrow(pack, "u long, bins binary, y array<double>"), "binned")
+    y = F.array(*[F.col(c).cast("double") for c in targets]).alias("y")
+    table, edges, width = read_bins(rows, features, scratch, [y])
+    source = Plain(len(features), seed)
     n = table.count()
     wave = max(1, min(trees, WAVE_ROWS // max(n, 1)))
     model = []
     for first in range(0, trees, wave):
-        model.append(scratch.write(_wave(table, range(first, min(first + wave, trees)), n, dim, width, len(targets), max_depth, min_leaf, seed, local_rows), "wave"))
+        model.append(scratch.write(grow_wave(table, range(first, min(first + wave, trees)), n, source, width, len(targets), max_depth, min_leaf, local_rows), "wave"))
     nodes = model[0]
     for more in model[1:]:
         nodes = nodes.unionByName(more)
+    return Forest(edges, read_trees(nodes, len(targets)), targets)
+
+
+def read_trees(nodes: DataFrame, targets: int) -> list[tuple]:
+    """The trees of NODE rows, in their order, as arrays."""
+
     by_tree: dict[int, dict[int, tuple]] = {}
     for r in nodes.toArrow().to_pylist():
         by_tree.setdefault(r["tree"], {})[r["code"]] = (r["feature"], r["bin"], r["value"])
-    return Forest(edges, [_arrays(by_tree[t], len(targets)) for t in sorted(by_tree)], targets)
+    return [_arrays(by_tree[t], targets) for t in sorted(by_tree)]
 
 
 def _arrays(nodes: dict[int, tuple], targets: int) -> tuple:
@@ -215,17 +258,18 @@ def _arrays(nodes: dict[int, tuple], targets: int) -> tuple:
     return feature, cut, child, np.array([nodes[c][2] if nodes[c][0] < 0 else [0.0] * targets for c in order])
 
 
-def _wave(
-    table: DataFrame, trees: range, n: int, dim: int, width: int, targets: int, max_depth: int, min_leaf: int, seed: int, local_rows: int,
+def grow_wave(
+    table: DataFrame, trees: range, n: int, source: Plain, width: int, targets: int, max_depth: int, min_leaf: int, local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
-    """NODE rows of the trees."""
+    """NODE rows of the trees over a table of ``n`` rows; ``source`` says what a
+    batch's ids, bins and targets are and how rows are drawn for a tree."""
 
-    spark = table.sparkSession
+    spark, dim = table.sparkSession, source.features
     top: dict[int, dict[int, tuple[int, int]]] = {t: {} for t in trees}
     large = [(t, 1) for t in trees] if n > local_rows else []
     while large:
         now, large = large[:NODES_PER_PASS], large[NODES_PER_PASS:]
-        for t, code, f, b, low, high in _level(table, top, now, dim, width, targets, min_leaf, seed):
+        for t, code, f, b, low, high in _level(table, top, now, source, width, targets, min_leaf):
             if f >= 0:
                 top[t][code] = (f, b)
                 deeper = (2 * code).bit_length() - 1 < max_depth
@@ -235,13 +279,14 @@ def _wave(
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, bins, _ = _read(batch, dim)
+            ids, bins, y = source.rows(batch)
             for t, place in shared.value.items():
-                w = _weights(ids, t, seed)
+                w = source.draw(ids, t)
                 took = np.flatnonzero(w)
-                picked = batch.take(pa.array(took))
+                ends = pa.array(np.arange(len(took) + 1, dtype=np.int32) * targets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(took), t, dtype=np.int32)), pa.array(place.place(bins[took])), pa.array(w[took]), picked.column("bins"), picked.column("y")],
+                    [pa.array(np.full(len(took), t, dtype=np.int32)), pa.array(place.place(bins[took])), pa.array(w[took]),
+                     batch.column("bins").take(pa.array(took)), pa.ListArray.from_arrays(ends, pa.array(y[took].ravel()))],
                     names=["tree", "code", "w", "bins", "y"])
 
     def finish(key: tuple, rows: pa.Table) -> pa.Table:
@@ -250,7 +295,7 @@ def _wave(
         bins = np.frombuffer(b"".join(rows.column("bins").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, dim).astype(np.int64)
         y, w = rows.column("y").flatten().to_numpy().reshape(rows.num_rows, -1), rows.column("w").to_numpy()
         by = np.lexsort((*y.T, *bins.T, w))  # the order in which rows arrive does not matter
-        made = grow(bins[by], y[by], w[by], width, max_depth - (code.bit_length() - 1), min_leaf, code)
+        made = grow(bins[by], y[by], w[by], width, max_depth - (code.bit_length() - 1), min_leaf, code, source.newton)
         return pa.table({
             "tree": pa.array([key[0].as_py()] * len(made), pa.int32()), "code": pa.array([m[0] for m in made], pa.int64()),
             "feature": pa.array([m[1] for m in made], pa.int32()), "bin": pa.array([m[2] for m in made], pa.int32()),
@@ -261,10 +306,11 @@ def _wave(
     return small.unionByName(spark.createDataFrame(upper, NODE)) if upper else small
 
 
-def _level(table: DataFrame, top: dict, now: list, dim: int, width: int, targets: int, min_leaf: int, seed: int) -> list[tuple]:
+def _level(table: DataFrame, top: dict, now: list, source: Plain, width: int, targets: int, min_leaf: int) -> list[tuple]:
     """(tree, code, feature, bin, weight left, weight right) for the nodes
     ``now``; feature -1 where no split is left."""
 
+    dim = source.features
     wanted: dict[int, list[int]] = {}
     for t, code in now:
         wanted.setdefault(t, []).append(code)
@@ -273,9 +319,9 @@ def _level(table: DataFrame, top: dict, now: list, dim: int, width: int, targets
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            ids, bins, y = _read(batch, dim)
+            ids, bins, y = source.rows(batch)
             for t, (place, codes) in shared.value.items():
-                w = _weights(ids, t, seed)
+                w = source.draw(ids, t)
                 code = place.place(bins)
                 at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
                 on = np.flatnonzero((codes[at] == code) & (w > 0))
