@@ -985,6 +985,11 @@ SQL["merge_sources"] = W(RAW_POINTS) + f"""
 SELECT {txt('rid')} AS rid, mmsi, CASE WHEN rid % 37 = 0 THEN NULL ELSE ts END AS ts,
   CASE WHEN rid % 2 = 0 THEN route_label END AS route_label
 FROM points_src WHERE mmsi IS NOT NULL AND rid % 37 <> 0"""
+SQL["merge_report"] = W(RAW_POINTS) + """
+SELECT count(*) FILTER (WHERE mmsi IS NOT NULL AND rid % 37 <> 0) AS total_rows,
+  count(DISTINCT mmsi) FILTER (WHERE mmsi IS NOT NULL AND rid % 37 <> 0) AS vessels,
+  count(*) FILTER (WHERE mmsi IS NULL OR rid % 37 = 0) AS dropped_rows
+FROM points_src"""
 SQL["union_sources"] = W(RAW_POINTS) + "\nSELECT rid, mmsi, ts FROM points_src"
 SQL["new_ids_after_clean"] = W(HOURLY_POINTS) + """
 , nb AS (SELECT DISTINCT mmsi FROM points_src), na AS (SELECT DISTINCT mmsi FROM hourly_points)

@@ -7,6 +7,7 @@ are rounded with ``round_doubles`` so they compare across engines.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,10 @@ from wakeline.operators import joins as J
 from wakeline.operators import track as T
 from wakeline.operators import vessel as V
 from wakeline.plans import models as ML
-from wakeline.plans.stages import source_tag, stage_table
+from wakeline.plans.stages import source_tag, stage_path, stage_table
 from wakeline.scratch import Scratch
 from wakeline.sources import fixtures as X
+from wakeline.streaming import ais_stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -655,9 +657,12 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("read_points")
 def q_read_points(spark, sf_dir):
-    """Header variants → canonical names (values still text)."""
+    """Reports written as CSV and read back: header variants → canonical names
+    (values still text)."""
 
-    return C.project_keep(C.require_columns(C.normalize_columns(raw_text(spark, sf_dir))))
+    path = f"{Scratch(spark, 'csv').root}/points.csv"
+    raw_text(spark, sf_dir).write.option("header", True).csv(path)
+    return R.read_text_points(spark, path)
 
 
 @query("coerce_types")
@@ -720,13 +725,30 @@ def q_fill_constants(spark, sf_dir):
     return round_doubles(clean(spark, sf_dir).select("rid", "sog", "cog"))
 
 
+def csv_sources(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV sources with two headers: the even reports, and the odd
+    ones without a route column."""
+
+    t = raw_text(spark, sf_dir)
+    folder = Scratch(spark, "csv").root
+    t.where("CAST(rid AS BIGINT) % 2 = 0").write.option("header", True).csv(f"{folder}/even.csv")
+    t.where("CAST(rid AS BIGINT) % 2 = 1").drop("Route").write.option("header", True).csv(f"{folder}/odd.csv")
+    return folder
+
+
 @query("merge_sources")
 def q_merge_sources(spark, sf_dir):
-    t = raw_text(spark, sf_dir)
-    a = t.where("CAST(rid AS BIGINT) % 2 = 0")
-    b = t.where("CAST(rid AS BIGINT) % 2 = 1").drop("Route")
-    merged, _ = R.merge_frames([a, b])
-    return merged.select("rid", "mmsi", "ts", "route_label")
+    """CSV sources of two headers, written, listed and merged."""
+
+    return R.merge_sources(spark, csv_sources(spark, sf_dir)).select("rid", "mmsi", "ts", "route_label")
+
+
+@query("merge_report")
+def q_merge_report(spark, sf_dir):
+    """The merge written as CSV, with its counts from the same pass."""
+
+    folder = csv_sources(spark, sf_dir)
+    return R.write_merged(spark, folder, f"{folder}/merged.csv").drop("files")
 
 
 @query("union_sources")
@@ -1235,35 +1257,32 @@ def q_forecast_paths(spark, sf_dir):
 # -------------------------------------------------------------- streaming --
 
 def raw_points_stage(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
-    from wakeline.plans.stages import stage_path
-
     df = stage_table(spark, "raw_points", sf_dir, lambda: X.ais_points(spark, sf_dir))
     return stage_path(spark, "raw_points", sf_dir), df.schema
 
 
+def stream_name(kind: str, path: str) -> str:
+    """A stream's name, from the folder that it reads (which is itself named by
+    the input's files and the code)."""
+
+    return f"{kind}-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
 @query("hourly_resample_stream")
 def q_hourly_resample_stream(spark, sf_dir):
     """The hourly resample as a Structured Streaming job over the point files."""
 
-    from wakeline.streaming import ais_stream as ST
-
     path, schema = raw_points_stage(spark, sf_dir)
-    stream = ST.read_point_stream(spark, path, schema)
-    import hashlib
-
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-    return round_doubles(ST.run_available_now(ST.hourly_resample_stream(stream), f"hourly-{tag}"))
+    hours = ST.hourly_resample_stream(ST.read_point_stream(spark, path, schema))
+    return round_doubles(ST.latest(ST.run_available_now(hours, stream_name("hourly", path), "update"), ["mmsi", "ts"]))
 
 
 @query("stop_events_stream")
 def q_stop_events_stream(spark, sf_dir):
-    from wakeline.streaming import ais_stream as ST
-
-    from wakeline.plans.stages import stage_path
+    """Stops as a streaming job: the finished ones, and those still open."""
 
     cleaned = clean(spark, sf_dir)
-    stream = ST.read_point_stream(spark, stage_path(spark, "clean_points", sf_dir), cleaned.schema)
-    import hashlib
-
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-    return round_doubles(ST.run_available_now(ST.stop_events_stream(stream), f"stops-{tag}"))
+    path = stage_path(spark, "clean_points", sf_dir)
+    stops_ = ST.stop_events_stream(ST.read_point_stream(spark, path, cleaned.schema))
+    closed = ST.run_available_now(stops_, stream_name("stops", path)).drop("epoch")
+    return round_doubles(ST.with_open_stops(closed, cleaned))
