@@ -13,6 +13,7 @@ from wakeline.operators.celltree import grid_cell_sql
 from wakeline.operators.components import connected_components as contract_components
 from wakeline.functions.geo import haversine_sql
 from wakeline.operators.joins import grid_pairs
+from wakeline.operators.quantiles import grouped_quantiles
 from wakeline.operators.range_count import range_counts
 from wakeline.operators.ranking import global_row_number
 from wakeline.scratch import Scratch
@@ -214,18 +215,15 @@ def assign_route(scaled: DataFrame, centroids: DataFrame, label: str = "route_la
 def anomaly_thresholds(distances: DataFrame, quantile: float = ANOMALY_QUANTILE,
                        label: str = "route_label") -> DataFrame:
     """Quantile (clamped 0.5..0.999) of the route distance per label and over
-    all (label NULL = global), plus global mean and population std — one
-    ``GROUPING SETS`` aggregate."""
+    all (label NULL = global), plus mean and population std; the quantiles by
+    ``grouped_quantiles``, so neither a hot route nor all vessels meet in a task."""
 
     q = min(max(float(quantile), 0.5), 0.999)
-    distances.createOrReplaceTempView("_wl_route_dist")
-    spark = distances.sparkSession
-    return spark.sql(
-        f"""SELECT {label}, percentile(route_distance, {q}D) AS threshold,
-                   avg(route_distance) AS mean_distance, stddev_pop(route_distance) AS std_distance,
-                   count(1) AS vessels
-            FROM _wl_route_dist GROUP BY GROUPING SETS (({label}), ())"""
-    )
+    both = distances.selectExpr(f"inline(array(struct(false AS every, CAST({label} AS STRING) AS l), struct(true AS every, '' AS l)))", "route_distance AS value")
+    cuts = grouped_quantiles(both.where("l IS NOT NULL"), ["every", "l"], [q]).withColumnRenamed("value", "threshold")
+    stats = both.groupBy("every", "l").agg(
+        F.expr("avg(value) AS mean_distance"), F.expr("stddev_pop(value) AS std_distance"), F.expr("count(1) AS vessels"))
+    return stats.join(cuts, ["every", "l"], "left").selectExpr(f"IF(every, NULL, l) AS {label}", "threshold", "mean_distance", "std_distance", "vessels")
 
 
 def threshold_lookup(assigned: DataFrame, thresholds: DataFrame, label: str = "predicted_route",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.quantiles import grouped_quantiles
 from wakeline.operators.track import PATTERN_POINTS, TRACK_POINTS, split_gaps, track_line_points, track_signature
 
 REPRESENTATIVE_FEATURES = ("start_lat", "start_lon", "end_lat", "end_lon", "duration_hours", "total_distance_km",
@@ -96,15 +97,16 @@ def representative_vessel(predictions: DataFrame, points: DataFrame) -> DataFram
 
     counts = points.groupBy("mmsi").agg(F.expr("count(1) AS _n")).where("_n >= 2")
     cand = predictions.join(counts.select("mmsi"), "mmsi", "left_semi")
-    stats = []
-    for c in REPRESENTATIVE_FEATURES:
-        stats += [
-            F.expr(f"percentile({c}, 0.5) AS _med_{c}"),
-            F.expr(f"percentile({c}, 0.75) - percentile({c}, 0.25) AS _iqr_{c}"),
-            F.expr(f"stddev_samp({c}) AS _sd_{c}"),
-            F.expr(f"count({c}) AS _cnt_{c}"),
-        ]
-    st = cand.groupBy("predicted_route").agg(*stats)
+    names = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in REPRESENTATIVE_FEATURES)
+    values = cand.where("predicted_route IS NOT NULL").selectExpr("predicted_route", f"stack({len(REPRESENTATIVE_FEATURES)}, {names}) AS (name, value)")
+    quartiles = grouped_quantiles(values, ["predicted_route", "name"], [0.25, 0.5, 0.75])
+    pick = "max(CASE WHEN name = '{c}' AND q = {q}D THEN value END)"
+    cuts = quartiles.groupBy("predicted_route").agg(*[
+        F.expr(e) for c in REPRESENTATIVE_FEATURES for e in (
+            f"{pick.format(c=c, q=0.5)} AS _med_{c}", f"{pick.format(c=c, q=0.75)} - {pick.format(c=c, q=0.25)} AS _iqr_{c}")])
+    spread = cand.groupBy("predicted_route").agg(*[
+        F.expr(e) for c in REPRESENTATIVE_FEATURES for e in (f"stddev_samp({c}) AS _sd_{c}", f"count({c}) AS _cnt_{c}")])
+    st = spread.join(cuts, "predicted_route", "left")
     terms = []
     for c in REPRESENTATIVE_FEATURES:
         scale = (f"CASE WHEN _iqr_{c} IS NOT NULL AND _iqr_{c} > 0 THEN _iqr_{c} "
