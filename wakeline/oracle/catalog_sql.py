@@ -4,10 +4,22 @@ SQL over the fixture CTEs). Floating columns are rounded with the same
 
 from __future__ import annotations
 
+import re
+
 from wakeline.oracle.fixture_sql import CLEAN_POINTS, RAW_POINTS, bearing, haversine
 
 SQL: dict[str, str] = {}
 
+# The early feature columns.
+EARLY_BASE = (
+    "early_point_count", "early_duration_hours", "early_start_lat", "early_start_lon", "early_observed_lat",
+    "early_observed_lon", "early_mean_lat", "early_mean_lon", "early_std_lat", "early_std_lon", "early_min_lat",
+    "early_max_lat", "early_min_lon", "early_max_lon", "early_mean_sog", "early_std_sog", "early_max_sog",
+    "early_slow_point_ratio", "early_mean_cog_sin", "early_mean_cog_cos", "width", "length", "draught", "shiptype",
+    "early_total_distance_km", "early_displacement_km", "early_straightness_ratio", "early_bearing_sin",
+    "early_bearing_cos",
+)
+
 
 def r6(x: str) -> str:
     return f"CAST(floor(({x}) * 1000000.0 + 0.4999847) / 1000000.0 AS DOUBLE)"
@@ -906,14 +918,14 @@ for _h in HZ:
         f"CASE WHEN w{_h} <= 0.0 THEN 'dead_reckoning' WHEN w{_h} >= 1.0 THEN 'random_forest'"
         f" ELSE 'rf_dead_reckoning_blend' END AS prediction_method_{_h}h",
     ]
-SQL["forecast_latest"] = rounded(W(BLEND) + f"""
+_FORECAST = W(BLEND) + f"""
 , fl_last AS (
   SELECT * FROM forecast_points QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY ts DESC, lat DESC, lon DESC, rid DESC) = 1
 ),
 fl_dr AS (SELECT *, {DR_COLS} FROM fl_last)
 SELECT mmsi, ts AS start_timestamp, lat AS start_lat, lon AS start_lon, {", ".join(LATEST_COLS)}
-FROM fl_dr CROSS JOIN (SELECT {W_ROW})""".replace("\n, fl_last AS", ",\nfl_last AS", 1).replace(
-    "SELECT * FROM blend_w", ""), ["start_lat", "start_lon"] + [
+FROM fl_dr CROSS JOIN (SELECT {W_ROW})""".replace("\n, fl_last AS", ",\nfl_last AS", 1).replace("SELECT * FROM blend_w", "")
+SQL["forecast_latest"] = rounded(_FORECAST, ["start_lat", "start_lon"] + [
     f"{p}{a}_{h}h" for h in HZ for p in ("pred_", "rf_pred_", "dead_reckoning_pred_") for a in ("lat", "lon")
 ] + [f"rf_weight_{h}h" for h in HZ])
 SQL["clip_columns"] = rounded(W(FORECAST_POINTS) + f"""
@@ -1167,6 +1179,82 @@ SELECT predicted_route, arg_min(mmsi, (score, mmsi)) AS representative_mmsi, min
 FROM rv GROUP BY predicted_route""".replace("\n, rv_c AS", "SELECT * FROM (WITH rv_c AS", 1) + ")", ("score",))
 
 
+def renamed(ctes: str, prefix: str, names: str) -> str:
+    """CTE text with the CTEs ``names`` (a pattern) called otherwise, for a
+    second use beside the first."""
+
+    return re.sub(rf"\b({names})\b", rf"{prefix}\1", ctes)
+
+
+def lines_of(n_max: int, out: str) -> str:
+    return LINE_POINTS[: LINE_POINTS.index("line_points_1")] + downsample_sql("lp_dedup", n_max, out).strip()
+
+
+_SELECTED = "SELECT mmsi FROM predictions ORDER BY is_anomaly DESC, predicted_route_probability DESC, mmsi LIMIT 800"
+_ACTUAL = f"""
+at_lines AS (
+  SELECT mmsi, list([{rc('lon')}, {rc('lat')}] ORDER BY keep_idx) AS coordinates, arg_max(lon, keep_idx) AS latest_lon, arg_max(lat, keep_idx) AS latest_lat
+  FROM line_points WHERE mmsi IN ({_SELECTED}) GROUP BY mmsi
+)"""
+SQL["actual_tracks"] = P_(",\n" + LINE_POINTS.strip() + ",\n" + _ACTUAL + "\nSELECT * FROM at_lines", ("latest_lon", "latest_lat"))
+SQL["ship_points"] = P_(",\n" + LINE_POINTS.strip() + ",\n" + _ACTUAL + """
+SELECT p.mmsi, coalesce(latest_lon, end_lon) AS lon, coalesce(latest_lat, end_lat) AS lat, predicted_route, is_anomaly, predicted_route_probability
+FROM predictions p LEFT JOIN at_lines l USING (mmsi)""", ("lon", "lat", "predicted_route_probability"))
+SQL["representative_track"] = P_(f""",
+rv_c AS (SELECT * FROM predictions WHERE mmsi IN (SELECT mmsi FROM clean_points GROUP BY mmsi HAVING count(*) >= 2)),
+rv_s AS (SELECT predicted_route, {_rep_stats} FROM rv_c GROUP BY predicted_route),
+rv AS (SELECT c.predicted_route, c.mmsi, {_rep_terms} - coalesce(c.predicted_route_probability, 0.0) AS score
+       FROM rv_c c JOIN rv_s s USING (predicted_route)),
+rep AS (SELECT predicted_route, arg_min(mmsi, (score, mmsi)) AS mmsi FROM rv GROUP BY predicted_route),
+{lines_of(140, "rep_line").strip()},
+rt1 AS (
+  SELECT mmsi, ts, CASE WHEN plat IS NOT NULL AND {haversine('plat', 'plon', 'lat', 'lon')} > 80.0 THEN 1 ELSE 0 END AS brk
+  FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM rep_line WHERE mmsi IN (SELECT mmsi FROM rep)
+        WINDOW w AS (PARTITION BY mmsi ORDER BY ts, lat, lon))
+),
+rt2 AS (SELECT *, sum(brk) OVER (PARTITION BY mmsi ORDER BY ts ROWS UNBOUNDED PRECEDING) AS piece FROM rt1),
+rt3 AS (SELECT *, count(*) OVER (PARTITION BY mmsi, piece) AS ps FROM rt2),
+rt4 AS (SELECT *, count(DISTINCT CASE WHEN ps >= 2 THEN piece END) OVER (PARTITION BY mmsi) AS np FROM rt3)
+SELECT predicted_route, mmsi, ts, CAST(CASE WHEN np = 0 THEN 0 ELSE piece END AS BIGINT) AS piece
+FROM rt4 JOIN rep USING (mmsi) WHERE np = 0 OR ps >= 2""")
+SQL["average_centerline"] = P_(",\n" + renamed(signature_sql("clean_points", 140), "ac_", "g[1-5]|sig").strip() + """,
+ac AS (SELECT predicted_route, step, avg(lat) AS lat, avg(lon) AS lon FROM ac_sig JOIN predictions USING (mmsi) GROUP BY predicted_route, step)
+SELECT predicted_route, step, lat, lon FROM (
+  SELECT *, lag(lat) OVER w AS pl, lag(lon) OVER w AS po FROM ac WINDOW w AS (PARTITION BY predicted_route ORDER BY step))
+WHERE pl IS NULL OR NOT (pl = lat AND po = lon)""", ("lat", "lon"))
+SQL["geojson_anomaly_tracks"] = P_(f""",
+an AS (
+  SELECT c.mmsi, c.lat, c.lon, row_number() OVER (PARTITION BY c.mmsi ORDER BY ts, c.lat, c.lon) - 1 AS i
+  FROM clean_points c WHERE c.mmsi IN (SELECT mmsi FROM predictions WHERE is_anomaly)
+),
+an_in AS (
+  SELECT mmsi, i // 1000 AS piece, i, lat, lon FROM an
+  UNION ALL SELECT mmsi, i // 1000 + 1, i, lat, lon FROM an WHERE i % 1000 = 999
+),
+an_lines AS (
+  SELECT mmsi, CAST(piece AS BIGINT) AS piece, list([{rc('lon')}, {rc('lat')}] ORDER BY i) AS coordinates
+  FROM an_in GROUP BY mmsi, piece HAVING count(*) >= 2
+)
+SELECT l.*, p.anomaly_score, p.predicted_route FROM an_lines l JOIN predictions p USING (mmsi)""", ("anomaly_score",))
+_LEGS = ", ".join(f"[dead_reckoning_pred_lon_{h}h, dead_reckoning_pred_lat_{h}h]" for h in HZ)
+SQL["forecast_paths"] = f"""
+SELECT mmsi, list_transform(legs, lambda p: list_transform(p, lambda v: {r6('v')})) AS coordinates
+FROM (
+  SELECT f.mmsi, list_filter([[coalesce(start_lon, end_lon), coalesce(start_lat, end_lat)], {_LEGS}], lambda p: p[1] IS NOT NULL AND p[2] IS NOT NULL) AS legs
+  FROM ({_FORECAST}) f JOIN ({P_("SELECT mmsi, end_lat, end_lon FROM predictions")}) p USING (mmsi)
+) WHERE len(list_distinct(list_transform(legs, lambda p: list_transform(p, lambda v: round(v, 9))))) >= 2"""  # engines differ in the last bit
+_EARLY = tuple(c for c in EARLY_BASE if c not in ("width", "length", "draught", "shiptype"))
+_STATIC = ("width", "length", "draught", "shiptype")
+_WIDE = [f"early_{a}_{k:02d}" for a in ("lat", "lon") for k in range(24)]
+SQL["early_feature_matrix"] = rounded(
+    W(CLEAN_POINTS, EARLY_POINTS, track_features_sql("early_points", "early_", static=False, observed=True), signature_sql("early_points"),
+      "st AS (SELECT mmsi, " + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0.0) AS {c}" for c in _STATIC) + " FROM clean_points GROUP BY mmsi)",
+      "wide AS (SELECT mmsi, " + ", ".join(
+          f"max(CASE WHEN step = {int(c[-2:])} THEN {c.split('_')[1]} END) AS {c}" for c in _WIDE) + " FROM sig GROUP BY mmsi)")
+    + f"\nSELECT mmsi, {', '.join((*_EARLY, *_STATIC, *_WIDE))} FROM feat JOIN st USING (mmsi) JOIN wide USING (mmsi)",
+    tuple(c for c in (*_EARLY, *_STATIC, *_WIDE) if c != "early_point_count"))
+
+
 # -------------------------------------------------------------- streaming --
 
 SQL["hourly_resample_stream"] = rounded(W(RAW_POINTS, RANGED) + """
