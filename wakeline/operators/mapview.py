@@ -145,12 +145,13 @@ def average_centerline(points: DataFrame, predictions: DataFrame, n_points: int
 
 def forecast_paths(forecast: DataFrame, predictions: DataFrame, horizons=(1, 2, 3, 6)) -> DataFrame:
     """Start (forecast start, else the vessel's end point) followed by the
-    forecast positions of the horizons present; kept with ≥ 2 distinct points."""
+    forecast positions of the horizons present; kept with ≥ 2 distinct points
+    (further apart than 1e-9 degrees: the rest is rounding)."""
 
     present = [h for h in horizons if f"pred_lat_{h}h" in forecast.columns]
     j = forecast.join(predictions.select("mmsi", "end_lat", "end_lon"), "mmsi")
     pts = ", ".join(["array(coalesce(start_lon, end_lon), coalesce(start_lat, end_lat))"]
                     + [f"array(pred_lon_{h}h, pred_lat_{h}h)" for h in present])
     return j.selectExpr("mmsi", f"filter(array({pts}), p -> p[0] IS NOT NULL AND p[1] IS NOT NULL) AS coordinates").where(
-        "size(array_distinct(coordinates)) >= 2"
+        "size(array_distinct(transform(coordinates, p -> transform(p, v -> round(v, 9))))) >= 2"
     )

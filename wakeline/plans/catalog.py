@@ -919,6 +919,16 @@ def q_route_predict(spark, sf_dir):
     return round_doubles(P.score_routes(vessels(spark, sf_dir), assigned, dist))
 
 
+@query("strict_holdout")
+def q_strict_holdout(spark, sf_dir):
+    """The classifier on held-out vessels, with the given labels and with a route
+    catalog fitted on the training vessels alone."""
+
+    feats, sig = early_features(spark, sf_dir), signature(spark, sf_dir)
+    labels = route_labels(spark, sf_dir).select("mmsi", "route_label")
+    return round_doubles(ML.strict_holdout(feats, sig, labels).unionByName(ML.strict_holdout(feats, sig, None)))
+
+
 @query("temporal_holdout_routes")
 def q_temporal_holdout_routes(spark, sf_dir):
     feats = early_features(spark, sf_dir)

@@ -27,6 +27,7 @@ from wakeline.operators.knn import nearest_rows, weighted_vote
 from wakeline.operators.track import wide_signature
 from wakeline.plans.boosting import fit_boosted
 from wakeline.plans.trees import fit_forest
+from wakeline.scratch import Scratch
 
 SEED = 42
 MAX_DEPTH = 12  # of the forests' trees; the reference's grow without limit, Spark allows 30
@@ -189,6 +190,51 @@ def temporal_holdout(features: DataFrame, labels: DataFrame, first_ts: DataFrame
     return summary_metrics(pred, "route_label", "predicted_route")
 
 
+def strict_holdout(features: DataFrame, scaled_long: DataFrame, labels: DataFrame | None, test_size: float = 0.2, requested_clusters: int = 0,
+                   **forest) -> DataFrame:
+    """Route classifier scored on held-out vessels with nothing learned from
+    them: without ``labels`` (mmsi, route_label) the route catalog itself is
+    fitted on the training vessels' signatures (k-means), and the held-out
+    vessels get the nearest training route. One row: available, label_source,
+    train_rows, test_rows, route_classes_train, route_classes_test, accuracy,
+    macro_f1, weighted_f1; fewer than ten vessels are not available.
+    """
+
+    from wakeline.operators.cluster import assign_route, choose_cluster_count, label_centroids, scale_signature
+    from wakeline.operators.metrics import summary_metrics
+    from wakeline.operators.splits import group_split
+
+    spark = features.sparkSession
+    out = ("available boolean, label_source string, train_rows long, test_rows long, route_classes_train long, route_classes_test long,"
+           " accuracy double, macro_f1 double, weighted_f1 double")
+    if features.count() < 10:
+        return spark.createDataFrame([(False, None, None, None, None, None, None, None, None)], out)
+    split = group_split(features, "mmsi", min(max(float(test_size), 0.05), 0.5))
+    split = Scratch(spark, "holdout").write(split, "split")
+    train, test = (split.where(side).drop("is_test") for side in ("NOT is_test", "is_test"))
+    if labels is not None:
+        source = "existing_column"
+        known = labels.selectExpr("mmsi", "coalesce(CAST(route_label AS STRING), 'unknown_route') AS route_label")
+        y_train, y_test = (known.join(side.select("mmsi"), "mmsi", "left_semi") for side in (train, test))
+    else:
+        source = "train_fold_kmeans_signature"
+        own = scaled_long.join(train.select("mmsi"), "mmsi", "left_semi")
+        scaled, scaler = scale_signature(own)
+        wide = wide_signature(scaled, "route")
+        y_train, _ = route_kmeans(wide, choose_cluster_count(wide.count(), requested_clusters))
+        rest = scaled_long.join(test.select("mmsi"), "mmsi", "left_semi").join(F.broadcast(scaler), "step").selectExpr(
+            "mmsi", "step", "(lat - mean_lat) / scale_lat AS lat", "(lon - mean_lon) / scale_lon AS lon")
+        y_test = assign_route(rest, label_centroids(scaled, y_train)).select("mmsi", "route_label")
+    y_train = Scratch(spark, "holdout").write(y_train, "labels")  # k-means would be fitted again by every use
+    model = route_classifier(train, y_train, **forest)
+    pred = predict_route(model, test).join(y_test, "mmsi")
+    counts = [y.agg(F.count("*").alias(f"{side}_rows"), F.count_distinct("route_label").alias(f"route_classes_{side}")) for y, side in ((y_train, "train"), (y_test, "test"))]
+    scores = summary_metrics(pred, "route_label", "predicted_route")
+    return scores.crossJoin(counts[0]).crossJoin(counts[1]).selectExpr(
+        "true AS available", f"'{source}' AS label_source", "train_rows", "test_rows", "route_classes_train", "route_classes_test",
+        "accuracy", "macro_f1", "weighted_f1")
+
+
 # --------------------------------------------------------- ship types --
 
 def type_pipeline(kind: str, num_trees: int = 200, lr_iter: int = 2000, max_depth: int = MAX_DEPTH) -> Pipeline:
