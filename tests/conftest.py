@@ -13,6 +13,6 @@ def spark():
 
     s = build_session(master="local[4]", shuffle_partitions=4)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wakeline-test-", dir="/tmp"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wakeline-test-", dir="/tmp"))
     yield s
     s.stop()

@@ -27,6 +27,7 @@ from wakeline.operators import joins as J
 from wakeline.operators import track as T
 from wakeline.operators import vessel as V
 from wakeline.plans import models as ML
+from wakeline.plans.calibration import fit_calibration
 from wakeline.plans.stages import source_tag, stage_path, stage_table
 from wakeline.scratch import Scratch
 from wakeline.sources import fixtures as X
@@ -1079,9 +1080,9 @@ def q_isotonic_calibration(spark, sf_dir):
     calibration fitted on the vessel holdout."""
 
     rf, _, test = type_model(spark, sf_dir, "random_forest")
-    scored = ML.type_probabilities(rf, test).drop("features", "rawPrediction", "probability").cache()
-    n = len(rf.stages[2].labels)
-    cal = ML.apply_calibration(scored, ML.isotonic_calibration(scored, n))
+    scored = ML.type_probabilities(rf, test).select("label", "prediction", "prob")
+    scored = Scratch(spark, "calibration").write(scored, "scored")
+    cal = fit_calibration(scored, len(rf.stages[2].labels)).apply(scored)
     before = ML.class_confidence(scored).selectExpr("label", "prediction", "confidence")
     after = cal.selectExpr("label", "CAST(array_position(calibrated_prob, array_max(calibrated_prob)) - 1 AS DOUBLE) AS prediction",
                            "array_max(calibrated_prob) AS confidence")
@@ -1108,7 +1109,7 @@ def predicted_types(spark: SparkSession, sf_dir: str, rows: DataFrame, key: str
 
     rf, _, test = type_model(spark, sf_dir, "random_forest")
     held = ML.type_probabilities(rf, test).drop("features", "rawPrediction", "probability")
-    cal = fitted((source_tag(spark, sf_dir), "type_calibration"), lambda: ML.isotonic_calibration(held, len(rf.stages[2].labels)))
+    cal = fitted((source_tag(spark, sf_dir), "type_calibration"), lambda: fit_calibration(held, len(rf.stages[2].labels)))
     return ML.predict_type(rf, cal, type_medians(spark, sf_dir), rows.drop("shiptype"), key)
 
 

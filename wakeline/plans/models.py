@@ -17,7 +17,6 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +25,7 @@ from wakeline.operators.clean import column_medians
 from wakeline.operators.knn import nearest_rows, weighted_vote
 from wakeline.operators.track import wide_signature
 from wakeline.plans.boosting import fit_boosted
+from wakeline.plans.calibration import Calibration
 from wakeline.plans.trees import fit_forest
 from wakeline.scratch import Scratch
 
@@ -321,7 +321,7 @@ def type_probabilities(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.withColumn("prob", prob).join(F.broadcast(names), "prediction")
 
 
-def predict_type(model: PipelineModel, calibration: list, medians: DataFrame, rows: DataFrame, key: str = "mmsi") -> DataFrame:
+def predict_type(model: PipelineModel, calibration: Calibration, medians: DataFrame, rows: DataFrame, key: str = "mmsi") -> DataFrame:
     """(key, predicted_shiptype, confidence) of new rows. Columns that the rows
     lack are added as nulls and filled from the training medians; confidence is
     the calibrated probability of the most likely class."""
@@ -332,7 +332,7 @@ def predict_type(model: PipelineModel, calibration: list, medians: DataFrame, ro
     ready, _ = prepare_type_rows(rows, medians, weighted=False)
     unlabelled = PipelineModel(stages=[m for i, m in enumerate(model.stages) if i != 2])  # all but the label's index
     scored = unlabelled.transform(ready).withColumn("prob", vector_to_array("probability")).drop("rawPrediction", "probability")
-    best = apply_calibration(scored, calibration).selectExpr(
+    best = calibration.apply(scored.drop("features")).selectExpr(
         key, "array_max(calibrated_prob) AS confidence",
         "CAST(array_position(calibrated_prob, array_max(calibrated_prob)) - 1 AS DOUBLE) AS prediction")
     names = rows.sparkSession.createDataFrame(
@@ -388,33 +388,6 @@ def class_confidence(scored: DataFrame) -> DataFrame:
     return scored.selectExpr("*", "element_at(prob, CAST(prediction AS INT) + 1) AS confidence")
 
 
-def isotonic_calibration(holdout: DataFrame, n_classes: int) -> list:
-    """One-vs-rest isotonic regression per class on held-out probabilities."""
-
-    models = []
-    for c in range(n_classes):
-        d = holdout.selectExpr(f"element_at(prob, {c + 1}) AS p", f"CASE WHEN label = {c} THEN 1.0D ELSE 0.0D END AS y")
-        va = VectorAssembler(inputCols=["p"], outputCol="features")
-        models.append(IsotonicRegression(featuresCol="features", labelCol="y").fit(va.transform(d)))
-    return models
-
-
-def apply_calibration(scored: DataFrame, models: list) -> DataFrame:
-    """Calibrated class probabilities (clipped to [0, 1], renormalised; raw
-    probabilities kept when all calibrated ones are 0)."""
-
-    out = scored.drop("features")
-    for c, m in enumerate(models):
-        va = VectorAssembler(inputCols=[f"_p{c}"], outputCol="features")
-        out = out.withColumn(f"_p{c}", F.expr(f"element_at(prob, {c + 1})"))
-        out = m.setFeaturesCol("features").setPredictionCol(f"_c{c}").transform(va.transform(out)).drop("features")
-    cs = [f"least(greatest(_c{c}, 0.0D), 1.0D)" for c in range(len(models))]
-    total = " + ".join(cs)
-    cal = f"CASE WHEN ({total}) > 0 THEN array({', '.join(f'({x}) / ({total})' for x in cs)}) ELSE prob END"
-    drop = [f"_p{c}" for c in range(len(models))] + [f"_c{c}" for c in range(len(models))]
-    return out.selectExpr("*", f"{cal} AS calibrated_prob").drop(*drop)
-
-
 def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Named feature importances of the fitted forest (slot names from the
     assembler's metadata), sorted descending."""

@@ -72,6 +72,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wakeline-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
