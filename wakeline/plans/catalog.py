@@ -1160,6 +1160,50 @@ def q_forecast_eval(spark, sf_dir):
     return round_doubles(out.unionByName(blend))
 
 
+def forest_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blend weights of forest and dead reckoning, chosen on the vessel holdout."""
+
+    bundle, test = forest_bundle(spark, sf_dir)
+    return FC.blend_weights(FC.dead_reckoning(ML.predict_positions(bundle, test), H), H, "rf_")
+
+
+@query("forecast_latest_forest")
+def q_forecast_latest_forest(spark, sf_dir):
+    """Every vessel's latest point forecast by the forest, dead reckoning and
+    their blend. Only the latest points are scored."""
+
+    bundle, _ = forest_bundle(spark, sf_dir)
+    latest = ML.predict_positions(bundle, T.latest_position(forecast_points(spark, sf_dir)))
+    return round_doubles(FC.forecast_latest(latest, forest_weights(spark, sf_dir), H, "rf_"))
+
+
+@query("forecast_paths_forest")
+def q_forecast_paths_forest(spark, sf_dir):
+    """The blended forecast of every vessel as a line from its latest point."""
+
+    return _rounded_coords(MV.forecast_paths(q_forecast_latest_forest(spark, sf_dir), predictions(spark, sf_dir)))
+
+
+@query("forecast_temporal_eval")
+def q_forecast_temporal_eval(spark, sf_dir):
+    """Forest fitted on the first four fifths of all rows by time, scored on the
+    rest, beside the baselines and the blend (weights of the vessel holdout), with
+    each method's error as a share of the constant position's."""
+
+    split = stage_table(spark, "forecast_temporal_split", sf_dir, lambda: S.temporal_split_points(supervised(spark, sf_dir), 0.8))
+    train, test = (split.where(side).drop("is_test") for side in ("NOT is_test", "is_test"))
+    bundle = fitted((source_tag(spark, sf_dir), "temporal_forest"), lambda: ML.position_forest(train, H))
+    rows = FC.constant_position(FC.dead_reckoning(ML.predict_positions(bundle, test), H), H)
+    rows = Scratch(spark, "temporal").write(FC.apply_blend(rows, forest_weights(spark, sf_dir), H, "rf_"), "scored")
+    out = None
+    for name, prefix in (("random_forest", "rf_"), ("dead_reckoning", "dr_"), ("constant_position", "const_"), ("blend", "pred_")):
+        errors = M.horizon_error(rows, H, prefix).selectExpr(f"'{name}' AS method", "horizon_h", "mean_error_km")
+        out = errors if out is None else out.unionByName(errors)
+    base = out.where("method = 'constant_position'").selectExpr("horizon_h", "mean_error_km AS _base")  # a row a horizon
+    return round_doubles(out.join(F.broadcast(base), "horizon_h").selectExpr(
+        "method", "horizon_h", "mean_error_km", "IF(_base > 0, 100.0D * (_base - mean_error_km) / _base, 0.0D) AS error_reduction_pct"))
+
+
 def q_random_search(spark, sf_dir):
     """Not registered (36 forest fits): see ``ML.random_search``."""
 
