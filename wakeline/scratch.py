@@ -22,12 +22,12 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/wakeline-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as parquet and return the table read back."""
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write ``df`` as parquet (with writer ``options``) and return the table read back."""
 
         self._n += 1
         path = f"{self.root}/{self._n:04d}-{name}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
