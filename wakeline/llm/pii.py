@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm import boost
+from wakeline.llm.columns import number_of, numbered, restored
 from wakeline.llm.spans import digest_text, let, matches
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -165,7 +166,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     on in blocks of code points, so a long text with many spans stays cheap."""
 
     model = fit(docs, id_col, text_col)
-    others = tuple(c for c in docs.columns if c != id_col)
+    rows, key, text = numbered(docs), number_of(docs, id_col), number_of(docs, text_col)
+    others = tuple(c for c in rows.columns if c != key)
     spans = _selected(model, least)
     ordered = f"array_sort(transform({spans}, s -> named_struct('start', s.start, 'rank', s.rank, 'kind', s.kind, 'end', s.end)))"
     apart = (
@@ -185,10 +187,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         f"filter(apart, s -> s.end > {off} AND s.start < {off} + {_BLOCK})", "ss",
         f"CASE WHEN size(ss) = 0 THEN blk ELSE concat(array_join(transform(ss, (s, i) -> {part}), ''),"
         f" substring(blk, CAST(element_at(ss, -1).end - {off} + 1 AS INT))) END")
-    text = f"`{text_col}`"
     clean = let(apart, "apart", f"array_join(transform(regexp_extract_all({text}, r'(?s).{{1,{_BLOCK}}}', 0), (blk, k) -> {block}), '')")
-    out = candidates(docs, id_col, text_col, others).withColumn(
-        text_col, F.expr(f"CASE WHEN size(base) + size(cands) = 0 THEN {text} ELSE {clean} END"))
+    out = candidates(rows, key, text, others).withColumn(
+        text, F.expr(f"CASE WHEN size(base) + size(cands) = 0 THEN {text} ELSE {clean} END"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn(number_of(docs, "n_chars"), F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return restored(out, docs)

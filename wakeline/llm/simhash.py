@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from wakeline.llm.batches import spanning
 from wakeline.llm.bktree import Forest
+from wakeline.llm.columns import number_of, numbered, restored
 from wakeline.operators.components import connected_components
 from wakeline.scratch import Scratch
 
@@ -189,11 +190,12 @@ def deduplicate(
     smallest id (nulls last), then the smallest text hash, then row hash."""
 
     _, named = _components(docs, id_col, text_col, shingle, distance, shard_rows)
-    kept = named.select("low.*").distinct().selectExpr("id AS _kept_id", "text_hash AS _kept_hash")
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    w = W.partitionBy(id_col, "_text_hash").orderBy(row)
-    return (
-        docs.withColumn("_text_hash", F.xxhash64(text_col))
-        .join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_hash")), "left_semi")
-        .withColumn("_row", F.row_number().over(w)).filter("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = named.select("low.*").distinct().selectExpr("id AS kept_id", "text_hash AS kept_hash")
+    rows, key, text = numbered(docs), number_of(docs, id_col), number_of(docs, text_col)
+    w = W.partitionBy(key, "text_hash").orderBy(F.xxhash64(*rows.columns))
+    first = (
+        rows.withColumn("text_hash", F.xxhash64(text))
+        .join(kept, F.col(key).eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+        .withColumn("place", F.row_number().over(w)).filter("place = 1")
     )
+    return restored(first, docs)
