@@ -7,11 +7,14 @@ the sum, over its distinct n-grams, of the log ratio of the two models, and
 documents are drawn without replacement with these weights by Gumbel top-k.
 
 n-grams: words (ASCII white space apart, lower-cased, punctuation at either end
-taken off), word shapes (runs of capitals, small letters, digits and each other
-sign collapsed to one; a word equal to the one before has a shape of its own),
-and pairs of neighbouring shapes. Each kind has its own hash space, so the
-models have a fixed size however large the corpus is. A document counts once
-for a bucket, so neither length nor repetition adds weight.
+taken off), pairs of neighbouring words, word shapes (runs of capitals, small
+letters, digits and each other sign collapsed to one; a word equal to the one
+before has a shape of its own), and pairs of neighbouring shapes. Each kind has
+its own hash space, so the models have a fixed size however large the corpus is.
+A document counts once for a bucket, so neither length nor repetition adds weight.
+
+One pass over the texts writes each row's distinct buckets, sorted, beside its
+noise; both models are counted and every row is weighed from that table.
 
 Noise: a bucket's expected target count is its raw count times the labelling
 rate, taken as the median of target/raw over all buckets (weighted by raw
@@ -24,8 +27,9 @@ rather than clean documents lost). The noise of a document is a keyed hash of
 its id and text, so reruns agree; equal rows have equal keys, and all rows tied
 with the k-th key are kept.
 
-Defined cases: a null or empty text has weight 0. A label row with a null counts
-as unlabelled; a document labelled more than once is good if all its labels are.
+Defined cases: a null or empty text has weight 0. Ids are compared in their own
+type and may be null (never labelled). A label row with a null counts as
+unlabelled; a document labelled more than once is good if all its labels are.
 No usable labels: every weight is 0 and everything is kept. ``max_labels``
 bounds the sample of labelled documents (those with the smallest hashed id);
 the raw model always covers every document.
@@ -41,30 +45,33 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.llm.batches import mix64, slices
 from wakeline.scratch import Scratch
 
-WORD_BITS, SHAPE_BITS, PAIR_BITS = 20, 16, 16
-BUCKETS = (1 << WORD_BITS) + (1 << SHAPE_BITS) + (1 << PAIR_BITS)
+#: Hash bits of words, shapes, pairs of shapes and pairs of words.
+BITS = (20, 16, 16, 20)
+STARTS = np.cumsum([0] + [1 << b for b in BITS])
+BUCKETS = int(STARTS[-1])
 MAX_LABELS = 200_000
 PSEUDO = 1.0
 DOUBT = 3.5
 MARGIN = 1.64
 SEED = 7
+_BLOCK = 4096  # buckets whose counts are shuffled together
 _REPEAT = np.uint64(0x5EED)
 _CACHE = 200_000  # words whose hashes are remembered within a task
 
 
 class _Features:
-    """Distinct n-gram buckets of each text of a batch."""
+    """Distinct n-gram buckets of each text of a batch, sorted."""
 
     def __init__(self):
         import re
 
         self.known: dict[str, tuple[int, int]] = {}
         self.runs = re.compile(r"(.)\1+")
-        self.last = np.zeros(BUCKETS, dtype=np.int64)
 
     def word(self, w: str) -> tuple[int, int]:
         from xxhash import xxh64_intdigest
@@ -91,15 +98,10 @@ class _Features:
             c = code[lo - base: hi - base]
             word, shape = table[c, 0], table[c, 1]
             shape = np.where(np.r_[False, c[1:] == c[:-1]], _REPEAT, shape) if len(c) else shape
-            pair = mix64(shape[:-1] * np.uint64(3) + shape[1:])
-            b = np.concatenate([
-                word >> np.uint64(64 - WORD_BITS),
-                (mix64(shape) >> np.uint64(64 - SHAPE_BITS)) + np.uint64(1 << WORD_BITS),
-                (pair >> np.uint64(64 - PAIR_BITS)) + np.uint64((1 << WORD_BITS) + (1 << SHAPE_BITS)),
-            ]).astype(np.int64)
-            at = np.arange(len(b))
-            self.last[b] = at
-            yield b[self.last[b] == at]
+            kinds = (word, mix64(shape), mix64(shape[:-1] * np.uint64(3) + shape[1:]), mix64(word[:-1] * np.uint64(3) + word[1:]))
+            yield np.unique(np.concatenate([
+                (h >> np.uint64(64 - bits)).astype(np.int32) + np.int32(start)
+                for h, bits, start in zip(kinds, BITS, STARTS.tolist(), strict=False)]))
 
 
 def _labelled(labels: DataFrame, id_col: str, max_labels: int) -> DataFrame:
@@ -118,93 +120,137 @@ class Model:
     labelled: int
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        max_labels: int = MAX_LABELS, doubt: float = DOUBT) -> Model:
-    """Count both models over all of ``docs`` and return the log ratios."""
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, rows: bool = False) -> DataFrame:
+    """A written table with one row per document: id, noise (standard Gumbel,
+    from a keyed hash of id and text), buckets (array of int, distinct, sorted)
+    and, if ``rows``, the columns of ``docs`` as c0, c1, ..."""
+
+    kept = docs.columns if rows else [id_col, text_col]
+    at = kept.index(text_col)
+    read = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{id_col}`").alias("key"),
+                       *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    out = read.drop("key") if rows else read.select("id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        feats = _Features()
+        for batch in batches:
+            for part in slices(batch, f"c{at}"):
+                texts = part.column(f"c{at}")
+                found = list(feats(texts))
+                ends = np.cumsum([0] + [len(b) for b in found])
+                buckets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                columns = {c: part.column(c) for c in names}
+                yield pa.RecordBatch.from_pydict({**columns, "noise": pa.array(_noise(part.column("key"), texts, seed)), "buckets": buckets})
+
+    names = out.columns
+    schema = T.StructType([*out.schema.fields, T.StructField("noise", T.DoubleType()), T.StructField("buckets", T.ArrayType(T.IntegerType()))])
+    # sorted integers take half the space as differences, which Parquet's second format has
+    return Scratch(docs.sparkSession, "quality").write(read.mapInArrow(run, schema), "features", **{"parquet.writer.version": "v2"})
+
+
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts of one task as byte planes; all but the lowest are mostly zeros
+    and vanish when the shuffle compresses them."""
 
-    spark: SparkSession = docs.sparkSession
-    sample = _labelled(labels, id_col, max_labels).toPandas()
-    n = len(sample)
-    good = np.sort(sample.loc[sample["good"].astype(bool), "id"].to_numpy(dtype=np.int64)) if n else np.zeros(0, dtype=np.int64)
-    if not len(good):
+    return np.ascontiguousarray(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _counts(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_labels: int = MAX_LABELS, doubt: float = DOUBT) -> Model:
+    """Count both models over all rows of ``features`` and return the log ratios."""
+
+    spark: SparkSession = feats.sparkSession
+    sample = Scratch(spark, "quality").write(_labelled(labels, id_col, max_labels), "labels")
+    n, good = sample.agg(F.count("*"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0))).first()
+    if not good:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), 0.0 if n else 1.0, 0)
-    ids = spark.sparkContext.broadcast(good)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        feats, raw, target = _Features(), np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+        raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            lists = batch.column("buckets")
+            ends = lists.offsets.to_numpy()
+            each = lists.flatten().to_numpy(zero_copy_only=False)
+            hit = np.repeat(batch.column("target").to_numpy(zero_copy_only=False), np.diff(ends))
+            np.add.at(raw, each, 1)
+            np.add.at(target, each[hit], 1)
+        blocks = np.flatnonzero(raw.reshape(-1, _BLOCK).any(axis=1)).tolist()
+        parts = [[_planes(x[i * _BLOCK: (i + 1) * _BLOCK]) for i in blocks] for x in (raw, target)]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *[pa.array(x, pa.binary()) for x in parts]], names=["block", "raw", "target"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # of this task's blocks: at most BUCKETS counts
         for batch in batches:
-            for part in slices(batch, "text"):
-                key = pc.fill_null(part.column("id"), -1).to_numpy(zero_copy_only=False)
-                at = np.minimum(np.searchsorted(ids.value, key), len(ids.value) - 1)
-                hit = (ids.value[at] == key) & np.asarray(pc.is_valid(part.column("id")))
-                for b, is_target in zip(feats(part.column("text")), hit.tolist(), strict=True):
-                    raw[b] += 1
-                    if is_target:
-                        target[b] += 1
-        some = np.flatnonzero(raw)
-        for i in range(0, len(some), 1 << 16):
-            s = some[i: i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(raw[s]), pa.array(target[s])], names=["bucket", "raw", "target"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counts = rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+            for i, *pair in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                both = np.stack([_counts(x) for x in pair])
+                sums[i] = sums[i] + both if i in sums else both
+        for i, (raw, target) in sums.items():
+            s = np.flatnonzero(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(s + i * _BLOCK), pa.array(raw[s]), pa.array(target[s])], names=["bucket", "raw", "target"])
+
+    chosen = F.broadcast(sample.filter("good").select(F.col("id").alias("good_id")))  # at most max_labels ids
+    rows = feats.join(chosen, F.col("id") == F.col("good_id"), "left").select("buckets", F.col("good_id").isNotNull().alias("target"))
+    counts = rows.mapInArrow(count, "block int, raw binary, target binary").repartition("block").mapInArrow(
+        total, "bucket long, raw long, target long")
     counts = Scratch(spark, "quality").write(counts, "counts")
     rate = counts.agg(F.expr("percentile(target / raw, 0.5, raw)").alias("rate")).first().rate
     if not rate:
         rate = counts.agg(F.expr("sum(target) / sum(raw)").alias("rate")).first().rate
     if not rate:
-        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), len(good) / n, n)
+        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), good / n, n)
     expected = F.col("raw") * F.lit(float(rate)) + F.lit(PSEUDO)
     log = F.log((F.col("target") + F.lit(PSEUDO)) / expected)
     sure = F.signum(log) * F.greatest(F.abs(log) - F.lit(doubt) / F.sqrt(expected), F.lit(0.0))
     kept = counts.select("bucket", sure.alias("ratio")).filter("ratio <> 0").toPandas().sort_values("bucket")  # at most BUCKETS rows
-    return Model(kept["bucket"].to_numpy(dtype=np.int64), kept["ratio"].to_numpy(dtype=float), len(good) / n, n)
+    return Model(kept["bucket"].to_numpy(dtype=np.int64), kept["ratio"].to_numpy(dtype=float), good / n, n)
 
 
-def _keys(ids: pa.Array, texts: pa.Array, seed: int) -> np.ndarray:
+def _noise(keys: pa.Array, texts: pa.Array, seed: int) -> np.ndarray:
     """Standard Gumbel noise from a keyed hash of id and text."""
 
     from xxhash import xxh64_intdigest
 
-    key = pc.fill_null(ids, -1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    key = keys.to_numpy(zero_copy_only=False).view(np.uint64)
     text = np.array([xxh64_intdigest(t.as_py() or "", seed) for t in texts], dtype=np.uint64)
     u = ((mix64(key * np.uint64(2) + np.uint64(seed)) ^ text) >> np.uint64(11)).astype(float)
     return -np.log(-np.log((u + 0.5) / float(1 << 53)))
 
 
-def _scorer(docs: DataFrame, model: Model, seed: int):
-    shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.ratio))
+def _weigher(spark: SparkSession, model: Model):
+    shared = spark.sparkContext.broadcast((model.bucket, model.ratio))
 
     def start():
-        """For each batch of (ids, texts) the weights and the noisy keys."""
-
-        feats, table = _Features(), np.zeros(BUCKETS)
+        table = np.zeros(BUCKETS)
         table[shared.value[0]] = shared.value[1]
 
-        def of(ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-            weight = np.array([table[b].sum() for b in feats(texts)], dtype=float)
-            return weight, weight + _keys(ids, texts, seed)
+        def of(batch: pa.RecordBatch) -> np.ndarray:
+            lists = batch.column("buckets")
+            each, ends = table[lists.flatten().to_numpy(zero_copy_only=False)], lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            # row by row, so a row's sum does not depend on its batch
+            return np.array([each[a:b].sum() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], dtype=float)
 
         return of
 
     return start
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
-    """(id, log_weight, noisy_key) for every row of ``docs``."""
+def score(feats: DataFrame, model: Model) -> DataFrame:
+    """(id, log_weight, noisy_key) for every row of ``features``."""
 
-    start = _scorer(docs, model, seed)
+    start = _weigher(feats.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = start()
         for batch in batches:
-            for part in slices(batch, "text"):
-                weight, key = of(part.column("id"), part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(weight), pa.array(key)], names=["id", "log_weight", "noisy_key"])
+            weight = of(batch)
+            key = weight + batch.column("noise").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(weight), pa.array(key)], names=["id", "log_weight", "noisy_key"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, log_weight double, noisy_key double")
+    schema = T.StructType([feats.schema["id"], T.StructField("log_weight", T.DoubleType()), T.StructField("noisy_key", T.DoubleType())])
+    return feats.select("id", "noise", "buckets").mapInArrow(run, schema)
 
 
 def kth_largest(scores: DataFrame, k: int, column: str = "noisy_key") -> float:
@@ -245,27 +291,29 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              seed: int = SEED, **how) -> DataFrame:
     """(id_col, log_weight, noisy_key, kept) for every row of ``docs``."""
 
-    model = fit(docs, labels, id_col, text_col, **how)
-    scores = Scratch(docs.sparkSession, "quality").write(score(docs, model, id_col, text_col, seed), "scores")
+    feats = features(docs, id_col, text_col, seed)
+    model = fit(feats, labels, id_col, **how)
+    scores = Scratch(docs.sparkSession, "quality").write(score(feats, model), "scores")
     least = threshold(scores, model)
     return scores.select(F.col("id").alias(id_col), "log_weight", "noisy_key", (F.col("noisy_key") >= F.lit(least)).alias("kept"))
 
 
 def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            seed: int = SEED, **how) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns. The keys are computed
-    again beside the texts, so no text is shuffled."""
+    """The rows of ``docs`` that are kept, all columns. The rows are written
+    once beside their buckets, and weighed again there; no text is shuffled."""
 
-    model = fit(docs, labels, id_col, text_col, **how)
-    scores = Scratch(docs.sparkSession, "quality").write(score(docs, model, id_col, text_col, seed), "scores")
-    least = threshold(scores, model)
-    start = _scorer(docs, model, seed)
+    feats = features(docs, id_col, text_col, seed, rows=True)
+    model = fit(feats.select("id", "buckets"), labels, id_col, **how)
+    least = threshold(Scratch(docs.sparkSession, "quality").write(score(feats, model), "scores"), model)
+    start = _weigher(docs.sparkSession, model)
+    own = feats.columns[1:-2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = start()
         for batch in batches:
-            for part in slices(batch, text_col):
-                _, key = of(pc.cast(part.column(id_col), pa.int64()), part.column(text_col))
-                yield part.filter(pa.array(key >= least))
+            stay = of(batch) + batch.column("noise").to_numpy() >= least
+            yield batch.select(own).filter(pa.array(stay))
 
-    return docs.mapInArrow(run, docs.schema)
+    schema = T.StructType([feats.schema[c] for c in own])
+    return feats.mapInArrow(run, schema).select(*[F.col(c).alias(n) for c, n in zip(own, docs.columns, strict=True)])
