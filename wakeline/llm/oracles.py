@@ -76,23 +76,34 @@ def _hits(kind: str, rank: int, pattern: str, group: int, keep: str) -> str:
 
 _ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
 
+_ALLOWED = (
+    r"(?i)\b[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\b|abcdefghij(?:klmnopqrstuvwxyz)?|(?:0123456789)+|x{4,}"
+    r"|example|placeholder|your[-_]?(?:key|token|secret)|dummy|changeme")
+
 OP4 = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
 base AS ({_hits("assign", 0, _ASSIGN, 1, "len(g) >= 6")}
   UNION ALL {_hits("access", 1, "AKIA[A-Z0-9]+", 0, "len(m) >= 20")}
   UNION ALL {_hits("hex", 2, "[0-9a-f]+", 0, "len(m) >= 24")}),
-cand AS (
-  SELECT * FROM ({_hits("entropy", 3, "[A-Za-z0-9+/_=-]+", 0, "len(m) >= 20")})
-  WHERE NOT regexp_matches(m, '^[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}$')
-    AND NOT regexp_matches(lower(m), 'abcdefghij|0123456789|xxxx|example|placeholder|your[-_]?(key|token|secret)|dummy|changeme')),
-bits AS (
-  SELECT *, CASE WHEN regexp_full_match(m, '[0-9A-Fa-f]+') THEN 3.05
-                 WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]') THEN 3.83 END AS least
-  FROM cand),
-win AS (SELECT rid, start, m, least, unnest(generate_series(1, len(m) - 19)) AS k FROM bits WHERE least IS NOT NULL),
+cand AS ({_hits("entropy", 3, "[A-Za-z0-9+/_=-]+", 0, "len(m) >= 20")}),
+cut AS (SELECT rid, start, string_split_regex(m, '{_ALLOWED}') AS p, regexp_extract_all(m, '{_ALLOWED}') AS a FROM cand),
+part AS (
+  SELECT rid, (start + upto - width)::BIGINT AS start, m FROM (
+    SELECT *, sum(width) OVER (PARTITION BY rid, start ORDER BY i) AS upto FROM (
+      SELECT rid, start, i, p[i] AS m, len(p[i]) + len(coalesce(a[i], '')) AS width
+      FROM (SELECT *, unnest(generate_series(1, len(p))) AS i FROM cut)))
+  WHERE len(m) >= 20),
+win AS (
+  SELECT rid, start, k, w, len(regexp_replace(w, '[^a-z]', '', 'g')) AS lo, len(regexp_replace(w, '[^A-Z]', '', 'g')) AS up,
+         len(regexp_replace(w, '[^0-9]', '', 'g')) AS dig
+  FROM (SELECT rid, start, k, substr(m, k, 20) AS w FROM (SELECT *, unnest(generate_series(1, len(m) - 19)) AS k FROM part))),
 hit AS (
   SELECT rid, start + min(k) - 1 AS a, start + max(k) + 19 AS b FROM win
-  WHERE list_aggregate(string_split(substr(m, k, 20), ''), 'entropy') >= least GROUP BY rid, start),
+  WHERE list_aggregate(string_split(w, ''), 'entropy') >=
+    CASE WHEN regexp_full_match(w, '[0-9A-Fa-f]+') THEN 3.05 WHEN lo > 0 AND up > 0 AND dig > 0 THEN 3.83
+         WHEN (lo + dig = 20 AND dig >= 3) OR (up + dig = 20 AND dig >= 1) THEN 3.4
+         WHEN lo + up = 20 AND least(lo, up) >= 8 THEN 3.83 END
+  GROUP BY rid, start),
 spans AS (
   SELECT rid, kind, r, start, stop FROM base
   UNION ALL SELECT rid, 'entropy', 3, a, b FROM hit
