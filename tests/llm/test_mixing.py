@@ -84,3 +84,11 @@ def test_native(spark):
     docs = spark.createDataFrame(CASES["few"], SCHEMA)
     plan = mixing.mix(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_plan_in_training_order(spark):
+    rows = [(i, "a b c d " * (1 + i % 5), "abc"[i % 3]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = [r.position for r in mixing.in_order(mixing.plan(docs)).collect()]
+    taken = [p for p in out if p is not None]
+    assert len(out) == 120 and taken == sorted(taken) and out[: len(taken)] == taken

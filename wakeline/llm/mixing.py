@@ -148,6 +148,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return out.select("id", "row_key", "source", "size", "source_size", "target", "taken", times.alias("copies"))
 
 
+def in_order(planned: DataFrame) -> DataFrame:
+    """The documents of a plan, range-sorted by the time at which training first
+    reaches them (``position``), those not taken last."""
+
+    first = [F.col("position").isNull(), F.col("position"), F.col("row_key")]
+    placed = planned.withColumn("position", F.expr("copies[0].position"))
+    return placed.repartitionByRange(*first).sortWithinPartitions(*first)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The copies of ``docs`` that the mix takes, all columns, range-sorted by
     training time: a document once for every pass; where a pass ends inside it,
