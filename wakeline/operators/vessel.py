@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import bearing_sql, haversine_sql, straightness_sql
-from wakeline.operators.clean import group_medians
+from wakeline.operators.clean import key_medians
 from wakeline.operators.sequence import track_scan
 
 ORDER = ("ts", "lat", "lon")
@@ -81,8 +81,7 @@ def track_features(
     if with_static:
         static = [c for c in STATIC if c in points.columns]
         if static:
-            per_key, _ = group_medians(points, static, key)
-            out = out.join(per_key, key, "left").selectExpr(
+            out = out.join(key_medians(points, static, key), key, "left").selectExpr(
                 *out.columns, *[f"coalesce({c}, 0.0D) AS {c}" for c in static]
             )
     return out
