@@ -66,3 +66,21 @@ def test_one_row_and_constant_features(spark):
     rows = frame(spark, np.ones((1, 3)), np.array([[2.0, 3.0]]))
     out = T.fit_forest(rows, ["a", "b"], ["y1", "y2"], trees=12).predict(rows, ["a", "b"], ["p1", "p2"]).first()
     assert (out.p1, out.p2) == (2.0, 3.0)
+
+
+def test_a_forest_stays_in_its_table(spark, monkeypatch):
+    # parts of trees meet the rows by tree and code; no tree comes to the driver, however the rows are dealt
+    x, y = data()
+    rows = frame(spark, x, y)
+    forest = T.fit_forest(rows, ["a", "b", "c"], ["y1", "y2"], trees=5, max_depth=8, local_rows=150)
+    trees = forest.trees
+    bins = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(forest.edges)], axis=1)
+    want = T.add_trees(bins, trees, np.zeros((len(x), 2))) / len(trees)
+    whole = sorted((*map(float, a), *map(float, p)) for a, p in zip(x, want, strict=True))
+    monkeypatch.setattr(T, "read_trees", None)
+    for block, part in ((8192, 4_000_000), (70, 200)):
+        monkeypatch.setattr(T, "PREDICT_ROWS", block)
+        monkeypatch.setattr(T, "PART_ROWS", part)
+        got = forest.predict(rows, ["a", "b", "c"], ["p1", "p2"]).collect()
+        assert sorted((r.a, r.b, r.c, r.p1, r.p2) for r in got) == whole
+    assert max(len(p.nodes) for p in forest.parts.collect()) < 150 * T._node(2).itemsize
