@@ -1,6 +1,7 @@
 """Multi-target trees: splits against brute force, levels against local growth."""
 
 import numpy as np
+import pyarrow as pa
 
 from wakeline.plans import trees as T
 
@@ -84,3 +85,14 @@ def test_a_forest_stays_in_its_table(spark, monkeypatch):
         got = forest.predict(rows, ["a", "b", "c"], ["p1", "p2"]).collect()
         assert sorted((r.a, r.b, r.c, r.p1, r.p2) for r in got) == whole
     assert max(len(p.nodes) for p in forest.parts.collect()) < 150 * T._node(2).itemsize
+
+
+def test_packed_rows_are_not_copied():
+    rows = np.arange(60, dtype=np.uint8).reshape(20, 3)
+    for kind in (pa.binary(), pa.large_binary()):
+        column = pa.array([r.tobytes() for r in rows], kind)
+        for at, n in ((0, 20), (7, 5), (20, 0)):
+            got = T.packed(column.slice(at, n), 3)
+            assert (got == rows[at: at + n]).all() and got.shape == (n, 3)
+        at = T.packed(column, 3).__array_interface__["data"][0]
+        assert at == column.buffers()[2].address
