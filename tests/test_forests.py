@@ -1,5 +1,6 @@
 """The binned forest classifier: Gini splits, weights, importances, levels against one task, memory."""
 
+import pickle
 import random
 import tracemalloc
 
@@ -35,6 +36,13 @@ def test_splits_are_those_of_weighted_gini():
     assert ((x[:, best[1]] <= cut[0]) == (x[:, best[1]] <= best[2])).all()
 
 
+def test_splits_sent_to_tasks_need_no_package():
+    # a broadcast is pickled by reference to its classes, and executors may not have them
+    top = T._top({2: (1, 0, 0.5), 1: (0, 3, 1.0)})
+    assert b"wakeline" not in pickle.dumps(top)
+    assert T._place(top, np.array([[9, 0], [3, 0], [0, 1]], dtype=np.uint8)).tolist() == [3, 4, 5]
+
+
 def test_a_level_needs_no_sums_of_nodes_times_bins():
     # 12,000 rows in some 1,000 nodes: before, each feature's sums held every node's 256 bins (17 MB)
     rng = np.random.default_rng(5)

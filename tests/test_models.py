@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from wakeline.plans import models as ML
 from wakeline.operators import forecast as FC
@@ -38,6 +39,27 @@ def test_strict_holdout_with_labels_and_with_a_fitted_catalog(spark, routes):
     assert ML.strict_holdout(feats.limit(9), sig, labels).first().available is False
 
 
+@pytest.mark.parametrize("job", ["split", "temporal", "strict"])
+def test_route_jobs_read_the_labels_once(spark, routes, job):
+    feats, sig, labels = routes
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(name):
+        read.add(1)
+        return name
+
+    counted = labels.select("mmsi", F.udf(seen, "string")("route_label").alias("route_label"))
+    if job == "split":
+        fit = lambda f, y: ML.route_classifier(f, y, num_trees=3, max_depth=3)
+        assert ML.evaluate_split(fit, feats, counted).first().accuracy == 1.0
+    elif job == "temporal":
+        first = feats.selectExpr("mmsi", "timestamp_seconds(mmsi) AS first_timestamp")
+        assert ML.temporal_holdout(feats, counted, first, num_trees=3).first().accuracy == 1.0
+    else:
+        assert ML.strict_holdout(feats, sig, counted, num_trees=3, max_depth=3).first().accuracy == 1.0
+    assert read.value <= 40 * (2 if job == "strict" else 1)  # once for each side's labels
+
+
 def test_saved_model_predicts_the_same(spark, routes, tmp_path):
     feats, _, labels = routes
     model = ML.route_classifier(feats, labels, num_trees=5, max_depth=3)
