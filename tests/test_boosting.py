@@ -1,6 +1,7 @@
 """Boosted trees: falling loss, the same trees by level or in one task."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wakeline.plans import boosting as B
 
@@ -38,3 +39,19 @@ def test_levels_give_the_trees_of_one_task(spark):
 def test_one_class(spark):
     model = B.fit_boosted(frame(spark).where("kind = 'a'"), ["a", "b"], "kind", rounds=3)
     assert model.trees == [] and model.classes == ["a"]
+
+
+def test_the_query_runs_all_rounds(spark, monkeypatch):
+    # 300 rounds of depth 8, as in the reference; the query asked for 60
+    from wakeline.plans import catalog as Q
+    from wakeline.plans import models as ML
+
+    rows = frame(spark, 30).withColumn("navigationalstatus", F.lit("moored"))
+    asked = []
+    monkeypatch.setattr(Q, "type_split", lambda *_: (rows, rows))
+    monkeypatch.setattr(Q, "source_tag", lambda *_: "none")
+    monkeypatch.setattr(Q, "fitted", lambda key, fit: fit())
+    monkeypatch.setattr(ML, "boost_features", lambda r, status: (r, ["a", "b"]))
+    monkeypatch.setattr(ML, "fit_boosted", lambda r, names, label, rounds, depth, **kw: asked.append((rounds, depth)))
+    monkeypatch.setattr(ML, "boosted_types", lambda bundle, test: test.selectExpr("kind AS shiptype", "kind AS predicted_shiptype"))
+    assert Q.q_type_boost(spark, "none").count() == 1 and asked == [(300, 8)]
