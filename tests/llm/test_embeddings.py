@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from wakeline.llm import embeddings
+from wakeline.scratch import Scratch
 
 SCHEMA = "vec_id long, embedding array<float>, n_links string"
 
@@ -87,3 +88,31 @@ def test_links_count_at_both_ends(spark):
         group.setdefault(r.component_id, []).append(r.n_links)
         assert r.n_links <= true[r.vec_id]
     assert all(sum(g) % 2 == 0 and (len(g) == 1 or min(g) > 0) for g in group.values())
+
+
+def test_copies_are_made_in_waves(spark, monkeypatch):
+    # copies of all visits were shuffled at once; what a wave shuffles is bounded, and the result is the same
+    rows = [(i, e, "") for i, e in enumerate(data(300, 32, 3))]
+    table = spark.createDataFrame(rows, SCHEMA)
+    most = []
+    written = Scratch.write
+
+    def write(self, df, name, **options):
+        out = written(self, df, name, **options)
+        if name == "links":
+            most.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", write)
+    monkeypatch.setattr(embeddings, "WAVE_BYTES", 1)
+    out = embeddings.near_duplicates(table, margin=1.0, cell_rows=40, block=25).collect()
+    assert len(most) > 3
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out) == sorted((a, b, c, a == c) for a, b, c, _ in brute(rows))
+
+
+def test_a_wave_takes_its_share_of_the_copies():
+    # one home block of 10 among 1,000 vectors: 10 x 40 copies as queries and 1,000 as others, not 40 x 1,010
+    plans, waves = embeddings._plan([(64, 0, 10, 1000), (64, 2, 0, 50), (64, 3, 60, 60)], 25, 4, 100_000)
+    homes, others, before, each = plans[64]
+    assert homes.tolist() == [1, 0, 0, 3] and others.tolist() == [40, 0, 2, 3]
+    assert each[0] == (10 * 40 + 1000) * 320 and before[3] == each[0] and waves == (each[0] + 3 * each[3]) // 100_000 + 1
