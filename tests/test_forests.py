@@ -96,3 +96,49 @@ def test_one_class_and_one_row(spark):
     row = frame(spark, 1).limit(1)
     out = FO.ForestClassifier(numTrees=30).fit(row).transform(row).first()
     assert out.prediction == out.label
+
+
+def test_sums_by_class_give_the_same_tree():
+    # before, every class had sums of its own over all rows: with 14 classes 16 passes a feature
+    rng = np.random.default_rng(11)
+    n, classes = 3000, 14
+    bins, label, w = rng.integers(0, 64, (n, 6)).astype(np.uint8), rng.integers(0, classes, n), rng.poisson(1, n) + 1.0
+    label[bins[:, 2] > 40] = 5
+    label[(bins[:, 4] > 30) & (label < 7)] = 9
+    factor = rng.uniform(0.3, 3, classes)
+    for take, least, first in ((0, 20, 1), (3, 6, 5)):
+        want = T._grow(bins, np.eye(classes)[label], w * factor[label], 64, 7, least, first, count=w, take=take, tree=2, seed=42)
+        got = T._grow_classes(bins, label, w, factor, 64, 7, least, first, take=take, tree=2, seed=42)
+        assert len(got[0]) > 15 and all((a == b).all() for a, b in zip(got[:3], want[:3], strict=True))
+        assert np.allclose(got[3], want[3]) and np.allclose(got[4], want[4])
+
+
+def test_sums_by_class_of_a_level():
+    rng = np.random.default_rng(12)
+    node, bins, label, w = rng.integers(0, 3, 500), rng.integers(0, 8, 500), rng.integers(0, 4, 500), rng.poisson(1, 500) + 1.0
+    factor = np.array([1.0, 0.5, 2.0, 3.0])[label]
+    want = T._sums(node, bins, np.vstack([w * factor, (np.eye(4)[label] * (w * factor)[:, None]).T, w]), 3, 8)
+    one, fixed = T._by_class(np.stack([label, factor], axis=1), 5)
+    assert (one == label).all() and fixed.tolist() == [1.0, 0.5, 2.0, 3.0, 1.0]
+    assert T._by_class(np.array([[1, 2.0], [1, 3.0]]), 2)[1] is None
+    for known in (fixed[:4], None):
+        assert np.allclose(T._class_sums(node, bins, label, w, factor, known, 3, 8, 4), want)
+
+
+def test_rows_find_their_nodes_by_number():
+    rng = np.random.default_rng(13)
+    bins = rng.integers(0, 50, (400, 3)).astype(np.uint8)
+    top = T._top({1: (0, 20, 0.0), 2: (1, 10, 0.0), 3: (2, 25, 0.0), 6: (0, 40, 0.0), 13: (1, 5, 0.0)})
+    far = T._place(top, bins[:20])  # too few rows to make the table for
+    near = T._place(top, bins)
+    assert (near[:20] == far).all() and len(set(near.tolist())) >= 5
+
+
+def test_large_nodes_are_grown_by_class(spark, monkeypatch):
+    rows, found = frame(spark), []
+    for most in (10**6, 100):
+        monkeypatch.setattr(T, "BLOCK_ROWS", most)
+        found.append(FO.ForestClassifier(numTrees=4, maxDepth=5, minInstancesPerNode=3).fit(rows))
+    assert np.allclose(found[0].state[3], found[1].state[3], atol=0.01)
+    one, two = ([r.prediction for r in f.transform(rows).orderBy("a", "b", "c").collect()] for f in found)
+    assert np.mean(np.array(one) == np.array(two)) > 0.98
