@@ -96,3 +96,20 @@ def test_packed_rows_are_not_copied():
             assert (got == rows[at: at + n]).all() and got.shape == (n, 3)
         at = T.packed(column, 3).__array_interface__["data"][0]
         assert at == column.buffers()[2].address
+
+
+def test_rows_fall_through_nodes_as_one_number():
+    # each level gathered six arrays of a node; the values are the same to the last bit, whatever the arrays' types
+    rng = np.random.default_rng(21)
+    bins = rng.integers(0, 256, (700, 5)).astype(np.uint8)
+    nodes = T.grow(bins, rng.normal(size=(700, 2)), np.ones(700), 256, 9, 3)
+    nodes.sort(key=lambda n: n[0])
+    code = np.array([n[0] for n in nodes])
+    feature, cut = np.array([n[1] for n in nodes]), np.array([n[2] for n in nodes])
+    child = np.where(feature >= 0, np.searchsorted(code, 2 * code), 0)
+    value = np.array([n[3] for n in nodes])
+    tree, small = (feature, cut, child, value), (feature.astype(np.int16), cut.astype(np.int16), child.astype(np.int32), value)
+    leaf = (np.full(1, -1), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.ones((1, 2)))
+    many = T.add_trees(bins, [tree, leaf, small], np.zeros((700, 2)))
+    few = np.concatenate([T.add_trees(bins[i: i + 20], [tree, leaf, small], np.zeros((20, 2))) for i in range(0, 700, 20)])
+    assert len(nodes) > 20 and (many == few).all() and (T.add_trees(bins.astype(np.int64), [tree, leaf, tree], np.zeros((700, 2))) == many).all()
